@@ -163,9 +163,9 @@ class Jobs:
 
     def save_closes(self, days: list[date]) -> None:
         """Recompute the last trades of the given days (those an ingest touched)."""
-        for day in days:
-            closes = rolling.market_closes(on_day(self.store.read("trades"), day))
-            self.store.replace_partition("market_closes", closes, day)
+        trades = self.store.read("trades").filter(F.col("trade_date").isin(days))
+        self.store.drop_partitions("market_closes", lambda day: day in days)
+        self.store.overwrite_partitions("market_closes", rolling.market_closes(trades))
 
     def _rolling_tables(self, as_of: datetime) -> None:
         store = self.store
