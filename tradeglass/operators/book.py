@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tradeglass.schemas import conform
-from tradeglass.sources.orderbook import LEVEL_KEY
+from tradeglass.sources.orderbook import LEVEL_KEY, with_level_id
 
 _MARKET = ["base_asset_id", "quote_asset_id"]
 
@@ -16,16 +16,16 @@ def book_changes(book: DataFrame, levels: DataFrame, markets: DataFrame) -> Data
     One full outer join on the level key.  The key contains the price, so the levels of a busy market
     spread over all tasks.  An existing level keeps its stid.
     """
-    covered = book.join(markets.select(*_MARKET), _MARKET, "left_semi")
-    old = covered.select(*LEVEL_KEY, F.struct("stid", "quantity").alias("_old"))
-    new = levels.select(*LEVEL_KEY, F.struct("stid", "quantity").alias("_new"))
+    covered = with_level_id(book.join(markets.select(*_MARKET), _MARKET, "left_semi"))
+    old = covered.select("level_id", *LEVEL_KEY, F.struct("stid", "quantity").alias("_old"))
+    new = levels.select("level_id", *LEVEL_KEY, F.struct("stid", "quantity").alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
         .when(F.col("_old.quantity").eqNullSafe(F.col("_new.quantity")), "same")
         .otherwise("update")
     )
-    return old.join(new, LEVEL_KEY, "full_outer").select(
+    return old.join(new, ["level_id", *LEVEL_KEY], "full_outer").select(
         *LEVEL_KEY,
         F.when(F.col("_old").isNull(), F.col("_new.stid")).otherwise(F.col("_old.stid")).alias("stid"),
         F.col("_old.quantity").alias("old_quantity"),

@@ -17,8 +17,17 @@ SLICES = ("day", "hour", "minute", "second")
 def choose_slice(rows: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int) -> str | None:
     """Coarsest time slice in which no key exceeds ``rows_per_slice``; None if whole keys fit.
 
-    Rows are counted per key and minute (partial aggregation, nothing wide is moved) and rolled up.
+    Rows are counted per key first, and only if a key is too large per key and minute, rolled up to hours
+    and days.  Both are partial aggregations of two narrow columns.
     """
+    largest = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (largest or 0) <= rows_per_slice:
+        return None
+    return slice_within(rows, keys, ts, rows_per_slice)
+
+
+def slice_within(rows: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int) -> str:
+    """Coarsest slice for rows of which some key does not fit as a whole."""
     counts = rows.groupBy(*keys, F.date_trunc("minute", ts).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("minute", F.col("n"))
     busiest = ["minute"]
@@ -27,12 +36,9 @@ def choose_slice(rows: DataFrame, keys: Sequence[str], ts: str, rows_per_slice:
             F.sum("n").alias("n"), *[F.max(b).alias(b) for b in busiest]
         ).withColumn(unit, F.col("n"))
         busiest.append(unit)
-    per_key = counts.groupBy(*keys).agg(F.sum("n").alias("whole"), *[F.max(b).alias(b) for b in busiest])
-    peak = per_key.agg(*[F.max(b).alias(b) for b in ("whole", *busiest)]).first()
-    for unit in ("whole", "day", "hour", "minute"):
-        if peak[unit] is None or peak[unit] <= rows_per_slice:
-            return None if unit == "whole" else unit
-    return "second"
+    peak = counts.agg(*[F.max(b).alias(b) for b in busiest]).first()
+    fitting = [unit for unit in ("day", "hour", "minute") if (peak[unit] or 0) <= rows_per_slice]
+    return fitting[0] if fitting else "second"
 
 
 def _openings(rows: DataFrame, keys: list[str], order: list[str], value: str, unit: str) -> DataFrame:

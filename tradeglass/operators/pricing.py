@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeglass.config import ExchangeConfig
-from tradeglass.operators.lastknown import choose_slice, last_known
+from tradeglass.operators.lastknown import choose_slice, last_known, slice_within
 from tradeglass.schemas import PRICE, VOLUME
 from tradeglass.session import cut_lineage
 
@@ -48,10 +48,11 @@ def quote_levels(pairs: list[tuple[str, str]], stable: tuple[str, ...]) -> tuple
         open_assets -= ready
 
 
-def _market_pairs(markets: DataFrame, limit: int) -> list[tuple[str, str]] | None:
-    """Distinct pairs, or None when there are more than ``limit``."""
-    rows = markets.select("base_asset_id", "quote_asset_id").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else [(r[0], r[1]) for r in rows]
+def _traded_pairs(trades: DataFrame, limit: int) -> dict[tuple[str, str], int] | None:
+    """Number of trades per market, or None when there are more than ``limit`` markets."""
+    counts = trades.groupBy("base_asset_id", "quote_asset_id").count()
+    rows = counts.limit(limit + 1).collect()
+    return None if len(rows) > limit else {(base, quote): n for base, quote, n in rows}
 
 
 def _ticks(priced: DataFrame, assets: list[str] | None) -> DataFrame:
@@ -97,14 +98,12 @@ def price_trades(
     trades: DataFrame,
     config: ExchangeConfig,
     *,
-    markets: DataFrame | None = None,
     seeds: DataFrame | None = None,
     slice_unit: str | None = "auto",
 ) -> DataFrame:
     """Add ``volume`` (USD) and ``usd_price`` (price of the base asset this trade set, null if none).
 
-    ``markets`` supplies the asset graph (default: the pairs in ``trades``), ``seeds`` previous prices
-    as (asset_id, usd_price).  ``slice_unit`` overrides the choice of time slice.
+    ``seeds`` are previous prices (asset_id, usd_price).  ``slice_unit`` overrides the choice of time slice.
     """
     stable = config.stable_assets
     trades = trades.drop("volume", "usd_price")
@@ -114,11 +113,11 @@ def price_trades(
     )
     rest = trades.filter(~quoted_stable)
 
-    pairs = _market_pairs(markets if markets is not None else trades, config.max_levelled_markets)
-    level, looped = quote_levels(pairs, stable) if pairs is not None else ({}, None)
+    pairs = _traded_pairs(trades, config.max_levelled_markets)
+    level, looped = quote_levels(list(pairs), stable) if pairs is not None else ({}, None)
     used_as_quote = {q for _, q in pairs or [] if q not in stable}
     if slice_unit == "auto":
-        slice_unit = _slice_for(trades, config, used_as_quote if pairs is not None else None)
+        slice_unit = _slice_for(trades, config, pairs, used_as_quote)
 
     stages: dict[int, list[str]] = {}
     for asset in used_as_quote:
@@ -153,13 +152,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _slice_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str] | None) -> str | None:
+def _slice_for(
+    trades: DataFrame, config: ExchangeConfig, pairs: dict[tuple[str, str], int] | None, quotes: set[str]
+) -> str | None:
     """Time slice in which the busiest quote asset, counting its trades on both sides, fits."""
-    if quotes is not None and not quotes:
-        return None
+    if pairs is not None:
+        load = [sum(n for pair, n in pairs.items() if asset in pair) for asset in quotes]
+        if max(load, default=0) <= config.rows_per_slice:
+            return None
     legs = trades.select(F.explode(F.array("base_asset_id", "quote_asset_id")).alias("asset"), "timestamp")
-    wanted = F.col("asset").isin(*quotes) if quotes is not None else ~F.col("asset").isin(*config.stable_assets)
-    return choose_slice(legs.filter(wanted), ["asset"], "timestamp", config.rows_per_slice)
+    if pairs is None:
+        legs = legs.filter(~F.col("asset").isin(*config.stable_assets))
+        return choose_slice(legs, ["asset"], "timestamp", config.rows_per_slice)
+    return slice_within(legs.filter(F.col("asset").isin(*quotes)), ["asset"], "timestamp", config.rows_per_slice)
 
 
 # --- assets that cannot be levelled ---------------------------------------------------------------

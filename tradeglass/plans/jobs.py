@@ -187,8 +187,10 @@ class Jobs:
     # --- jobs -------------------------------------------------------------------------------------
 
     def ingest(self, priced: DataFrame) -> list[date]:
-        """Merge priced trades and bring everything kept per trade day up to date."""
-        priced = cut_lineage(priced)
+        """Merge priced trades and bring everything kept per trade day up to date.
+
+        ``priced`` is read several times; the caller passes it checkpointed.
+        """
         touched = self.store.upsert_trades(priced)
         self.save_closes(touched)
         self.save_trade_prices(priced)
@@ -272,4 +274,4 @@ class Jobs:
         priced_before = pricing.price_trades(earlier, self.config)
         seeds = cut_lineage(pricing.asset_last_price(priced_before))
         later = plain.filter(F.col("timestamp") >= F.lit(datetime(day.year, day.month, day.day)))
-        return self.ingest(pricing.price_trades(later, self.config, seeds=seeds))
+        return self.ingest(cut_lineage(pricing.price_trades(later, self.config, seeds=seeds)))

@@ -10,6 +10,12 @@ from tradeglass.schemas import PRICE
 LEVEL_KEY = ["base_asset_id", "quote_asset_id", "price", "side"]
 
 
+def with_level_id(levels: DataFrame) -> DataFrame:
+    """Add a hash of the level key.  As the first grouping and join key it makes sorting cheap: wide
+    decimals are compared only where hashes are equal."""
+    return levels.withColumn("level_id", F.xxhash64(*LEVEL_KEY))
+
+
 def snapshot_markets(pages: DataFrame) -> DataFrame:
     """Markets that have a snapshot at all.  A page with null items is a failed call and does not count;
     a page with an empty list does: it clears the book."""
@@ -25,7 +31,8 @@ def snapshot_levels(pages: DataFrame) -> DataFrame:
     """Every level of every page, one row per (market, price, side); of copies the last one wins.
 
     Price is compared as a number, so "1.0" and "1.00" are one level.  The reduction is an aggregate,
-    so copies of one hot level collapse before the shuffle.
+    so copies of one hot level collapse before the shuffle.  Column ``level_id`` is kept for the join
+    with the book, which then needs no second shuffle of the levels.
     """
     market, item = F.col("market"), F.col("item")
     rows = pages.select(market, "page", F.posexplode("items").alias("position", "item")).select(
@@ -37,8 +44,8 @@ def snapshot_levels(pages: DataFrame) -> DataFrame:
             "page", "position", item.q.cast(PRICE).alias("quantity"), item.stid.alias("stid")
         ).alias("level"),
     )
-    last = rows.groupBy(*LEVEL_KEY).agg(F.max("level").alias("level"))
-    return last.select(*LEVEL_KEY, "level.stid", "level.quantity")
+    last = with_level_id(rows).groupBy("level_id", *LEVEL_KEY).agg(F.max("level").alias("level"))
+    return last.select("level_id", *LEVEL_KEY, "level.stid", "level.quantity")
 
 
 def latest_snapshot(pages: DataFrame) -> DataFrame:

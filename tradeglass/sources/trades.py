@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeglass.functions.dates import stored_second
@@ -28,39 +30,37 @@ def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 
 def decode_events(events: DataFrame, column: str = "value") -> DataFrame:
-    """Parse each text; ``event`` is null where the text is no usable trade."""
-    parsed = events.withColumn("event", F.from_json(F.col(column), TRADE_EVENT))
-    event = F.col("event")
-    usable = (
-        event.stid.isNotNull()
-        & event.t.isNotNull()
-        & event.p.try_cast(PRICE).isNotNull()
-        & event.q.try_cast(PRICE).isNotNull()
-        & ~is_empty(event.m)
-    )
-    return parsed.withColumn("event", F.when(usable, event))
+    """Parse each text into the event columns; ``usable`` tells whether it is a trade.
+
+    The parsed struct is expanded by a generator, so each text is parsed once: filters on the result
+    are not pushed into the parser.
+    """
+    parsed = events.select(column, F.inline(F.array(F.from_json(F.col(column), TRADE_EVENT))))
+    required = [F.col("stid"), F.col("t"), F.col("p").try_cast(PRICE), F.col("q").try_cast(PRICE)]
+    complete = reduce(lambda a, b: a & b, [part.isNotNull() for part in required])
+    return parsed.withColumn("usable", complete & ~is_empty(F.col("m")))
 
 
 def trades_from(decoded: DataFrame) -> DataFrame:
     """Typed trades of the usable events; ``volume`` (USD) is set later by pricing."""
-    event = F.col("event")
-    return decoded.filter(event.isNotNull()).select(
-        event.stid.alias("trade_id"),
-        event.m.alias("market"),
-        market_base(event.m).alias("base_asset_id"),
-        market_quote(event.m).alias("quote_asset_id"),
-        event.p.cast(PRICE).alias("price"),
-        event.q.cast(PRICE).alias("quantity"),
-        event.vq.try_cast(PRICE).alias("volume_quote"),
-        stored_second(event.t).alias("timestamp"),
-        *[event[name].alias(name) for name in ("m_id", "t_id", "m_cid", "t_cid", "m_side", "t_side")],
-        event.trade_id.alias("trade_oid"),
+    market = F.col("m")
+    return decoded.filter("usable").select(
+        F.col("stid").alias("trade_id"),
+        market.alias("market"),
+        market_base(market).alias("base_asset_id"),
+        market_quote(market).alias("quote_asset_id"),
+        F.col("p").cast(PRICE).alias("price"),
+        F.col("q").cast(PRICE).alias("quantity"),
+        F.col("vq").try_cast(PRICE).alias("volume_quote"),
+        stored_second(F.col("t")).alias("timestamp"),
+        *("m_id", "t_id", "m_cid", "t_cid", "m_side", "t_side"),
+        F.col("trade_id").alias("trade_oid"),
     )
 
 
 def rejected_events(decoded: DataFrame, column: str = "value") -> DataFrame:
     """Texts that could not be used, for the quarantine folder."""
-    return decoded.filter(F.col("event").isNull()).select(F.col(column))
+    return decoded.filter(~F.col("usable")).select(column)
 
 
 def parse_events(events: DataFrame, column: str = "value") -> DataFrame:

@@ -8,7 +8,9 @@ row-local unless it says otherwise.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -26,7 +28,17 @@ AS_OF = datetime(2024, 1, 30, 12, 0, 0)
 TODAY = date(2024, 1, 30)
 CONFIG = ExchangeConfig(native_asset="A00", blocked_assets=("456",), stable_assets=("USDT",))
 
-_stores: dict[tuple[str, str], str] = {}
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def stored(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """A table the jobs keep: written once per session, then read back."""
+
+    @wraps(build)
+    def read(self: Inputs) -> DataFrame:
+        return self.landed(build.__name__, lambda: build(self))
+
+    return read
 
 
 class Inputs:
@@ -79,6 +91,16 @@ class Inputs:
             F.concat(F.lit("O"), text).alias("trade_oid"),
         )
 
+    def landed(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A payload dataset as it lies in the landing zone.  Written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _landed:
+            path = self.scratch(name)
+            build().write.parquet(path)
+            _landed[key] = path
+        return self.spark.read.parquet(_landed[key])
+
+    @stored
     def event_texts(self) -> DataFrame:
         """The same trades as event texts, with the time they happened."""
         event = F.struct(
@@ -94,6 +116,7 @@ class Inputs:
         )
         return self.trade_source().select("timestamp", F.to_json(event).alias("value"))
 
+    @stored
     def markets(self) -> DataFrame:
         """Pairs that occur and are not blocked, and one that never trades."""
         seen = self.trade_source().select(*PAIR).distinct()
@@ -106,17 +129,17 @@ class Inputs:
 
     def price(self) -> DataFrame:
         """Admitted trades with USD volume and the price they set, computed now."""
-        return pricing.price_trades(self.admitted(), CONFIG, markets=self.markets())
+        return pricing.price_trades(self.admitted(), CONFIG)
 
     def store(self) -> Store:
         """The trades as the ingest job leaves them: priced, in day partitions.  Written once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _stores:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "trades")
+        if key not in _landed:
             store = Store(self.spark, self.scratch("landed"))
             priced = self.price().withColumn("trade_date", F.to_date("timestamp"))
             store.overwrite_partitions("trades", conform(priced, "trades", "trade_date", "usd_price", "user_id"))
-            _stores[key] = store.root
-        return Store(self.spark, _stores[key])
+            _landed[key] = store.root
+        return Store(self.spark, _landed[key])
 
     def trades(self) -> DataFrame:
         return self.store().read("trades")
@@ -127,6 +150,7 @@ class Inputs:
 
     # --- assets -----------------------------------------------------------------------------------
 
+    @stored
     def assets(self) -> DataFrame:
         """Every asset that occurs, the idle one included, blocked ones not; names come from ``part``."""
         legs = self.trade_source().select(*PAIR).distinct()
@@ -142,6 +166,7 @@ class Inputs:
             F.lit(True).alias("is_active"),
         )
 
+    @stored
     def asset_prices(self) -> DataFrame:
         """Assets with their last price; the stable one at its pinned price, the idle one without."""
         last = pricing.asset_last_price(self.priced()).select("asset_id", "usd_price")
@@ -151,6 +176,7 @@ class Inputs:
             F.coalesce(F.col("usd_price").cast(PRICE), pinned.cast(PRICE)).alias("price"),
         )
 
+    @stored
     def asset_state(self) -> DataFrame:
         """The asset table: price, pool balance and its value, fees of the fee wallet."""
         prices = self.asset_prices()
@@ -174,6 +200,7 @@ class Inputs:
 
     # --- balances, transfers, metrics -------------------------------------------------------------
 
+    @stored
     def balances(self) -> DataFrame:
         """Pool balances summed from ``customer``, fee balances from ``supplier``, treasury from ``orders``."""
 
@@ -264,6 +291,7 @@ class Inputs:
         market = F.concat_ws("-", F.col("l_partkey"), F.col("l_suppkey") * 25)
         return self.table("lineitem").select(F.array(F.struct(market.alias("market"))).alias("items"))
 
+    @stored
     def book_pages(self) -> DataFrame:
         """Two snapshots of every market: line numbers up to 5, and from 3 on."""
         cents = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
@@ -318,9 +346,11 @@ class Inputs:
             }
         )
 
+    @stored
     def assets_daily(self) -> DataFrame:
         return conform(self._asset_history(F.to_date("timestamp"), "stat_date"), "assets_daily")
 
+    @stored
     def assets_hourly(self) -> DataFrame:
         """Stamped with the end of the hour they sum up."""
         hour = F.date_trunc("hour", "timestamp") + F.expr("INTERVAL 1 HOUR")
@@ -351,6 +381,7 @@ class Inputs:
             {"users": F.sum("new_users").over(running), "total_issuance": F.sum("trades").over(running)}
         )
 
+    @stored
     def exchange_daily(self) -> DataFrame:
         """Day rows; the newest day is still open, without volume and trades."""
         rows = self._exchange_history(F.to_date("timestamp"), "stat_date")
@@ -358,6 +389,7 @@ class Inputs:
         rows = rows.withColumns({name: F.when(closed, F.col(name)) for name in ("volume", "trades")})
         return conform(rows, "exchange_daily")
 
+    @stored
     def exchange_hourly(self) -> DataFrame:
         hour = F.date_trunc("hour", "timestamp") + F.expr("INTERVAL 1 HOUR")
         return conform(self._exchange_history(hour, "stat_time"), "exchange_hourly")

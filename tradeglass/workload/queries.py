@@ -64,7 +64,7 @@ def market_split(data: Inputs) -> DataFrame:
 
 @query
 def orderbook_snapshot(data: Inputs) -> DataFrame:
-    return orderbook.snapshot_levels(orderbook.latest_snapshot(data.book_pages()))
+    return orderbook.snapshot_levels(orderbook.latest_snapshot(data.book_pages())).drop("level_id")
 
 
 @query
