@@ -5,10 +5,11 @@ sets the price of its base asset; any other trade takes the last USD price of it
 is one, for its volume and for the new price of its base; without one the volume stays null and the
 price of the base is unchanged.
 
-The asset graph (a market is an edge base -> quote) is levelled, and trades are priced in one step per
-level of quote asset: each step reads only ticks of assets that are final already, so every trade and
-every tick is shuffled once.  Assets on a cycle, and those above one, cannot be levelled; their trades
-are resolved by pointer doubling.
+Only few assets are used as quotes, and only their price history is needed.  So their ticks are settled
+first, from the narrow columns of the few trades that have such an asset as base: level by level of the
+asset graph (a market is an edge base -> quote), because a tick needs the ticks of its quote asset.
+Assets on a cycle, and those above one, cannot be levelled; their ticks are resolved by pointer
+doubling.  Then all trades are priced in one pass, and each is shuffled once.
 """
 
 from __future__ import annotations
@@ -55,11 +56,7 @@ def _traded_pairs(trades: DataFrame, limit: int) -> dict[tuple[str, str], int] |
     return None if len(rows) > limit else {(base, quote): n for base, quote, n in rows}
 
 
-def _ticks(priced: DataFrame, assets: list[str] | None) -> DataFrame:
-    ticks = priced.filter(F.col("usd_price").isNotNull())
-    if assets is not None:
-        ticks = ticks.filter(F.col("base_asset_id").isin(*assets))
-    return ticks.select(F.col("base_asset_id").alias("asset"), *ORDER, "usd_price")
+TICK = ["asset", *ORDER, "usd_price"]
 
 
 def _seed_ticks(seeds: DataFrame) -> DataFrame:
@@ -85,15 +82,6 @@ def _as_of_quote(probes: DataFrame, ticks: DataFrame, value: str, into: str, uni
     return found.filter(F.col("_tick") == 0).drop("asset", "_tick", value)
 
 
-def _with_usd(trades: DataFrame, quote_usd: Column) -> DataFrame:
-    return trades.withColumns(
-        {
-            "volume": (F.col("volume_quote").cast("double") * quote_usd).cast(VOLUME),
-            "usd_price": F.col("price").cast("double") * quote_usd,
-        }
-    )
-
-
 def price_trades(
     trades: DataFrame,
     config: ExchangeConfig,
@@ -114,38 +102,64 @@ def price_trades(
     rest = trades.filter(~quoted_stable)
 
     pairs = _traded_pairs(trades, config.max_levelled_markets)
-    level, looped = quote_levels(list(pairs), stable) if pairs is not None else ({}, None)
-    used_as_quote = {q for _, q in pairs or [] if q not in stable}
+    quotes = None if pairs is None else {quote for _, quote in pairs if quote not in stable}
+    if quotes is not None and not quotes:
+        return direct
     if slice_unit == "auto":
-        slice_unit = _slice_for(trades, config, pairs, used_as_quote)
-
-    stages: dict[int, list[str]] = {}
-    for asset in used_as_quote:
-        if asset in level:
-            stages.setdefault(level[asset], []).append(asset)
-    settled = [direct]
-    for step in sorted(stages):
-        assets = sorted(stages[step])
-        ticks = [_ticks(part, assets) for part in settled]
-        if seeds is not None:
-            ticks.append(_seed_ticks(seeds).filter(F.col("asset").isin(*assets)))
-        probes = rest.filter(F.col("quote_asset_id").isin(*assets))
-        priced = _as_of_quote(probes, _union(ticks), "usd_price", "_quote_usd", slice_unit)
-        priced = _with_usd(priced, F.col("_quote_usd")).drop("_quote_usd")
-        # Read again as ticks by a later step: compute it once.
-        feeds_later = any(
-            base in used_as_quote and quote in assets and base not in assets for base, quote in pairs
-        )
-        settled.append(cut_lineage(priced) if feeds_later else priced)
+        slice_unit = _slice_for(trades, config, pairs, quotes)
+    ticks = _quote_ticks(direct, rest, pairs, quotes, stable, seeds, slice_unit)
+    priced = _as_of_quote(rest, ticks, "usd_price", "_quote_usd", slice_unit)
+    quote_usd = F.col("_quote_usd")
+    priced = priced.withColumns(
+        {
+            "volume": (F.col("volume_quote").cast("double") * quote_usd).cast(VOLUME),
+            "usd_price": F.col("price").cast("double") * quote_usd,
+        }
+    )
+    return direct.unionByName(priced.drop("_quote_usd"))
+
+
+def _quote_ticks(
+    direct: DataFrame,
+    rest: DataFrame,
+    pairs: dict[tuple[str, str], int] | None,
+    quotes: set[str] | None,
+    stable: tuple[str, ...],
+    seeds: DataFrame | None,
+    slice_unit: str | None,
+) -> DataFrame:
+    """All prices of the assets used as quotes, seeds included.
 
-    if pairs is None or looped & used_as_quote:
-        members = None if pairs is None else sorted(looped & used_as_quote)
-        chained = rest if members is None else rest.filter(F.col("quote_asset_id").isin(*members))
-        ticks = [_ticks(part, members) for part in settled]
-        if seeds is not None:
-            ticks.append(_seed_ticks(seeds))
-        settled.append(_price_chained(chained, _union(ticks), slice_unit))
-    return _union([part.select(*settled[0].columns) for part in settled])
+    Without ``pairs`` (too many markets to level) every asset counts as one that cannot be levelled.
+    """
+    base = F.col("base_asset_id").alias("asset")
+    known = direct.select(base, *ORDER, "usd_price")
+    needed = rest.select("base_asset_id", "quote_asset_id", *ORDER, F.col("price").cast("double").alias("own"))
+    if quotes is not None:
+        known = known.filter(F.col("asset").isin(*quotes))
+        needed = needed.filter(F.col("base_asset_id").isin(*quotes))
+    settled = [known] if seeds is None else [known, _seed_ticks(seeds)]
+    if pairs is None:
+        return _union([*settled, _chained_ticks(needed, _union(settled), slice_unit)])
+
+    level, looped = quote_levels(list(pairs), stable)
+    # Markets between two quote assets: only their trades make ticks that need other ticks.
+    inner = {(b, q) for b, q in pairs if b in quotes and q in quotes}
+    for step in sorted({level[q] for _, q in inner if q in level}):
+        assets = sorted({q for _, q in inner if level.get(q) == step})
+        probes = needed.filter(F.col("quote_asset_id").isin(*assets))
+        history = _union(settled).filter(F.col("asset").isin(*assets))
+        found = _as_of_quote(probes, history, "usd_price", "_quote_usd", slice_unit)
+        made = found.filter(F.col("_quote_usd").isNotNull()).select(
+            base, *ORDER, (F.col("own") * F.col("_quote_usd")).alias("usd_price")
+        )
+        settled.append(cut_lineage(made))
+    if any(q in looped for _, q in inner):
+        members = sorted({q for _, q in inner if q in looped})
+        probes = needed.filter(F.col("quote_asset_id").isin(*members))
+        history = _union(settled).filter(F.col("asset").isin(*members))
+        settled.append(_chained_ticks(probes, history, slice_unit))
+    return _union(settled)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -191,38 +205,29 @@ def _known_from(chained: DataFrame, base_ticks: DataFrame) -> DataFrame:
         known = closer
 
 
-def _price_chained(chained: DataFrame, base_ticks: DataFrame, unit: str | None) -> DataFrame:
-    """Price trades whose quote prices depend on each other.
+def _chained_ticks(chained: DataFrame, base_ticks: DataFrame, unit: str | None) -> DataFrame:
+    """Ticks made by trades (base, quote, place, own price) whose quote prices depend on each other.
 
     Each trade points at the tick that set its quote price.  Pointers are doubled: a trade multiplies in
     what its target has gathered and takes over the target's pointer, so a chain of n ticks ends after
     log2(n) rounds, each one a join on the unique trade id.  Every round is checkpointed.
     """
-    base_ticks = cut_lineage(base_ticks)
-    known = _known_from(chained.select("base_asset_id", "quote_asset_id", *ORDER), base_ticks)
+    base_ticks = cut_lineage(base_ticks.select(*TICK))
+    chained = cut_lineage(chained)
+    known = _known_from(chained, base_ticks)
     start = known.select(F.col("asset").alias("quote_asset_id"), F.col("place").alias("_from"))
-    marked = chained.join(start, "quote_asset_id", "left").withColumn(
-        "_reached", F.coalesce(_place() > F.col("_from"), F.lit(False))
-    ).drop("_from")
+    # Trades after their quote asset became known; all of them make a tick.
+    reached = chained.join(start, "quote_asset_id").filter(_place() > F.col("_from")).drop("_from")
 
     # A tick is either a known price or (no price yet) a reference to the trade that makes it.
-    target = F.struct("trade_id", "usd_price")
-    ticks = base_ticks.unionByName(
-        marked.filter("_reached").select(
-            F.col("base_asset_id").alias("asset"), *ORDER, F.lit(None).cast("double").alias("usd_price")
-        )
-    ).withColumn("target", target)
-    linked = _as_of_quote(
-        marked.select("trade_id", "timestamp", "quote_asset_id", F.col("price").cast("double").alias("own")),
-        ticks.drop("usd_price"),
-        "target",
-        "_at",
-        unit,
-    ).filter(F.col("_at").isNotNull())
-    # quote = gathered * (price made by trade `via`), or just gathered once `via` is null.
+    unpriced = reached.select(F.col("base_asset_id").alias("asset"), *ORDER, F.lit(None).cast("double").alias("usd_price"))
+    ticks = base_ticks.unionByName(unpriced).withColumn("target", F.struct("trade_id", "usd_price"))
+    linked = _as_of_quote(reached, ticks.drop("usd_price"), "target", "_at", unit)
+    # The quote price is gathered * (price made by trade `via`), or just gathered once `via` is null.
     nodes = cut_lineage(
         linked.select(
-            "trade_id",
+            F.col("base_asset_id").alias("asset"),
+            *ORDER,
             "own",
             F.coalesce("_at.usd_price", F.lit(1.0)).alias("gathered"),
             F.when(F.col("_at.usd_price").isNull(), F.col("_at.trade_id")).alias("via"),
@@ -232,20 +237,17 @@ def _price_chained(chained: DataFrame, base_ticks: DataFrame, unit: str | None)
     pending = nodes.filter(F.col("via").isNotNull())
     while not pending.isEmpty():
         targets = nodes.select(
-            F.col("trade_id").alias("via"),
-            (F.col("own") * F.col("gathered")).alias("_made"),
-            F.col("via").alias("_next"),
+            F.col("trade_id").alias("via"), (F.col("own") * F.col("gathered")).alias("_made"), F.col("via").alias("_next")
         )
         stepped = cut_lineage(
             pending.join(targets, "via").select(
-                "trade_id", "own", (F.col("gathered") * F.col("_made")).alias("gathered"), F.col("_next").alias("via")
+                "asset", *ORDER, "own", (F.col("gathered") * F.col("_made")).alias("gathered"), F.col("_next").alias("via")
             )
         )
         done.append(stepped.filter(F.col("via").isNull()))
         pending = stepped.filter(F.col("via").isNotNull())
         nodes = _union(done).unionByName(pending)
-    resolved = _union(done).select("trade_id", F.col("gathered").alias("_quote_usd"))
-    return _with_usd(chained.join(resolved, "trade_id", "left"), F.col("_quote_usd")).drop("_quote_usd")
+    return _union(done).select("asset", *ORDER, (F.col("own") * F.col("gathered")).alias("usd_price"))
 
 
 # --- what prices tell -----------------------------------------------------------------------------
