@@ -9,6 +9,7 @@ from tradeglass import schemas
 from tradeglass.operators import pricing
 from tradeglass.plans.jobs import Jobs, Landed, Report
 from tradeglass.plans.store import Store
+from tradeglass.session import cut_lineage
 from tradeglass.sources.trades import stream_events
 from tradeglass.streaming import windows
 from tradeglass.streaming.trades import TradeStream
@@ -105,7 +106,7 @@ def test_retention(spark, jobs, trades):
     store = jobs.store
     midnight = trades([(9, "NAT", "USD", 2, 1, 2, 2, datetime(2024, 1, 30)), (10, "NAT", "USD", 2, 1, 2, 2, datetime(2024, 1, 30, 0, 0, 1))])
     midnight = midnight.select(*midnight.columns, *[F.lit(None).cast("string").alias(c.split()[0]) for c in schemas.TRADE_IDS.split(", ")])
-    store.upsert_trades(midnight)
+    store.merge_trades(midnight)
     store.clean_trades(TODAY + timedelta(days=60), 60)
     assert sorted(r.trade_id for r in store.read("trades").collect()) == [3, 4, 10]
     hours = spark.createDataFrame([(AS_OF - timedelta(days=7), "A"), (AS_OF, "A")], "stat_time timestamp, asset_id string")
@@ -115,13 +116,21 @@ def test_retention(spark, jobs, trades):
     assert store.read("assets_hourly").count() == 1
 
 
-def test_upsert_moves_a_trade_between_days(spark, jobs, trades):
+def test_merge_of_trades(spark, jobs, trades):
     ingest(jobs, trades)
     store = jobs.store
+    files = {r[0] for r in store.read("trades").select(F.input_file_name()).collect()}
+    again = store.read("trades").withColumn("volume", F.lit(None).cast(schemas.VOLUME)).drop("trade_date")
+    merged = store.merge_trades(again)  # the same events once more: nothing is written
+    assert merged.rewritten == [] and {r[0] for r in store.read("trades").select(F.input_file_name()).collect()} == files
+    assert store.read("trades").filter("volume is null").isEmpty()
     later = store.read("trades").filter("trade_id in (1, 2)").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
-    assert store.upsert_trades(later.drop("trade_date")) == [YESTERDAY, TODAY]
+    later = cut_lineage(later.drop("trade_date").withColumn("usd_price", F.lit(1.0)))
+    assert jobs.ingest(later) == [YESTERDAY, TODAY]
     assert rows(store.read("trades").select("trade_id", "trade_date")) == [(i, TODAY) for i in (1, 2, 3, 4)]
-    assert store.upsert_trades(later.drop("trade_date").limit(0)) == []
+    assert store.read("market_panes").agg(F.sum("trades"), F.min("trade_date")).first()[:] == (4, TODAY)
+    assert rows(store.read("market_closes").select("trade_date", "trade_id")) == [(TODAY, 3), (TODAY, 4)]
+    assert store.merge_trades(later.limit(0)) is None
 
 
 def test_failed_step_does_not_stop(jobs):

@@ -2,6 +2,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal as D
 
 from tradeglass.operators import daily, hourly, rolling
+from tradeglass.operators.activity import panes
 from tradeglass.schemas import EXCHANGE_MEASURES
 
 AS_OF = datetime(2024, 1, 30, 12)
@@ -161,3 +162,14 @@ def test_hourly_and_retention(spark, trades, table):
     hours = table("assets_hourly", [{"stat_time": ago(days=7), "asset_id": "A"}, {"stat_time": ago(days=6, hours=23), "asset_id": "B"}])
     assert [r.asset_id for r in hourly.retained_hourly(hours, AS_OF).collect()] == ["B"]
     assert hourly.freshness_stamp(spark, AS_OF).first().last_update == AS_OF
+
+
+def test_panes_equal_trades(spark, trades, table):
+    rows, markets, assets = window_trades(trades), pairs(spark, ("A", "U"), ("U", "A"), ("Z", "U")), table("assets", [{"asset_id": a} for a in "AUZ"])
+    summed = panes(rows)
+    for as_of in (AS_OF, AS_OF - timedelta(hours=24), AS_OF + timedelta(minutes=1)):
+        whole = sorted(map(tuple, rolling.market_windows(rows, as_of).collect()))
+        assert sorted(map(tuple, rolling.market_windows(summed, as_of).collect())) == whole
+    for day in (TODAY, TODAY - timedelta(days=1)):
+        for op in (lambda r: daily.markets_daily(r, markets, day), lambda r: daily.assets_daily(r, assets, day)):
+            assert sorted(map(str, op(summed).collect())) == sorted(map(str, op(rows).collect()))

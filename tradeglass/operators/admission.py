@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tradeglass.config import ExchangeConfig
-
-PAIR = ["base_asset_id", "quote_asset_id"]
+from tradeglass.operators.activity import PAIR
 
 
 def admitted_trades(trades: DataFrame, markets: DataFrame, config: ExchangeConfig) -> DataFrame:

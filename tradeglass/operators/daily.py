@@ -1,4 +1,7 @@
-"""Day roll-ups and the exchange's day rows."""
+"""Day roll-ups and the exchange's day rows.
+
+Where trades of one day are summed, panes may be given instead.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tradeglass.functions.dates import on, on_day
-from tradeglass.operators.admission import PAIR
+from tradeglass.operators.activity import PAIR, SUMS, activity
 from tradeglass.operators.lastknown import latest_row, one
 from tradeglass.operators.upsert import keep_new, keep_old, merge_rows
 from tradeglass.schemas import ASSET_MEASURES, EXCHANGE_MEASURES, conform, schema_of
@@ -33,14 +36,9 @@ def markets_daily(trades: DataFrame, markets: DataFrame, day: date, *, traded: D
 
     ``traded`` (distinct pairs with a retained trade) saves the scan of all days.
     """
-    sums = on_day(trades, day).groupBy(*PAIR).agg(
-        F.sum("volume").alias("volume"),
-        F.sum("volume_quote").alias("volume_quote"),
-        F.sum("quantity").alias("volume_base"),
-        F.count(F.lit(1)).alias("trades"),
-    )
+    sums = activity(on_day(trades, day)).groupBy(*PAIR).agg(*[F.sum(name).alias(name) for name in SUMS])
     never = markets.select(*PAIR).join(traded_pairs(trades) if traded is None else traded, PAIR, "left_anti")
-    zero = [F.lit(0).alias(name) for name in ("volume", "volume_quote", "volume_base", "trades")]
+    zero = [F.lit(0).alias(name) for name in SUMS]
     rows = conform(sums.withColumn("stat_date", on(day)), "markets_daily")
     return rows.unionByName(conform(never.select(on(day).alias("stat_date"), *PAIR, *zero), "markets_daily"))
 
@@ -51,8 +49,8 @@ def assets_daily(trades: DataFrame, assets: DataFrame, day: date, *, compat: boo
     ``compat`` treats the legs as a set of rows: two equal legs count once, and the value locked of an
     asset active on both legs is added up.  Trades are summed per market first; legs are made of those.
     """
-    pairs = on_day(trades, day).groupBy(*PAIR).agg(
-        F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("trades")
+    pairs = activity(on_day(trades, day)).groupBy(*PAIR).agg(
+        F.sum("volume").alias("volume"), F.sum("trades").alias("trades")
     )
     sides = [F.struct(F.lit(side).alias("side"), F.col(side).alias("asset_id")) for side in PAIR]
     legs = (
@@ -85,7 +83,9 @@ def assets_daily(trades: DataFrame, assets: DataFrame, day: date, *, compat: boo
 
 def exchange_daily_close(exchange_daily: DataFrame, trades: DataFrame, day: date) -> DataFrame:
     """The day rows with volume (null when there were no trades) and trade count of ``day`` filled in."""
-    totals = on_day(trades, day).agg(F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("trades"))
+    totals = activity(on_day(trades, day)).agg(
+        F.sum("volume").alias("volume"), F.coalesce(F.sum("trades"), F.lit(0)).alias("trades")
+    )
     is_day = F.col("stat_date") == on(day)
     closed = exchange_daily.withColumn("_totals", one(totals)).withColumns(
         {

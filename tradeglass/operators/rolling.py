@@ -1,7 +1,7 @@
 """The last 24 hours against the 24 hours before.
 
-All three dashboards come from one aggregate per market: it reads the day partitions of 48 hours once,
-and per-asset and exchange figures are sums over its (few) rows, so no trade is read or doubled again.
+All three dashboards come from one aggregate per market: it reads 48 hours of activity (trades or panes)
+once, and per-asset and exchange figures are sums over its few rows, so nothing is read or doubled again.
 """
 
 from __future__ import annotations
@@ -11,34 +11,27 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeglass.functions.dates import DAY, at, in_current, in_previous, prune
-from tradeglass.operators.admission import PAIR
+from tradeglass.operators.activity import PAIR, SUMS, activity
 from tradeglass.operators.lastknown import latest_before, latest_row, one
 from tradeglass.schemas import ASSET_MEASURES, EXCHANGE_MEASURES, conform, schema_of
 
-_SUMS = ("trades", "volume", "volume_quote", "volume_base")
 
-
-def market_windows(trades: DataFrame, as_of: datetime) -> DataFrame:
+def market_windows(rows: DataFrame, as_of: datetime) -> DataFrame:
     """Per market: counts, sums and price range of the current window, counts and sums of the previous."""
     ts = F.col("timestamp")
-    recent = prune(trades, (as_of - 2 * DAY).date(), as_of.date()).filter(
+    recent = prune(rows, (as_of - 2 * DAY).date(), as_of.date()).filter(
         (ts > at(as_of - 2 * DAY)) & (ts <= at(as_of))
     )
     current, previous = in_current(ts, as_of), in_previous(ts, as_of)
 
     def sums(window: Column, prefix: str) -> list[Column]:
-        return [
-            F.count(F.when(window, F.lit(1))).alias(f"{prefix}trades"),
-            F.sum(F.when(window, F.col("volume"))).alias(f"{prefix}volume"),
-            F.sum(F.when(window, F.col("volume_quote"))).alias(f"{prefix}volume_quote"),
-            F.sum(F.when(window, F.col("quantity"))).alias(f"{prefix}volume_base"),
-        ]
+        return [F.sum(F.when(window, F.col(name))).alias(f"{prefix}{name}") for name in SUMS]
 
-    return recent.groupBy(*PAIR).agg(
+    return activity(recent).groupBy(*PAIR).agg(
         *sums(current, ""),
         *sums(previous, "previous_"),
-        F.min(F.when(current, F.col("price"))).alias("price_low"),
-        F.max(F.when(current, F.col("price"))).alias("price_high"),
+        F.min(F.when(current, F.col("price_low"))).alias("price_low"),
+        F.max(F.when(current, F.col("price_high"))).alias("price_high"),
     )
 
 
@@ -83,7 +76,7 @@ def markets_24h(
     for side in PAIR:
         listed = listed.join(known.withColumnRenamed("asset_id", side), side, "left_semi")
     joined = listed.join(windows, PAIR, "left").join(price_before(trades, as_of - DAY, closes), PAIR, "left")
-    zeros = {f"{prefix}{name}": 0 for prefix in ("", "previous_") for name in _SUMS}
+    zeros = {f"{prefix}{name}": 0 for prefix in ("", "previous_") for name in SUMS}
     filled = joined.withColumns(
         {name: F.coalesce(F.col(name), F.lit(0)) for name in [*zeros, "price_24h"]}
     )

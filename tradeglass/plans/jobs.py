@@ -13,9 +13,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tradeglass.config import ExchangeConfig
-from tradeglass.functions.dates import on_day
+from tradeglass.functions.dates import at
 from tradeglass.operators import book, daily, hourly, pricing, rolling, upsert, values
-from tradeglass.plans.store import Store
+from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
+from tradeglass.plans.store import Merged, Store
 from tradeglass.schemas import EXCHANGE_MEASURES, conform, schema_of
 from tradeglass.session import cut_lineage
 from tradeglass.sources import chain, listings, orderbook
@@ -151,26 +152,63 @@ class Jobs:
         self.store.replace("exchange_alltime", daily.exchange_alltime(self.store.read("exchange_daily")))
 
     def _day_tables(self, day: date) -> None:
+        """From panes, and the pairs ever traded from the closes: no trade is read."""
         store = self.store
-        trades, assets = store.read("trades"), store.read("assets")
-        # Distinct traded pairs come from the small closes table, not from all retained trades.
-        traded = daily.traded_pairs(store.read("market_closes")).unionByName(
-            daily.traded_pairs(on_day(trades, day))
-        )
-        store.replace_partition("assets_daily", daily.assets_daily(trades, assets, day), day)
-        rows = daily.markets_daily(trades, store.read("markets"), day, traded=traded.distinct())
+        panes, assets = store.read("market_panes"), store.read("assets")
+        traded = daily.traded_pairs(store.read("market_closes"))
+        store.replace_partition("assets_daily", daily.assets_daily(panes, assets, day), day)
+        rows = daily.markets_daily(panes, store.read("markets"), day, traded=traded)
         store.replace_partition("markets_daily", rows, day)
 
-    def save_closes(self, days: list[date]) -> None:
-        """Recompute the last trades of the given days (those an ingest touched)."""
+    # --- kept along with the trades ---------------------------------------------------------------
+
+    def _summarise_days(self, days: list[date]) -> None:
+        """Panes and market closes of whole days, from their trades."""
         trades = self.store.read("trades").filter(F.col("trade_date").isin(days))
-        self.store.drop_partitions("market_closes", lambda day: day in days)
-        self.store.overwrite_partitions("market_closes", rolling.market_closes(trades))
+        left = {row.trade_date for row in trades.select("trade_date").distinct().collect()}
+        for table, rows in (("market_panes", panes(trades)), ("market_closes", rolling.market_closes(trades))):
+            self.store.overwrite_partitions(table, conform(rows, table, "trade_date"))
+            self.store.drop_partitions(table, lambda day: day in days and day not in left)
+
+    def _add_panes(self, merged: Merged) -> None:
+        """Take the panes the batch falls into anew: trades are read only within its time range."""
+        ts, keys = F.col("timestamp"), ["pane", *PAIR]
+        touched = merged.rows.select(pane_time(ts).alias("pane"), *PAIR).distinct()
+        trades = self.store.read("trades").filter(F.col("trade_date").isin(merged.days))
+        minute = timedelta(minutes=1)
+        near = trades.filter((ts >= at(merged.first - minute)) & (ts <= at(merged.last + minute)))
+        inside = near.withColumn("pane", pane_time(ts)).join(touched, keys, "left_semi").drop("pane")
+        stored = self.store.read("market_panes").filter(F.col("trade_date").isin(merged.days))
+        kept = stored.withColumn("pane", ts).join(touched, keys, "left_anti").drop("pane")
+        rows = kept.unionByName(conform(panes(inside), "market_panes", "trade_date"))
+        self.store.overwrite_partitions("market_panes", rows)
+
+    def _add_closes(self, merged: Merged) -> None:
+        stored = self.store.read("market_closes").filter(F.col("trade_date").isin(merged.days))
+        rows = stored.unionByName(conform(rolling.market_closes(merged.rows), "market_closes", "trade_date"))
+        last = upsert.last_per_key(rows, ["trade_date", *PAIR], ["trade_id"])
+        self.store.overwrite_partitions("market_closes", last)
+
+    def _add_asset_closes(self, priced: DataFrame) -> None:
+        """Last price of each asset per day.  At the same trade the new price counts: it was priced again."""
+        made = priced.filter(F.col("usd_price").isNotNull()).select(
+            F.to_date("timestamp").alias("trade_date"), F.col("base_asset_id").alias("asset_id"),
+            "usd_price", *pricing.ORDER, F.lit(1).alias("_new"),
+        )
+        keys = ["trade_date", "asset_id"]
+        new = upsert.last_per_key(made, keys, pricing.ORDER)
+        stored = self.store.read("asset_closes").withColumn("_new", F.lit(0))
+        stored = stored.join(new.select("trade_date").distinct(), "trade_date", "left_semi")
+        last = upsert.last_per_key(stored.unionByName(new), keys, [*pricing.ORDER, "_new"])
+        self.store.overwrite_partitions("asset_closes", conform(last, "asset_closes", "trade_date"))
+
+    # --- dashboards -------------------------------------------------------------------------------
 
     def _rolling_tables(self, as_of: datetime) -> None:
         store = self.store
         trades, assets = store.read("trades"), store.read("assets")
-        windows = cut_lineage(rolling.market_windows(trades, as_of))
+        source = store.read("market_panes") if exact_for(as_of) else trades
+        windows = cut_lineage(rolling.market_windows(source, as_of))
         closes = store.read("market_closes")
         store.replace(
             "markets_24h",
@@ -186,15 +224,21 @@ class Jobs:
 
     # --- jobs -------------------------------------------------------------------------------------
 
-    def ingest(self, priced: DataFrame) -> list[date]:
-        """Merge priced trades and bring everything kept per trade day up to date.
+    def ingest(self, priced: DataFrame, *, reprice: bool = False) -> list[date]:
+        """Merge priced trades and bring everything kept along with them up to date; returns the days touched.
 
         ``priced`` is read several times; the caller passes it checkpointed.
         """
-        touched = self.store.upsert_trades(priced)
-        self.save_closes(touched)
+        merged = self.store.merge_trades(priced, reprice=reprice)
+        if merged is None:
+            return []
+        self._add_panes(merged)
+        self._add_closes(merged)
+        if merged.rewritten:
+            self._summarise_days(merged.rewritten)
+        self._add_asset_closes(priced)
         self.save_trade_prices(priced)
-        return touched
+        return merged.days
 
     def refresh(self, as_of: datetime, landed: Landed) -> Report:
         """Every five minutes."""
@@ -241,8 +285,13 @@ class Jobs:
 
         def close() -> None:
             days = store.read("exchange_daily")
-            store.replace("exchange_daily", daily.exchange_daily_close(days, store.read("trades"), yesterday))
+            store.replace("exchange_daily", daily.exchange_daily_close(days, store.read("market_panes"), yesterday))
+
+        def settle() -> None:
+            store.compact_trades(yesterday)
+            self._summarise_days([yesterday])
 
+        report.run("settle", settle)
         report.run("close", close)
         report.run("new_day", lambda: self._roll_forward(today))
         report.run("day", lambda: self._day_tables(yesterday))
@@ -255,8 +304,9 @@ class Jobs:
     def _clean_closes(self, today: date) -> None:
         """The closes follow the trades: gone days go, the cut day is taken anew."""
         cut = today - timedelta(days=self.config.trade_retention_days)
-        self.store.drop_partitions("market_closes", lambda day: day < cut)
-        self.save_closes([cut])
+        for table in ("market_closes", "market_panes"):
+            self.store.drop_partitions(table, lambda day: day < cut)
+        self._summarise_days([cut])
 
     def update_book(self, pages: DataFrame, as_of: datetime) -> None:
         """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""
@@ -266,12 +316,10 @@ class Jobs:
         self.store.replace("orderbook_lastupdate", hourly.freshness_stamp(self.spark, as_of))
 
     def reprice_from(self, day: date) -> list[date]:
-        """Price stored trades again from ``day`` on, after late trades arrived: the prices in force before
-        it are the last ones set by earlier trades."""
-        trades = self.store.read("trades")
-        plain = trades.drop("trade_date")
-        earlier = plain.filter(F.col("timestamp") < F.lit(datetime(day.year, day.month, day.day)))
-        priced_before = pricing.price_trades(earlier, self.config)
-        seeds = cut_lineage(pricing.asset_last_price(priced_before))
-        later = plain.filter(F.col("timestamp") >= F.lit(datetime(day.year, day.month, day.day)))
-        return self.ingest(cut_lineage(pricing.price_trades(later, self.config, seeds=seeds)))
+        """Price stored trades again from ``day`` on, after late trades arrived, starting from the last
+        prices set before that day."""
+        closes = self.store.read("asset_closes").filter(F.col("trade_date") < F.lit(day))
+        seeds = upsert.last_per_key(closes.drop("trade_date"), ["asset_id"], pricing.ORDER)
+        trades = self.store.read("trades").filter(F.col("trade_date") >= F.lit(day)).drop("trade_date")
+        priced = cut_lineage(pricing.price_trades(trades, self.config, seeds=seeds))
+        return self.ingest(priced, reprice=True)

@@ -7,6 +7,7 @@ its ``_SUCCESS`` marker exists, so a failed write leaves the previous one in for
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -14,18 +15,35 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tradeglass.functions.dates import at
 from tradeglass.operators.upsert import insert_new, last_per_key, merge_rows
 from tradeglass.schemas import schema_of
+from tradeglass.session import cut_lineage
 
 PARTITIONED = {
     "trades": "trade_date date",
+    "market_panes": "trade_date date",
     "market_closes": "trade_date date",
+    "asset_closes": "trade_date date",
     "markets_daily": "stat_date date",
     "assets_daily": "stat_date date",
     "assets_hourly": "stat_time timestamp",
 }
 APPENDED = ("fee_withdrawals",)
+# Order within the files of a table, so that ranges of it skip row groups.
+SORTED = {"trades": "trade_id"}
 _VERSIONS_KEPT = 3
 
 
+@dataclass(frozen=True)
+class Merged:
+    """What a merge of trades touched: its rows (one per id), their days and time range, and the days that
+    had to be rewritten."""
+
+    rows: DataFrame
+    days: list[date]
+    rewritten: list[date]
+    first: datetime
+    last: datetime
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -92,7 +110,7 @@ class Store:
         """
         column = self._partition_column(table)
         seen = Observation()
-        written = rows.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance", column)
+        written = self._laid_out(table, rows.observe(seen, F.count(F.lit(1)).alias("n")))
         (
             written.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -101,6 +119,11 @@ class Store:
         )
         return seen.get["n"]
 
+    def _laid_out(self, table: str, rows: DataFrame) -> DataFrame:
+        column = self._partition_column(table)
+        balanced = rows.hint("rebalance", column)
+        return balanced.sortWithinPartitions(column, SORTED[table]) if table in SORTED else balanced
+
     def replace_partition(self, table: str, rows: DataFrame, value: date | datetime) -> None:
         """Exchange one partition; no rows remove it."""
         if self.overwrite_partitions(table, rows) == 0:
@@ -122,34 +145,64 @@ class Store:
         """Append rows with an unseen key."""
         insert_new(self.read(table), rows, key, required, order).write.mode("append").parquet(f"{self.root}/{table}")
 
-    def upsert_trades(self, batch: DataFrame) -> list[date]:
-        """Merge a batch of trades by id and return the days it touched.
+    def merge_trades(self, batch: DataFrame, *, reprice: bool = False) -> Merged | None:
+        """Merge a batch of trades by id; None for an empty one.
 
-        Only the days of the batch are rewritten, and any other day that holds an older copy of one of
-        its ids.  Ids grow with time, so the id range of the batch lets the scan skip nearly all files
-        when looking for those.
+        New ids are appended as new files.  Ids stored already are looked for only in days whose id span
+        the batch meets, and there only in row groups of its range.  An unchanged event is left alone (its
+        volume too, unless ``reprice``); for a changed one its day, old and new, is rewritten.  A rerun
+        finds its own rows unchanged.
         """
         stored = self.read("trades")
         dated = batch.withColumn("trade_date", F.to_date("timestamp")).select(*stored.columns)
-        single = last_per_key(dated, ["trade_id"], ["timestamp", "price", "quantity"])
-        span = dated.agg(
-            F.min("trade_id").alias("low"), F.max("trade_id").alias("high"), F.collect_set("trade_date").alias("days")
-        ).first()
-        if not span.days:
-            return []
-        elsewhere = stored.filter(F.col("trade_id").between(span.low, span.high) & ~F.col("trade_date").isin(span.days))
-        moved = elsewhere.join(single, "trade_id", "left_semi").select("trade_date").distinct().collect()
-        moved_days = [row.trade_date for row in moved]
-        touched = sorted({*span.days, *moved_days})
-        merged = merge_rows(stored.filter(F.col("trade_date").isin(touched)), single, ["trade_id"], {})
-        emptied = set(moved_days)
-        if emptied:
-            left = merged.filter(F.col("trade_date").isin(moved_days)).select("trade_date").distinct().collect()
-            emptied -= {row.trade_date for row in left}
+        single = cut_lineage(last_per_key(dated, ["trade_id"], ["timestamp", "price", "quantity"]))
+        bounds = [F.min("trade_id").alias("low"), F.max("trade_id").alias("high")]
+        per_day = single.groupBy("trade_date").agg(*bounds, F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+        spans = per_day.collect()
+        if not spans:
+            return None
+        low, high = min(span.low for span in spans), max(span.high for span in spans)
+        days = {span.trade_date for span in spans}
+
+        # Spans first: too wide a span does no harm if the write below fails.
+        known = self.read("trade_days")
+        near = [day.trade_date for day in known.filter((F.col("low") <= high) & (F.col("high") >= low)).collect()]
+        widened = known.unionByName(per_day.select("trade_date", "low", "high")).groupBy("trade_date")
+        self.replace("trade_days", widened.agg(F.min("low").alias("low"), F.max("high").alias("high")))
+
+        candidates = stored.filter(F.col("trade_date").isin(near) & F.col("trade_id").between(low, high))
+        existing = cut_lineage(candidates.join(single.select("trade_id"), "trade_id", "left_semi"))
+        compared = [name for name in stored.columns if reprice or name != "volume"]
+        old = existing.select("trade_id", F.col("trade_date").alias("old_date"), F.struct(*compared).alias("old"))
+        new = single.select("trade_id", "trade_date", F.struct(*compared).alias("new"))
+        changed = cut_lineage(
+            old.join(new, "trade_id").filter(~F.col("old").eqNullSafe(F.col("new"))).select("trade_id", "old_date", "trade_date")
+        )
+        moves = changed.select("old_date", "trade_date").distinct().collect()
+        rewritten = {day for move in moves for day in move}
+        if rewritten:
+            self._rewrite_days(stored.filter(F.col("trade_date").isin(rewritten)), single, changed, rewritten)
+        fresh = single.join(existing.select("trade_id"), "trade_id", "left_anti")
+        self._laid_out("trades", fresh).write.mode("append").partitionBy("trade_date").parquet(f"{self.root}/trades")
+        return Merged(
+            rows=single,
+            days=sorted(days | rewritten),
+            rewritten=sorted(rewritten),
+            first=min(span.first for span in spans),
+            last=max(span.last for span in spans),
+        )
+
+    def _rewrite_days(self, current: DataFrame, single: DataFrame, changed: DataFrame, days: set[date]) -> None:
+        replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
+        merged = cut_lineage(merge_rows(current, replaced, ["trade_id"], {}))
+        left = {row.trade_date for row in merged.select("trade_date").distinct().collect()}
         self.overwrite_partitions("trades", merged)
-        if emptied:
-            self.drop_partitions("trades", lambda day: day in emptied)
-        return touched
+        self.drop_partitions("trades", lambda day: day in days - left)
+
+    def compact_trades(self, day: date) -> None:
+        """Write the files of a finished day anew: few, large, ordered by id."""
+        rows = self.read("trades").filter(F.col("trade_date") == F.lit(day))
+        self.overwrite_partitions("trades", rows)
 
     # --- retention --------------------------------------------------------------------------------
 

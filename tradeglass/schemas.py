@@ -107,8 +107,16 @@ TABLES = {
     "orderbook_lastupdate": "last_update timestamp",
     "fee_withdrawals": f"transfer_id bigint, asset_symbol string, amount {PRICE}",
     "metadata": "data_name string, data_value string",
-    # Derived helpers: last trade of each market per day, and the price state of the stream.
+    # Kept along with the trades, so that no job reads them all: the span of each day, activity per
+    # minute, the last trade of each market and the last price of each asset per day.
+    "trade_days": "trade_date date, low bigint, high bigint",
+    "market_panes": (
+        f"timestamp timestamp, base_asset_id string, quote_asset_id string, trades bigint, volume {VOLUME}, "
+        f"volume_quote {PRICE}, volume_base {PRICE}, price_low {PRICE}, price_high {PRICE}"
+    ),
     "market_closes": f"base_asset_id string, quote_asset_id string, trade_id bigint, price {PRICE}",
+    "asset_closes": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
+    # Price state of a trade stream.
     "asset_prices": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
 }
 

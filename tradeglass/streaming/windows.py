@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradeglass.operators.admission import PAIR
+from tradeglass.operators.activity import PAIR
 from tradeglass.plans.jobs import Jobs
 from tradeglass.schemas import PRICE, VOLUME
 from tradeglass.sources import chain

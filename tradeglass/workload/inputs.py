@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.numeric import floor_amount
 from tradeglass.operators import pricing
-from tradeglass.operators.admission import PAIR, admitted_trades
+from tradeglass.operators.activity import PAIR
+from tradeglass.operators.admission import admitted_trades
 from tradeglass.plans.store import Store
 from tradeglass.schemas import BALANCE, FEES, PRICE, USD, VOLUME, conform
 from tradeglass.session import prepare, scratch_dir

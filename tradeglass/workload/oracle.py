@@ -503,6 +503,8 @@ SQL: dict[str, str] = {
         GROUP BY 2, 3, 4
         HAVING window_end <= (SELECT max(timestamp) FROM priced) - INTERVAL 1 HOUR""",
 }
+SQL["markets_24h_from_panes"] = _MARKETS_24H
+SQL["markets_daily_from_panes"] = SQL["markets_daily"]
 SQL["orderbook_job"] = f"""
         SELECT *, {AS_OF} + INTERVAL 2 MINUTE AS last_update FROM ({SQL['orderbook_apply']})"""
 

@@ -11,6 +11,7 @@ from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import DAY, at, in_current, in_previous
 from tradeglass.functions.numeric import floor_amount
 from tradeglass.operators import admission, book, daily, hourly, lastknown, pricing, rolling, upsert, values
+from tradeglass.operators.activity import PAIR, panes
 from tradeglass.plans.jobs import Jobs
 from tradeglass.plans.store import Store
 from tradeglass.schemas import PRICE, VOLUME, conform, schema_of
@@ -188,6 +189,11 @@ def markets_daily(data: Inputs) -> DataFrame:
     return daily.markets_daily(data.trades(), data.markets(), TODAY)
 
 
+@query
+def markets_daily_from_panes(data: Inputs) -> DataFrame:
+    return daily.markets_daily(panes(data.trades()), data.markets(), TODAY)
+
+
 @query
 def assets_daily(data: Inputs) -> DataFrame:
     return daily.assets_daily(data.trades(), data.asset_state(), TODAY)
@@ -211,6 +217,14 @@ def markets_24h_from_closes(data: Inputs) -> DataFrame:
     return rolling.markets_24h(trades, data.markets(), data.assets(), AS_OF, closes=closes)
 
 
+@query
+def markets_24h_from_panes(data: Inputs) -> DataFrame:
+    """The same from sums per minute, as the refresh job does it."""
+    trades = data.trades()
+    windows = rolling.market_windows(panes(trades), AS_OF)
+    return rolling.markets_24h(trades, data.markets(), data.assets(), AS_OF, windows=windows)
+
+
 @query
 def assets_24h(data: Inputs) -> DataFrame:
     return rolling.assets_24h(data.trades(), data.asset_state(), data.assets_hourly(), AS_OF)
@@ -398,7 +412,7 @@ def upsert_assets_nullsafe(data: Inputs) -> DataFrame:
 @query
 def upsert_markets(data: Inputs) -> DataFrame:
     """Listed markets get the last trade price; a refresh without prices keeps it."""
-    listed = data.markets().select(*admission.PAIR, F.lit(True).alias("is_active"), F.lit(None).cast(PRICE).alias("price"))
+    listed = data.markets().select(*PAIR, F.lit(True).alias("is_active"), F.lit(None).cast(PRICE).alias("price"))
     traded = pricing.market_last_price(data.trades()).withColumn("is_active", F.lit(True)).select(*listed.columns)
     return upsert.upsert_markets(upsert.upsert_markets(listed, traded), listed)
 
