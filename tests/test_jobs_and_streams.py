@@ -96,7 +96,7 @@ def test_all_jobs(spark, jobs, trades):
         assert (closed.volume, closed.trades) == (D(44), 2)
         assert store.read("exchange_alltime").first().trades == 2
         assert store.read("trades").count() == 4
-    assert rows(store.read("market_closes").select("base_asset_id", "trade_id", "trade_date")) == [
+    assert rows(store.read("market_closes").select("base_asset_id", "close_id", "trade_date")) == [
         ("AAA", 2, YESTERDAY), ("AAA", 4, TODAY), ("NAT", 1, YESTERDAY), ("NAT", 3, TODAY)
     ]
 
@@ -129,10 +129,19 @@ def test_merge_of_trades(spark, jobs, trades):
     assert jobs.ingest(later) == [YESTERDAY, TODAY]
     assert rows(store.read("trades").select("trade_id", "trade_date")) == [(i, TODAY) for i in (1, 2, 3, 4)]
     assert store.read("market_panes").agg(F.sum("trades"), F.min("trade_date")).first()[:] == (4, TODAY)
-    assert rows(store.read("market_closes").select("trade_date", "trade_id")) == [(TODAY, 3), (TODAY, 4)]
+    assert rows(store.read("market_closes").select("trade_date", "close_id")) == [(TODAY, 3), (TODAY, 4)]
     assert store.merge_trades(later.limit(0)) is None
 
 
+def test_backfill_equals_ingest(spark, jobs, trades, config, tmp_path):
+    ingest(jobs, trades)
+    other = Jobs(Store(spark, str(tmp_path / "other")), config)
+    history = jobs.store.read("trades").drop("trade_date")
+    other.backfill(history.unionByName(history))
+    for name in ("trades", "trade_days", "market_panes", "market_closes", "asset_closes", "markets"):
+        assert rows(other.store.read(name)) == rows(jobs.store.read(name)), name
+
+
 def test_failed_step_does_not_stop(jobs):
     report = Report()
     report.run("bad", lambda: 1 / 0)

@@ -22,6 +22,11 @@ def pane_time(ts: Column) -> Column:
     return F.when(ts == minute, ts).otherwise(minute + F.expr("INTERVAL 30 SECONDS"))
 
 
+def closing() -> list[Column]:
+    """The trade with the greatest id of a group, and its price."""
+    return [F.max("close_id").alias("close_id"), F.max_by("close_price", "close_id").alias("close_price")]
+
+
 def activity(rows: DataFrame) -> DataFrame:
     """Trades as activity rows; panes as they are."""
     if "trades" in rows.columns:
@@ -32,6 +37,8 @@ def activity(rows: DataFrame) -> DataFrame:
             "volume_base": F.col("quantity"),
             "price_low": F.col("price"),
             "price_high": F.col("price"),
+            "close_id": F.col("trade_id"),
+            "close_price": F.col("price"),
         }
     )
 
@@ -45,6 +52,7 @@ def panes(trades: DataFrame) -> DataFrame:
             *[F.sum(name).alias(name) for name in SUMS],
             F.min("price_low").alias("price_low"),
             F.max("price_high").alias("price_high"),
+            *closing(),
         )
         .withColumn("trade_date", F.to_date("timestamp"))
     )

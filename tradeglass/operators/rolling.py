@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeglass.functions.dates import DAY, at, in_current, in_previous, prune
-from tradeglass.operators.activity import PAIR, SUMS, activity
+from tradeglass.operators.activity import PAIR, SUMS, activity, closing
 from tradeglass.operators.lastknown import latest_before, latest_row, one
 from tradeglass.schemas import ASSET_MEASURES, EXCHANGE_MEASURES, conform, schema_of
 
@@ -35,29 +35,25 @@ def market_windows(rows: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def market_closes(trades: DataFrame) -> DataFrame:
-    """Trade with the greatest id per market and day.  Kept as a table, it stands in for all older trades
+def market_closes(rows: DataFrame) -> DataFrame:
+    """Trade with the greatest id per market and day.  Kept as a table, it stands in for all older activity
     when looking up the price 24 hours ago."""
-    day = F.to_date("timestamp").alias("trade_date")
-    return trades.groupBy(day, *PAIR).agg(
-        F.max("trade_id").alias("trade_id"), F.max_by("price", "trade_id").alias("price")
-    )
+    return activity(rows).groupBy(F.to_date("timestamp").alias("trade_date"), *PAIR).agg(*closing())
 
 
-def price_before(trades: DataFrame, cut: datetime, closes: DataFrame | None = None) -> DataFrame:
+def price_before(rows: DataFrame, cut: datetime, closes: DataFrame | None = None) -> DataFrame:
     """Per market the price of the greatest trade id not after ``cut`` (by id, not by time).
 
-    With ``closes`` only the day of the cut is read from the trades; days before it come from there.
+    With ``closes`` only the day of the cut is read from the activity; days before it come from there.
     """
     day = cut.date()
-    recent = prune(trades, None if closes is None else day, day).filter(F.col("timestamp") <= at(cut))
+    recent = prune(rows, None if closes is None else day, day).filter(F.col("timestamp") <= at(cut))
     if closes is not None:
-        midnight = datetime(day.year, day.month, day.day)
-        recent = recent.filter(F.col("timestamp") >= at(midnight))
-    rows = recent.select(*PAIR, "trade_id", "price")
+        recent = recent.filter(F.col("timestamp") >= at(datetime(day.year, day.month, day.day)))
+    last = activity(recent).select(*PAIR, "close_id", "close_price")
     if closes is not None:
-        rows = rows.unionByName(closes.filter(F.col("trade_date") < F.lit(day)).select(*rows.columns))
-    return rows.groupBy(*PAIR).agg(F.max_by("price", "trade_id").alias("price_24h"))
+        last = last.unionByName(closes.filter(F.col("trade_date") < F.lit(day)).select(*last.columns))
+    return last.groupBy(*PAIR).agg(F.max_by("close_price", "close_id").alias("price_24h"))
 
 
 def markets_24h(
@@ -69,7 +65,10 @@ def markets_24h(
     closes: DataFrame | None = None,
     windows: DataFrame | None = None,
 ) -> DataFrame:
-    """Every market whose two assets exist; zeros where idle, no price range where idle."""
+    """Every market whose two assets exist; zeros where idle, no price range where idle.
+
+    ``trades`` may be panes.  ``windows`` are ``market_windows`` of them, if at hand.
+    """
     windows = market_windows(trades, as_of) if windows is None else windows
     known = assets.select("asset_id")
     listed = markets.select(*PAIR)

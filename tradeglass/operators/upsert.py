@@ -38,6 +38,15 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return last.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in rows.columns])
 
 
+def unique_trades(trades: DataFrame) -> DataFrame:
+    """One row per trade id, the last by timestamp.  Repeated ids are rare, so they are looked for in the
+    id column alone; only if there are any, whole rows are shuffled."""
+    repeated = trades.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    if repeated.isEmpty():
+        return trades
+    return last_per_key(trades, ["trade_id"], ["timestamp", "price", "quantity"])
+
+
 def merge_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[str], rules: Mapping[str, Rule]
 ) -> DataFrame:
@@ -70,8 +79,7 @@ MARKET_RULES: dict[str, Rule] = {"price": keep_new}
 
 def upsert_trades(target: DataFrame, source: DataFrame) -> DataFrame:
     """Every column replaced by trade id; of several source rows of one id the last by timestamp counts."""
-    single = last_per_key(source.select(*target.columns), ["trade_id"], ["timestamp", "price", "quantity"])
-    return merge_rows(target, single, ["trade_id"], {})
+    return merge_rows(target, unique_trades(source.select(*target.columns)), ["trade_id"], {})
 
 
 def upsert_assets(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -162,13 +162,21 @@ class Jobs:
 
     # --- kept along with the trades ---------------------------------------------------------------
 
-    def _summarise_days(self, days: list[date]) -> None:
-        """Panes and market closes of whole days, from their trades."""
-        trades = self.store.read("trades").filter(F.col("trade_date").isin(days))
-        left = {row.trade_date for row in trades.select("trade_date").distinct().collect()}
-        for table, rows in (("market_panes", panes(trades)), ("market_closes", rolling.market_closes(trades))):
-            self.store.overwrite_partitions(table, conform(rows, table, "trade_date"))
-            self.store.drop_partitions(table, lambda day: day in days and day not in left)
+    def _summarise_days(self, days: list[date] | None) -> None:
+        """Panes and market closes of whole days (None: all), from their trades."""
+        store = self.store
+
+        def of_days(table: str) -> DataFrame:
+            rows = store.read(table)
+            return rows if days is None else rows.filter(F.col("trade_date").isin(days))
+
+        summed = conform(panes(of_days("trades")), "market_panes", "trade_date")
+        store.overwrite_partitions("market_panes", summed)
+        traded = store.partitions("trades")
+        store.drop_partitions("market_panes", lambda day: day not in traded)
+        closes = rolling.market_closes(of_days("market_panes"))
+        store.overwrite_partitions("market_closes", conform(closes, "market_closes", "trade_date"))
+        store.drop_partitions("market_closes", lambda day: day not in traded)
 
     def _add_panes(self, merged: Merged) -> None:
         """Take the panes the batch falls into anew: trades are read only within its time range."""
@@ -186,7 +194,7 @@ class Jobs:
     def _add_closes(self, merged: Merged) -> None:
         stored = self.store.read("market_closes").filter(F.col("trade_date").isin(merged.days))
         rows = stored.unionByName(conform(rolling.market_closes(merged.rows), "market_closes", "trade_date"))
-        last = upsert.last_per_key(rows, ["trade_date", *PAIR], ["trade_id"])
+        last = upsert.last_per_key(rows, ["trade_date", *PAIR], ["close_id"])
         self.store.overwrite_partitions("market_closes", last)
 
     def _add_asset_closes(self, priced: DataFrame) -> None:
@@ -206,19 +214,19 @@ class Jobs:
 
     def _rolling_tables(self, as_of: datetime) -> None:
         store = self.store
-        trades, assets = store.read("trades"), store.read("assets")
-        source = store.read("market_panes") if exact_for(as_of) else trades
-        windows = cut_lineage(rolling.market_windows(source, as_of))
+        assets = store.read("assets")
+        rows = store.read("market_panes" if exact_for(as_of) else "trades")
+        windows = cut_lineage(rolling.market_windows(rows, as_of))
         closes = store.read("market_closes")
         store.replace(
             "markets_24h",
-            rolling.markets_24h(trades, store.read("markets"), assets, as_of, closes=closes, windows=windows),
+            rolling.markets_24h(rows, store.read("markets"), assets, as_of, closes=closes, windows=windows),
         )
         store.replace(
-            "assets_24h", rolling.assets_24h(trades, assets, store.read("assets_hourly"), as_of, windows=windows)
+            "assets_24h", rolling.assets_24h(rows, assets, store.read("assets_hourly"), as_of, windows=windows)
         )
         figures = rolling.exchange_24h(
-            trades, store.read("exchange_daily"), store.read("exchange_hourly"), as_of, windows=windows
+            rows, store.read("exchange_daily"), store.read("exchange_hourly"), as_of, windows=windows
         )
         store.replace("exchange_24h", figures)
 
@@ -240,6 +248,18 @@ class Jobs:
         self.save_trade_prices(priced)
         return merged.days
 
+    def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:
+        """Load a whole history of admitted trades into empty tables: priced in one go and written once."""
+        priced = cut_lineage(pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds))
+        rows = conform(priced.withColumn("trade_date", F.to_date("timestamp")), "trades", "trade_date")
+        store = self.store
+        store.overwrite_partitions("trades", rows)
+        spans = rows.groupBy("trade_date").agg(F.min("trade_id").alias("low"), F.max("trade_id").alias("high"))
+        store.replace("trade_days", spans)
+        self._summarise_days(None)
+        self._add_asset_closes(priced)
+        self.save_trade_prices(priced)
+
     def refresh(self, as_of: datetime, landed: Landed) -> Report:
         """Every five minutes."""
         report, today = Report(), as_of.date()
@@ -303,10 +323,7 @@ class Jobs:
 
     def _clean_closes(self, today: date) -> None:
         """The closes follow the trades: gone days go, the cut day is taken anew."""
-        cut = today - timedelta(days=self.config.trade_retention_days)
-        for table in ("market_closes", "market_panes"):
-            self.store.drop_partitions(table, lambda day: day < cut)
-        self._summarise_days([cut])
+        self._summarise_days([today - timedelta(days=self.config.trade_retention_days)])
 
     def update_book(self, pages: DataFrame, as_of: datetime) -> None:
         """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""

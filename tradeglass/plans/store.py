@@ -7,13 +7,14 @@ its ``_SUCCESS`` marker exists, so a failed write leaves the previous one in for
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tradeglass.functions.dates import at
-from tradeglass.operators.upsert import insert_new, last_per_key, merge_rows
+from tradeglass.operators.upsert import insert_new, merge_rows, unique_trades
 from tradeglass.schemas import schema_of
 from tradeglass.session import cut_lineage
 
@@ -129,15 +130,16 @@ class Store:
         if self.overwrite_partitions(table, rows) == 0:
             self.drop_partitions(table, lambda found: found == value)
 
-    def drop_partitions(self, table: str, unwanted) -> None:
-        """Delete the partitions whose value ``unwanted`` accepts; no data is read."""
+    def partitions(self, table: str) -> dict[date | datetime, str]:
+        """Partition values present, with their folder names."""
         column = self._partition_column(table)
-        moment = PARTITIONED[table].endswith("timestamp")
-        for name in self._children(table):
-            if not name.startswith(f"{column}="):
-                continue
-            text = name.split("=", 1)[1].replace("%3A", ":")
-            value = datetime.fromisoformat(text) if moment else date.fromisoformat(text)
+        parse = datetime.fromisoformat if PARTITIONED[table].endswith("timestamp") else date.fromisoformat
+        names = [name for name in self._children(table) if name.startswith(f"{column}=")]
+        return {parse(name.split("=", 1)[1].replace("%3A", ":")): name for name in names}
+
+    def drop_partitions(self, table: str, unwanted: Callable[[date | datetime], bool]) -> None:
+        """Delete the partitions whose value ``unwanted`` accepts; no data is read."""
+        for value, name in self.partitions(table).items():
             if unwanted(value):
                 self._files().delete(self._path(table, name), True)
 
@@ -146,7 +148,7 @@ class Store:
         insert_new(self.read(table), rows, key, required, order).write.mode("append").parquet(f"{self.root}/{table}")
 
     def merge_trades(self, batch: DataFrame, *, reprice: bool = False) -> Merged | None:
-        """Merge a batch of trades by id; None for an empty one.
+        """Merge a (checkpointed) batch of trades by id; None for an empty one.
 
         New ids are appended as new files.  Ids stored already are looked for only in days whose id span
         the batch meets, and there only in row groups of its range.  An unchanged event is left alone (its
@@ -155,7 +157,7 @@ class Store:
         """
         stored = self.read("trades")
         dated = batch.withColumn("trade_date", F.to_date("timestamp")).select(*stored.columns)
-        single = cut_lineage(last_per_key(dated, ["trade_id"], ["timestamp", "price", "quantity"]))
+        single = unique_trades(dated)
         bounds = [F.min("trade_id").alias("low"), F.max("trade_id").alias("high")]
         per_day = single.groupBy("trade_date").agg(*bounds, F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
         spans = per_day.collect()
@@ -172,17 +174,10 @@ class Store:
 
         candidates = stored.filter(F.col("trade_date").isin(near) & F.col("trade_id").between(low, high))
         existing = cut_lineage(candidates.join(single.select("trade_id"), "trade_id", "left_semi"))
-        compared = [name for name in stored.columns if reprice or name != "volume"]
-        old = existing.select("trade_id", F.col("trade_date").alias("old_date"), F.struct(*compared).alias("old"))
-        new = single.select("trade_id", "trade_date", F.struct(*compared).alias("new"))
-        changed = cut_lineage(
-            old.join(new, "trade_id").filter(~F.col("old").eqNullSafe(F.col("new"))).select("trade_id", "old_date", "trade_date")
-        )
-        moves = changed.select("old_date", "trade_date").distinct().collect()
-        rewritten = {day for move in moves for day in move}
-        if rewritten:
-            self._rewrite_days(stored.filter(F.col("trade_date").isin(rewritten)), single, changed, rewritten)
-        fresh = single.join(existing.select("trade_id"), "trade_id", "left_anti")
+        fresh, rewritten = single, set()
+        if not existing.isEmpty():
+            rewritten = self._replace_changed(stored, existing, single, reprice)
+            fresh = single.join(existing.select("trade_id"), "trade_id", "left_anti")
         self._laid_out("trades", fresh).write.mode("append").partitionBy("trade_date").parquet(f"{self.root}/trades")
         return Merged(
             rows=single,
@@ -192,12 +187,22 @@ class Store:
             last=max(span.last for span in spans),
         )
 
-    def _rewrite_days(self, current: DataFrame, single: DataFrame, changed: DataFrame, days: set[date]) -> None:
-        replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
-        merged = cut_lineage(merge_rows(current, replaced, ["trade_id"], {}))
-        left = {row.trade_date for row in merged.select("trade_date").distinct().collect()}
-        self.overwrite_partitions("trades", merged)
-        self.drop_partitions("trades", lambda day: day in days - left)
+    def _replace_changed(self, stored: DataFrame, existing: DataFrame, single: DataFrame, reprice: bool) -> set[date]:
+        """Rewrite the days of stored trades that differ from the batch; returns those days."""
+        compared = [name for name in stored.columns if reprice or name != "volume"]
+        old = existing.select("trade_id", F.col("trade_date").alias("old_date"), F.struct(*compared).alias("old"))
+        new = single.select("trade_id", "trade_date", F.struct(*compared).alias("new"))
+        differing = old.join(new, "trade_id").filter(~F.col("old").eqNullSafe(F.col("new")))
+        changed = cut_lineage(differing.select("trade_id", "old_date", "trade_date"))
+        days = {day for move in changed.select("old_date", "trade_date").distinct().collect() for day in move}
+        if days:
+            current = stored.filter(F.col("trade_date").isin(days))
+            replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
+            merged = cut_lineage(merge_rows(current, replaced, ["trade_id"], {}))
+            left = {row.trade_date for row in merged.select("trade_date").distinct().collect()}
+            self.overwrite_partitions("trades", merged)
+            self.drop_partitions("trades", lambda day: day in days - left)
+        return days
 
     def compact_trades(self, day: date) -> None:
         """Write the files of a finished day anew: few, large, ordered by id."""

@@ -112,9 +112,10 @@ TABLES = {
     "trade_days": "trade_date date, low bigint, high bigint",
     "market_panes": (
         f"timestamp timestamp, base_asset_id string, quote_asset_id string, trades bigint, volume {VOLUME}, "
-        f"volume_quote {PRICE}, volume_base {PRICE}, price_low {PRICE}, price_high {PRICE}"
+        f"volume_quote {PRICE}, volume_base {PRICE}, price_low {PRICE}, price_high {PRICE}, "
+        f"close_id bigint, close_price {PRICE}"
     ),
-    "market_closes": f"base_asset_id string, quote_asset_id string, trade_id bigint, price {PRICE}",
+    "market_closes": f"base_asset_id string, quote_asset_id string, close_id bigint, close_price {PRICE}",
     "asset_closes": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
     # Price state of a trade stream.
     "asset_prices": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",

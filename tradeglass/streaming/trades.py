@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradeglass.operators import pricing
 from tradeglass.operators.admission import admitted_trades
-from tradeglass.operators.upsert import last_per_key
+from tradeglass.operators.upsert import unique_trades
 from tradeglass.plans.jobs import Jobs
 from tradeglass.session import cut_lineage
 from tradeglass.sources.trades import decode_events, rejected_events, trades_from
@@ -44,7 +44,7 @@ class TradeStream:
         rejected_events(decoded).write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
         config, store = self.jobs.config, self.store
         trades = admitted_trades(trades_from(decoded), store.read("markets"), config).drop("market")
-        trades = cut_lineage(last_per_key(trades, ["trade_id"], ["timestamp", "price", "quantity"]))
+        trades = unique_trades(cut_lineage(trades))
         before = self._previous_prices(batch_id)
         priced = cut_lineage(pricing.price_trades(trades, config, seeds=before))
         self.jobs.ingest(priced)

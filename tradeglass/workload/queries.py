@@ -220,9 +220,9 @@ def markets_24h_from_closes(data: Inputs) -> DataFrame:
 @query
 def markets_24h_from_panes(data: Inputs) -> DataFrame:
     """The same from sums per minute, as the refresh job does it."""
-    trades = data.trades()
-    windows = rolling.market_windows(panes(trades), AS_OF)
-    return rolling.markets_24h(trades, data.markets(), data.assets(), AS_OF, windows=windows)
+    minutes = panes(data.trades())
+    closes = rolling.market_closes(minutes)
+    return rolling.markets_24h(minutes, data.markets(), data.assets(), AS_OF, closes=closes)
 
 
 @query
