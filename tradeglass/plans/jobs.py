@@ -18,7 +18,7 @@ from tradeglass.operators import book, daily, hourly, pricing, rolling, upsert,
 from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
 from tradeglass.plans.store import Merged, Store
 from tradeglass.schemas import EXCHANGE_MEASURES, conform, schema_of
-from tradeglass.session import cut_lineage
+from tradeglass.session import cut_lineage, together
 from tradeglass.sources import chain, listings, orderbook
 
 
@@ -82,12 +82,14 @@ class Jobs:
 
     def save_trade_prices(self, priced: DataFrame) -> None:
         """Latest market prices, and latest USD asset prices, of a set of priced trades."""
-        markets = self.store.read("markets")
+        store = self.store
+        markets, assets = store.read("markets"), store.read("assets")
         last = pricing.market_last_price(priced).withColumn("is_active", F.lit(True))
-        self.store.replace("markets", upsert.upsert_markets(markets, conform(last, "markets")))
-        assets = self.store.read("assets")
         newest = pricing.asset_last_price(priced).select("asset_id", F.col("usd_price").alias("price"))
-        self._save_assets(newest.join(assets.select("asset_id"), "asset_id", "left_semi"))
+        together(
+            lambda: store.replace("markets", upsert.upsert_markets(markets, conform(last, "markets"))),
+            lambda: self._save_assets(newest.join(assets.select("asset_id"), "asset_id", "left_semi")),
+        )
 
     def save_values(self, balances: DataFrame) -> None:
         assets = self.store.read("assets")
@@ -156,9 +158,12 @@ class Jobs:
         store = self.store
         panes, assets = store.read("market_panes"), store.read("assets")
         traded = daily.traded_pairs(store.read("market_closes"))
-        store.replace_partition("assets_daily", daily.assets_daily(panes, assets, day), day)
-        rows = daily.markets_daily(panes, store.read("markets"), day, traded=traded)
-        store.replace_partition("markets_daily", rows, day)
+        per_asset = daily.assets_daily(panes, assets, day)
+        per_market = daily.markets_daily(panes, store.read("markets"), day, traded=traded)
+        together(
+            lambda: store.replace_partition("assets_daily", per_asset, day),
+            lambda: store.replace_partition("markets_daily", per_market, day),
+        )
 
     # --- kept along with the trades ---------------------------------------------------------------
 
@@ -218,17 +223,15 @@ class Jobs:
         rows = store.read("market_panes" if exact_for(as_of) else "trades")
         windows = cut_lineage(rolling.market_windows(rows, as_of))
         closes = store.read("market_closes")
-        store.replace(
-            "markets_24h",
-            rolling.markets_24h(rows, store.read("markets"), assets, as_of, closes=closes, windows=windows),
-        )
-        store.replace(
-            "assets_24h", rolling.assets_24h(rows, assets, store.read("assets_hourly"), as_of, windows=windows)
+        per_market = rolling.markets_24h(rows, store.read("markets"), assets, as_of, closes=closes, windows=windows)
+        per_asset = rolling.assets_24h(rows, assets, store.read("assets_hourly"), as_of, windows=windows)
+        days, hours = store.read("exchange_daily"), store.read("exchange_hourly")
+        overall = rolling.exchange_24h(rows, days, hours, as_of, windows=windows)
+        together(
+            lambda: store.replace("markets_24h", per_market),
+            lambda: store.replace("assets_24h", per_asset),
+            lambda: store.replace("exchange_24h", overall),
         )
-        figures = rolling.exchange_24h(
-            rows, store.read("exchange_daily"), store.read("exchange_hourly"), as_of, windows=windows
-        )
-        store.replace("exchange_24h", figures)
 
     # --- jobs -------------------------------------------------------------------------------------
 
@@ -240,12 +243,14 @@ class Jobs:
         merged = self.store.merge_trades(priced, reprice=reprice)
         if merged is None:
             return []
-        self._add_panes(merged)
-        self._add_closes(merged)
+        together(
+            lambda: self._add_panes(merged),
+            lambda: self._add_closes(merged),
+            lambda: self._add_asset_closes(priced),
+            lambda: self.save_trade_prices(priced),
+        )
         if merged.rewritten:
             self._summarise_days(merged.rewritten)
-        self._add_asset_closes(priced)
-        self.save_trade_prices(priced)
         return merged.days
 
     def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return current
 
 
+def together(*steps: Callable[[], object]) -> None:
+    """Run independent steps at the same time, so that small jobs do not wait for each other.  Raises the
+    first error, after all have ended."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(step) for step in steps]
+    for step in running:
+        step.result()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a result read by several later steps is computed once."""
     scratch_dir(df.sparkSession)

@@ -9,7 +9,7 @@ from tradeglass.operators import pricing
 from tradeglass.operators.admission import admitted_trades
 from tradeglass.operators.upsert import unique_trades
 from tradeglass.plans.jobs import Jobs
-from tradeglass.session import cut_lineage
+from tradeglass.session import cut_lineage, together
 from tradeglass.sources.trades import decode_events, rejected_events, trades_from
 
 
@@ -41,14 +41,17 @@ class TradeStream:
 
     def process(self, events: DataFrame, batch_id: int) -> None:
         decoded = decode_events(events)
-        rejected_events(decoded).write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
         config, store = self.jobs.config, self.store
         trades = admitted_trades(trades_from(decoded), store.read("markets"), config).drop("market")
         trades = unique_trades(cut_lineage(trades))
         before = self._previous_prices(batch_id)
         priced = cut_lineage(pricing.price_trades(trades, config, seeds=before))
-        self.jobs.ingest(priced)
-        self.store.replace(self.prices, pricing.asset_last_price(priced, before), version=batch_id)
+        rejected = rejected_events(decoded).write.mode("overwrite")
+        together(
+            lambda: self.jobs.ingest(priced),
+            lambda: store.replace(self.prices, pricing.asset_last_price(priced, before), version=batch_id),
+            lambda: rejected.parquet(f"{self.quarantine}/batch={batch_id}"),
+        )
 
     def start(self, events: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run on a stream of event texts; by default everything available now, then stop."""
