@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from tradeglass.functions.dates import on, on_day
 from tradeglass.operators.activity import PAIR, SUMS, activity
 from tradeglass.operators.lastknown import latest_row, one
-from tradeglass.operators.upsert import keep_new, keep_old, merge_rows
+from tradeglass.operators.upsert import keep_new, keep_old, merge_few
 from tradeglass.schemas import ASSET_MEASURES, EXCHANGE_MEASURES, conform, schema_of
 
 
@@ -115,7 +115,7 @@ def exchange_daily_measures(
         if f.name not in row.columns
     }
     today = conform(row.withColumns(missing) if missing else row, "exchange_daily")
-    return merge_rows(exchange_daily, today, ["stat_date"], {name: keep_new for name in EXCHANGE_MEASURES})
+    return merge_few(exchange_daily, today, ["stat_date"], {name: keep_new for name in EXCHANGE_MEASURES})
 
 
 def new_day_rollforward(exchange_daily: DataFrame, day: date) -> DataFrame:
@@ -131,7 +131,7 @@ def new_day_rollforward(exchange_daily: DataFrame, day: date) -> DataFrame:
     }
     values |= {name: F.lit(None) for name in ("volume", "trades")}
     row = conform(source.withColumns({**values, "stat_date": on(day)}), "exchange_daily")
-    return merge_rows(exchange_daily, row, ["stat_date"], {name: keep_old for name in EXCHANGE_MEASURES})
+    return merge_few(exchange_daily, row, ["stat_date"], {name: keep_old for name in EXCHANGE_MEASURES})
 
 
 def exchange_alltime(exchange_daily: DataFrame) -> DataFrame:

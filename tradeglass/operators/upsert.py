@@ -55,19 +55,30 @@ def merge_rows(
     A row only in ``source`` is inserted as it is; for a row on both sides each column follows its rule
     (default: ``replace``).
     """
-    columns = target.columns
-    others = [name for name in columns if name not in keys]
+    others = [name for name in target.columns if name not in keys]
     stored = target.select(*keys, F.struct(*others).alias("_old"))
     incoming = source.select(*keys, F.struct(*others).alias("_new"))
+    return _kept(stored.join(incoming, list(keys), "full_outer"), target.columns, keys, rules)
 
+
+def merge_few(target: DataFrame, source: DataFrame, keys: Sequence[str], rules: Mapping[str, Rule]) -> DataFrame:
+    """The same by grouping instead of joining: for a few rows whose key may be a literal, which a join
+    would compare pair by pair."""
+    others = [name for name in target.columns if name not in keys]
+    stored = target.select(*keys, F.struct(*others).alias("_old"), F.lit(None).alias("_new"))
+    incoming = source.select(*keys, F.lit(None).alias("_old"), F.struct(*others).alias("_new"))
+    sides = stored.unionByName(incoming).groupBy(*keys).agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+    return _kept(sides, target.columns, keys, rules)
+
+
+def _kept(sides: DataFrame, columns: Sequence[str], keys: Sequence[str], rules: Mapping[str, Rule]) -> DataFrame:
     def kept(name: str) -> Column:
         old, new = F.col(f"_old.{name}"), F.col(f"_new.{name}")
         both = rules.get(name, replace)(old, new)
         inserted, untouched = F.col("_old").isNull(), F.col("_new").isNull()
         return F.when(inserted, new).when(untouched, old).otherwise(both).alias(name)
 
-    merged = stored.join(incoming, list(keys), "full_outer")
-    return merged.select(*[F.col(name) if name in keys else kept(name) for name in columns])
+    return sides.select(*[F.col(name) if name in keys else kept(name) for name in columns])
 
 
 ASSET_RULES: dict[str, Rule] = {

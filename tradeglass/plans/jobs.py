@@ -6,9 +6,11 @@ the others.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from threading import RLock
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,6 +18,7 @@ from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import at
 from tradeglass.operators import book, daily, hourly, pricing, rolling, upsert, values
 from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
+from tradeglass.operators.lastknown import one
 from tradeglass.plans.store import Merged, Store
 from tradeglass.schemas import EXCHANGE_MEASURES, conform, schema_of
 from tradeglass.session import cut_lineage, together
@@ -57,38 +60,47 @@ class Jobs:
         self.store = store
         self.config = config
         self.spark = store.spark
+        self._locks: defaultdict[str, RLock] = defaultdict(RLock)
+
+    def _update(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Read a small table, change it, write it; one at a time per table, as the stream and the jobs of
+        one driver share some."""
+        with self._locks[table]:
+            self.store.replace(table, change(self.store.read(table)))
 
     # --- inputs -----------------------------------------------------------------------------------
 
     def _save_assets(self, rows: DataFrame) -> None:
         """Merge a partial set of asset columns into the asset table."""
-        stored = self.store.read("assets")
-        given = rows.join(
-            stored.select("asset_id", *[c for c in ("symbol", "name") if c not in rows.columns]), "asset_id", "left"
-        )
-        absent = {f.name: F.lit(None).cast(f.dataType) for f in stored.schema if f.name not in given.columns}
-        source = given.withColumns({**absent, "is_active": F.lit(True)})
-        self.store.replace("assets", upsert.upsert_assets(stored, conform(source, "assets")))
+
+        def merged(stored: DataFrame) -> DataFrame:
+            names = [c for c in ("symbol", "name") if c not in rows.columns]
+            given = rows.join(stored.select("asset_id", *names), "asset_id", "left")
+            absent = {f.name: F.lit(None).cast(f.dataType) for f in stored.schema if f.name not in given.columns}
+            source = given.withColumns({**absent, "is_active": F.lit(True)})
+            return upsert.upsert_assets(stored, conform(source, "assets"))
+
+        self._update("assets", merged)
+
+    def _save_markets(self, rows: DataFrame) -> None:
+        source = conform(rows.withColumn("is_active", F.lit(True)), "markets")
+        self._update("markets", lambda stored: upsert.upsert_markets(stored, source))
 
     def save_listed_assets(self, pages: DataFrame) -> None:
         listed = listings.asset_listing(pages, self.config)
         self._save_assets(pricing.keep_prices(listed, self.store.read("assets")))
 
     def save_listed_markets(self, pages: DataFrame) -> None:
-        stored = self.store.read("markets")
         listed = listings.market_listing(pages, self.store.read("assets"), self.config)
-        absent = listed.withColumns({"is_active": F.lit(True), "price": F.lit(None)})
-        self.store.replace("markets", upsert.upsert_markets(stored, conform(absent, "markets")))
+        self._save_markets(listed.withColumn("price", F.lit(None)))
 
     def save_trade_prices(self, priced: DataFrame) -> None:
         """Latest market prices, and latest USD asset prices, of a set of priced trades."""
-        store = self.store
-        markets, assets = store.read("markets"), store.read("assets")
-        last = pricing.market_last_price(priced).withColumn("is_active", F.lit(True))
+        listed = self.store.read("assets").select("asset_id")
         newest = pricing.asset_last_price(priced).select("asset_id", F.col("usd_price").alias("price"))
         together(
-            lambda: store.replace("markets", upsert.upsert_markets(markets, conform(last, "markets"))),
-            lambda: self._save_assets(newest.join(assets.select("asset_id"), "asset_id", "left_semi")),
+            lambda: self._save_markets(pricing.market_last_price(priced)),
+            lambda: self._save_assets(newest.join(listed, "asset_id", "left_semi")),
         )
 
     def save_values(self, balances: DataFrame) -> None:
@@ -113,8 +125,7 @@ class Jobs:
         self.store.append_new(
             "fee_withdrawals", page, "transfer_id", ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
         )
-        metadata = self.store.read("metadata")
-        self.store.replace("metadata", upsert.upsert_metadata(metadata, chain.cursor_rows(page)))
+        self._update("metadata", lambda stored: upsert.upsert_metadata(stored, chain.cursor_rows(page)))
 
     def save_measures(self, landed: Landed, today: date) -> None:
         """Users, holders, stakers, staked total, treasury and issuance into today's row."""
@@ -122,33 +133,29 @@ class Jobs:
         supplied: dict[str, object] = {}
         if landed.metrics is not None:
             metrics = chain.latest_metrics(landed.metrics)
-
-            def metric(name: str):
-                return metrics.filter(F.col("metric") == name).select("value").scalar()
-
-            before = daily.previous_users(store.read("exchange_daily"), today).select("users").scalar()
-            supplied |= {"users": metric("users"), "total_holders": metric("holders")}
-            supplied["new_users"] = metric("users") - before
+            total = metrics.filter(F.col("metric") == "users").select(F.col("value").alias("users"))
+            users = one(values.user_metrics(total, daily.previous_users(store.read("exchange_daily"), today)))
+            holders = metrics.filter(F.col("metric") == "holders").select("value").scalar()
+            supplied |= {"users": users["users"], "new_users": users["new_users"], "total_holders": holders}
         if landed.roles is not None:
             supplied["total_stakers"] = chain.role_count(landed.roles).agg(F.max("stakers")).scalar()
         if landed.scalars is not None and landed.balances is not None:
             assets = store.read("assets")
             treasury = chain.wallet_balances(landed.balances, assets, self.config.treasury_wallet)
             row = values.treasury_metrics(chain.latest_scalars(landed.scalars), treasury, assets, self.config)
-            figures = row.select(F.struct(*row.columns)).scalar()
+            figures = one(row)
             supplied |= {name: figures[name] for name in row.columns}
         kinds = {f.name: f.dataType for f in schema_of("exchange_daily")}
         one_row = self.spark.range(1).select(
             *[supplied[n].cast(kinds[n]).alias(n) for n in EXCHANGE_MEASURES if n in supplied]
         )
-        days = store.read("exchange_daily")
-        store.replace("exchange_daily", daily.exchange_daily_measures(days, store.read("assets"), one_row, today))
+        assets = store.read("assets")
+        self._update("exchange_daily", lambda days: daily.exchange_daily_measures(days, assets, one_row, today))
 
     # --- figures ----------------------------------------------------------------------------------
 
     def _roll_forward(self, today: date) -> None:
-        days = self.store.read("exchange_daily")
-        self.store.replace("exchange_daily", daily.new_day_rollforward(days, today))
+        self._update("exchange_daily", lambda days: daily.new_day_rollforward(days, today))
 
     def _close_alltime(self) -> None:
         self.store.replace("exchange_alltime", daily.exchange_alltime(self.store.read("exchange_daily")))
@@ -292,8 +299,8 @@ class Jobs:
 
         def snapshot_exchange() -> None:
             row = hourly.exchange_hourly(store.read("exchange_daily"), as_of)
-            other = store.read("exchange_hourly").filter(F.col("stat_time") != F.lit(hour))
-            store.replace("exchange_hourly", other.unionByName(row))
+            kept = F.col("stat_time") != F.lit(hour)
+            self._update("exchange_hourly", lambda stored: stored.filter(kept).unionByName(row))
 
         report.run("assets_hourly", snapshot_assets)
         report.run("new_day", lambda: self._roll_forward(as_of.date()))
@@ -309,8 +316,8 @@ class Jobs:
         today, yesterday = as_of.date(), as_of.date() - timedelta(days=1)
 
         def close() -> None:
-            days = store.read("exchange_daily")
-            store.replace("exchange_daily", daily.exchange_daily_close(days, store.read("market_panes"), yesterday))
+            rows = store.read("market_panes")
+            self._update("exchange_daily", lambda days: daily.exchange_daily_close(days, rows, yesterday))
 
         def settle() -> None:
             store.compact_trades(yesterday)
@@ -334,7 +341,7 @@ class Jobs:
         """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""
         pages = orderbook.latest_snapshot(pages)
         levels, markets = orderbook.snapshot_levels(pages), orderbook.snapshot_markets(pages)
-        self.store.replace("orderbook", book.apply_snapshot(self.store.read("orderbook"), levels, markets))
+        self._update("orderbook", lambda stored: book.apply_snapshot(stored, levels, markets))
         self.store.replace("orderbook_lastupdate", hourly.freshness_stamp(self.spark, as_of))
 
     def reprice_from(self, day: date) -> list[date]:

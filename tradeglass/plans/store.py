@@ -46,9 +46,13 @@ class Merged:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``rows_per_file`` bounds the files of partitioned tables; by default their size follows from
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``."""
+
+    def __init__(self, spark: SparkSession, root: str, *, rows_per_file: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.rows_per_file = rows_per_file
 
     # --- files ------------------------------------------------------------------------------------
 
@@ -115,6 +119,7 @@ class Store:
         (
             written.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", self.rows_per_file)
             .partitionBy(column)
             .parquet(f"{self.root}/{table}")
         )
@@ -178,7 +183,8 @@ class Store:
         if not existing.isEmpty():
             rewritten = self._replace_changed(stored, existing, single, reprice)
             fresh = single.join(existing.select("trade_id"), "trade_id", "left_anti")
-        self._laid_out("trades", fresh).write.mode("append").partitionBy("trade_date").parquet(f"{self.root}/trades")
+        appended = self._laid_out("trades", fresh).write.mode("append").option("maxRecordsPerFile", self.rows_per_file)
+        appended.partitionBy("trade_date").parquet(f"{self.root}/trades")
         return Merged(
             rows=single,
             days=sorted(days | rewritten),

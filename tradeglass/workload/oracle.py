@@ -320,10 +320,12 @@ SQL: dict[str, str] = {
         SELECT base_asset_id, quote_asset_id FROM market_list m WHERE NOT EXISTS (
             SELECT * FROM priced t WHERE t.base_asset_id = m.base_asset_id AND t.quote_asset_id = m.quote_asset_id)""",
     "orphan_keys": """
-        SELECT 'trades' AS table_name, column_name, asset_id, count(*) AS row_count
-        FROM (SELECT 'base_asset_id' AS column_name, base_asset_id AS asset_id FROM src
-              UNION ALL SELECT 'quote_asset_id', quote_asset_id FROM src)
-        WHERE asset_id NOT IN (SELECT asset_id FROM asset_list) GROUP BY 2, 3""",
+        SELECT table_name, column_name, asset_id, count(*) AS row_count
+        FROM (SELECT 'trades' AS table_name, 'base_asset_id' AS column_name, base_asset_id AS asset_id FROM src
+              UNION ALL SELECT 'trades', 'quote_asset_id', quote_asset_id FROM src
+              UNION ALL SELECT 'markets', 'base_asset_id', base_asset_id FROM (SELECT DISTINCT base_asset_id, quote_asset_id FROM src)
+              UNION ALL SELECT 'markets', 'quote_asset_id', quote_asset_id FROM (SELECT DISTINCT base_asset_id, quote_asset_id FROM src))
+        WHERE asset_id NOT IN (SELECT asset_id FROM asset_list) GROUP BY 1, 2, 3""",
     "markets_daily": f"""
         SELECT {TODAY} AS stat_date, base_asset_id, quote_asset_id, cast(sum(volume) AS decimal(18,6)) AS volume,
                cast(sum(volume_quote) AS decimal(20,10)) AS volume_quote, cast(sum(quantity) AS decimal(20,10)) AS volume_base,

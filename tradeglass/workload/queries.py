@@ -117,7 +117,7 @@ def asset_price_scan(data: Inputs) -> DataFrame:
 @query
 def bulk_sink(data: Inputs) -> DataFrame:
     """Write all trades to day partitions and read them back."""
-    store = Store(data.spark, data.scratch("sink"))
+    store = Store(data.spark, data.scratch("sink"), rows_per_file=10_000)
     rows = data.trades()
     store.overwrite_partitions("trades", rows)
     return store.read("trades").select("trade_date", *TRADE_COLUMNS)
@@ -178,7 +178,10 @@ def idle_markets(data: Inputs) -> DataFrame:
 
 @query
 def orphan_keys(data: Inputs) -> DataFrame:
-    return admission.unknown_assets(data.trade_source(), data.assets(), "trades")
+    trades, assets = data.trade_source(), data.assets()
+    markets = trades.select(*PAIR).distinct()
+    found = admission.unknown_assets(trades, assets, "trades")
+    return found.unionByName(admission.unknown_assets(markets, assets, "markets"))
 
 
 # --- roll-ups -------------------------------------------------------------------------------------
@@ -472,7 +475,7 @@ def stream_priced_trades(data: Inputs) -> DataFrame:
     listed = data.markets().withColumns({"is_active": F.lit(True), "price": F.lit(None)})
     jobs.store.replace("markets", conform(listed, "markets"))
     texts = data.event_texts()
-    edges = [datetime(2024, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2100, 1, 1)]
+    edges = [datetime(1970, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2100, 1, 1)]
     stream = TradeStream(jobs)
     for first, last in zip(edges, edges[1:]):
         part = texts.filter((F.col("timestamp") >= at(first)) & (F.col("timestamp") < at(last)))
