@@ -65,6 +65,7 @@ def test_all_jobs(spark, jobs, trades):
     assert first.ok, first.steps
     assert ingest(jobs, trades) == [YESTERDAY, TODAY]
     assert rows(store.read("assets").select("asset_id", "price")) == [("AAA", D(20)), ("NAT", D(4)), ("USD", D(1))]
+    assert store.read("assets").filter("asset_id = 'NAT'").first().tvl == 16  # moved with the price
     for as_of in (AS_OF - timedelta(days=1, hours=1), AS_OF):
         report = jobs.hourly(as_of, inputs)
         assert report.ok, report.steps

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import on
@@ -13,6 +13,11 @@ from tradeglass.operators.lastknown import latest_before
 from tradeglass.schemas import BALANCE, FEES, PRICE, USD
 
 
+def locked(balance: str, price: str) -> Column:
+    """Value of a stored balance; null when either is missing."""
+    return F.round(F.col(balance) * F.col(price), 2).cast(USD)
+
+
 def asset_tvl(assets: DataFrame, balances: DataFrame) -> DataFrame:
     """Balance and value of each asset at its price; the value is null when either is missing."""
     raw = F.col("balance_raw")

@@ -20,7 +20,7 @@ from tradeglass.operators import book, daily, hourly, pricing, rolling, upsert,
 from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
 from tradeglass.operators.lastknown import one
 from tradeglass.plans.store import Merged, Store
-from tradeglass.schemas import EXCHANGE_MEASURES, conform, schema_of
+from tradeglass.schemas import EXCHANGE_MEASURES, PRICE, conform, schema_of
 from tradeglass.session import cut_lineage, together
 from tradeglass.sources import chain, listings, orderbook
 
@@ -95,12 +95,14 @@ class Jobs:
         self._save_markets(listed.withColumn("price", F.lit(None)))
 
     def save_trade_prices(self, priced: DataFrame) -> None:
-        """Latest market prices, and latest USD asset prices, of a set of priced trades."""
-        listed = self.store.read("assets").select("asset_id")
-        newest = pricing.asset_last_price(priced).select("asset_id", F.col("usd_price").alias("price"))
+        """Latest market prices, and latest USD asset prices, of a set of priced trades.  The value locked
+        follows at once, from the stored balance; the next refresh takes it from the exact one."""
+        listed = self.store.read("assets").select("asset_id", "balance")
+        newest = pricing.asset_last_price(priced).select("asset_id", F.col("usd_price").cast(PRICE).alias("price"))
+        valued = newest.join(listed, "asset_id").select("asset_id", "price", values.locked("balance", "price").alias("tvl"))
         together(
             lambda: self._save_markets(pricing.market_last_price(priced)),
-            lambda: self._save_assets(newest.join(listed, "asset_id", "left_semi")),
+            lambda: self._save_assets(valued),
         )
 
     def save_values(self, balances: DataFrame) -> None:
