@@ -264,15 +264,19 @@ class Jobs:
 
     def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:
         """Load a whole history of admitted trades into empty tables: priced in one go and written once."""
-        priced = cut_lineage(pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds))
-        rows = conform(priced.withColumn("trade_date", F.to_date("timestamp")), "trades", "trade_date")
+        priced = pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds)
+        dated = priced.withColumn("trade_date", F.to_date("timestamp"))
         store = self.store
-        store.overwrite_partitions("trades", rows)
+        # The price made is written along, so that everything else reads what was written.
+        store.overwrite_partitions("trades", conform(dated, "trades", "trade_date", "usd_price"))
+        rows = store.read("trades", extra=("usd_price", "double"))
         spans = rows.groupBy("trade_date").agg(F.min("trade_id").alias("low"), F.max("trade_id").alias("high"))
-        store.replace("trade_days", spans)
-        self._summarise_days(None)
-        self._add_asset_closes(priced)
-        self.save_trade_prices(priced)
+        together(
+            lambda: store.replace("trade_days", spans),
+            lambda: self._summarise_days(None),
+            lambda: self._add_asset_closes(rows),
+            lambda: self.save_trade_prices(rows),
+        )
 
     def refresh(self, as_of: datetime, landed: Landed) -> Report:
         """Every five minutes."""

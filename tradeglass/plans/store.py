@@ -79,9 +79,19 @@ class Store:
     def _partition_column(self, table: str) -> str | None:
         return PARTITIONED[table].split()[0] if table in PARTITIONED else None
 
-    def read(self, table: str, *, before: int | None = None, schema_like: str | None = None) -> DataFrame:
-        """The table; empty when never written.  ``before`` picks the newest version below a number."""
+    def read(
+        self,
+        table: str,
+        *,
+        before: int | None = None,
+        schema_like: str | None = None,
+        extra: tuple[str, str] | None = None,
+    ) -> DataFrame:
+        """The table; empty when never written.  ``before`` picks the newest version below a number, ``extra``
+        adds a (column, type) kept beyond the schema; null in files without it."""
         schema = schema_of(schema_like or table)
+        if extra is not None:
+            schema = schema.add(*extra)
         column = self._partition_column(table)
         if column is not None and column not in schema.fieldNames():
             name, kind = PARTITIONED[table].split()
