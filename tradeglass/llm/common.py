@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
+import tradeglass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +16,17 @@ from tradeglass.session import prepare, scratch_dir
 # Texts go to Python in Arrow batches; both limits keep a batch of long texts small.
 BATCH_ROWS = "512"
 BATCH_BYTES = str(8 << 20)
+_ARCHIVE = "tradeglass_package"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on."""
+    """Apply the settings the operators rely on, and send this package to the Python workers."""
     prepare(spark)
+    context = spark.sparkContext
+    if not any(f.startswith(_ARCHIVE) for f in context._python_includes):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(tradeglass.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tradeglass-"), _ARCHIVE)
+        context.addPyFile(shutil.make_archive(archive, "zip", root, os.path.basename(os.path.dirname(tradeglass.__file__))))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import exact_dedup, sharding
+from tradeglass.llm import exact_dedup, near_dup, sharding
 from tradeglass.llm.common import ready, stage_path, table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(ready(spark), sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new index."""
     ready(spark)
@@ -22,6 +26,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
