@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import exact_dedup, near_dup, sharding
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, sharding
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -14,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(ready(spark), sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encoded_digests(table(ready(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new index."""
     ready(spark)
@@ -27,6 +33,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
