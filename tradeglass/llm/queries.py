@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, sharding
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, secret_scan, sharding
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -20,6 +20,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digests(table(ready(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(ready(spark), sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new index."""
     ready(spark)
@@ -34,6 +38,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_secrets": op5_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
