@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, secret_scan, sharding
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, quality, secret_scan, sharding
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -15,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(ready(spark), sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(ready(spark), sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encoded_digests(table(ready(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -37,6 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_secrets": op5_secrets,
     "op9_exact_dedup": op9_exact_dedup,
