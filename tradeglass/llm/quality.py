@@ -1,8 +1,9 @@
 """Quality classifier: a linear support vector machine over n-grams scaled by Naive Bayes.
 
-The features of a text are which byte n-grams it has, hashed to a fixed number of columns.  Each column is
-scaled by the logarithm of how much more often documents of label 1 have it than those of label 0.  Over
-these, a linear model with hinge loss is fitted by dual coordinate descent.  A logistic curve,
+The features of a text are which byte n-grams it has, hashed to a fixed number of columns, and which n-grams
+of one and the same word.  Each column is scaled by the logarithm of how much more often documents of label 1
+have it than those of label 0, and each row by the root of its number of features, so that long texts weigh no
+more than short ones.  Over these, a linear model with hinge loss is fitted by dual coordinate descent.  A logistic curve,
 fitted to margins of rows that the model did not see, turns margins into scores from 0 to 1.
 
 The model is fitted in one task on ``SAMPLE_ROWS`` labelled rows at most, those with the smallest hash of
@@ -17,6 +18,7 @@ repeat an id are scored each.  Only ids, texts and the label are read; an empty
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +32,15 @@ from tradeglass.llm.common import stage
 # The bound of the sample that the classifier is fitted on.
 SAMPLE_ROWS = 12_000
 SIZES = (2, 3, 4)
-COLUMNS = 1 << 18
+HASHED = 1 << 18
+# Further columns: a word comes twice in a row, three times, and so on.
+REPEATS = 8
+COLUMNS = HASHED + REPEATS
 ACCEPTED = 0.7
 # Bytes that are hashed at a time.
 _WINDOW = 1 << 20
 # Counts added to each column before ratios are taken, cost of a margin that is missed, passes over the rows.
-_SMOOTHING, _COST, _EPOCHS = 1.0, 0.1, 15
+_SMOOTHING, _COST, _EPOCHS = 1.0, 1.0, 15
 # One row in so many is kept from the model, to fit the curve.
 _CURVE_ROWS = 4
 
@@ -48,12 +53,18 @@ def held_out(id_column: Column) -> Column:
 class NGrams:
     """Distinct n-gram columns of texts."""
 
-    def __init__(self, columns: int = COLUMNS, sizes: tuple[int, ...] = SIZES):
-        self.bits, self.sizes = columns.bit_length() - 1, sizes
-        self.flags = np.zeros(columns, bool)
+    def __init__(self, sizes: tuple[int, ...] = SIZES):
+        self.bits, self.sizes = HASHED.bit_length() - 1, sizes
+        self.flags = np.zeros(COLUMNS, bool)
 
     def of(self, text: bytes | None) -> np.ndarray:
         data = np.frombuffer(text or b"", np.uint8)
+        words = (text or b"").split()
+        same = bytes(map(operator.eq, words, words[1:]))
+        for times in range(1, REPEATS + 1):
+            if b"\1" * times not in same:
+                break
+            self.flags[HASHED + times - 1] = True
         for at in range(0, len(data), _WINDOW):
             part = data[at : at + _WINDOW + max(self.sizes) - 1].astype(np.uint32)
             for size in self.sizes:
@@ -68,11 +79,15 @@ class NGrams:
         return found.astype(np.uint32)
 
 
-def log_ratios(rows: list[np.ndarray], labels: np.ndarray, columns: int = COLUMNS) -> np.ndarray:
+def _size(row: np.ndarray) -> float:
+    return 1 / math.sqrt(max(len(row), 1))
+
+
+def log_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Per column the logarithm of its share in label 1 over its share in label 0."""
     shares = []
     for label in (1, 0):
-        counts = np.full(columns, _SMOOTHING)
+        counts = np.full(COLUMNS, _SMOOTHING)
         for row, own in zip(rows, labels, strict=True):
             if own == label:
                 counts[row] += 1
@@ -86,19 +101,20 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray) -> tu
     weights, constant = np.zeros(len(scale)), 0.0
     square = scale * scale
     sign = np.where(labels == 1, 1.0, -1.0)
-    norms = [square[row].sum() + 1.0 for row in rows]
+    sizes = [_size(row) for row in rows]
+    norms = [size * size * square[row].sum() + 1.0 for row, size in zip(rows, sizes, strict=True)]
     multipliers = np.zeros(len(rows))
     order = np.random.default_rng(0)
     for _ in range(_EPOCHS):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            row = rows[i]
-            slack = sign[i] * (weights[row].sum() + constant) - 1.0
+            row, size = rows[i], sizes[i]
+            slack = sign[i] * (size * weights[row].sum() + constant) - 1.0
             best = min(max(multipliers[i] - slack / norms[i], 0.0), _COST)
             step = (best - multipliers[i]) * sign[i]
             if step:
                 multipliers[i] = best
-                weights[row] += step * square[row]
+                weights[row] += step * size * square[row]
                 constant += step
                 moved = max(moved, abs(step))
         if moved < 1e-4 * _COST:
@@ -123,9 +139,9 @@ def logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(float(b[0]), 1e-6), float(b[1])
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, columns: int = COLUMNS) -> np.ndarray:
-    """Weights of the columns, then the offset: their sum over a text is the log odds of label 1."""
-    model = np.zeros(columns + 1)
+def fit(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Weights of the columns, then the offset, for ``log_odds``."""
+    model = np.zeros(COLUMNS + 1)
     if len(set(labels.tolist())) < 2:
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         model[-1] = math.log(share / (1 - share))
@@ -134,15 +150,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, columns: int = COLUMNS) -> n
     if len(set(labels[seen].tolist())) < 2:
         seen[:] = True
     learned = [row for row, own in zip(rows, seen, strict=True) if own]
-    scale = log_ratios(learned, labels[seen], columns)
+    scale = log_ratios(learned, labels[seen])
     weights, constant = descend(learned, labels[seen], scale)
     unseen = ~seen if not seen.all() else seen
-    margins = np.array([weights[row].sum() + constant for row, own in zip(rows, unseen, strict=True) if own])
+    margins = np.array([_size(row) * weights[row].sum() + constant for row, own in zip(rows, unseen, strict=True) if own])
     slope, offset = logistic(margins, labels[unseen])
     model[:-1], model[-1] = slope * weights, slope * constant + offset
     return model
 
 
+def scores_of(texts: list[bytes | None], model: np.ndarray) -> np.ndarray:
+    """The probability of label 1 for each text."""
+    grams, offset = NGrams(), float(model[-1])
+    rows = (grams.of(text) for text in texts)
+    odds = np.array([_size(row) * float(model[row].sum(dtype=np.float64)) + offset for row in rows], dtype=np.float64)
+    return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+
+
 def sample(labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
     """(doc_id, label) of the labelled rows to learn from; rows of the held-out remainder are left out."""
     clear = labels.filter(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("doc_id"))
@@ -180,11 +204,8 @@ def score(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, weights = NGrams(), shared.value
-        offset = float(weights[-1])
         for batch in batches:
-            odds = [float(weights[grams.of(t)].sum(dtype=np.float64)) + offset for t in batch.column(1).to_pylist()]
-            made = 1 / (1 + np.exp(-np.clip(np.array(odds, dtype=np.float64), -700, 700)))
+            made = scores_of(batch.column(1).to_pylist(), shared.value)
             yield pa.record_batch([batch.column(0), pa.array(made)], names=["doc_id", "score"])
 
     own = rows.schema["doc_id"].dataType.simpleString()
@@ -200,8 +221,6 @@ def accepted(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Data
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
-        grams, weights = NGrams(), shared.value
-        odds = [float(weights[grams.of((t or "").encode())].sum(dtype=np.float64)) + float(weights[-1]) for t in texts]
-        return pd.Series(1 / (1 + np.exp(-np.clip(np.array(odds, dtype=np.float64), -700, 700))))
+        return pd.Series(scores_of([(t or "").encode() for t in texts], shared.value))
 
     return docs.filter(scores(F.col(text_col)) >= ACCEPTED)
