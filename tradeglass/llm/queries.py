@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, quality, secret_scan, sharding
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, packing, quality, secret_scan, sharding
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -29,6 +29,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(ready(spark), sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new index."""
     ready(spark)
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_secrets": op5_secrets,
+    "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
