@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, packing, quality, secret_scan, sharding
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, packing, quality, secret_scan, sharding, substrings
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -25,6 +25,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digests(table(ready(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(ready(spark), sf_dir, "documents"), with_text=False)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(ready(spark), sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_substrings": op4_substrings,
     "op5_secrets": op5_secrets,
     "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
