@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, packing, quality, secret_scan, sharding, substrings
+from tradeglass.llm import byte_bpe, exact_dedup, near_dup, neighbours, packing, quality, secret_scan, sharding, substrings
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -33,6 +33,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(ready(spark), sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(ready(spark), sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substrings": op4_substrings,
     "op5_secrets": op5_secrets,
+    "op6_neighbours": op6_neighbours,
     "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
