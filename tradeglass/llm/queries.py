@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeglass.llm import byte_bpe, exact_dedup, near_dup, neighbours, packing, quality, secret_scan, sharding, substrings
+from tradeglass.llm import byte_bpe, exact_dedup, fuzzy_lines, near_dup, neighbours, packing, quality, secret_scan, sharding, substrings
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -41,6 +41,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.cleaned_lines(table(ready(spark), sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new index."""
     ready(spark)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_neighbours": op6_neighbours,
     "op7_packing": op7_packing,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
