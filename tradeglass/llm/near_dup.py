@@ -9,8 +9,8 @@ Copies share a fingerprint and are one row from there on, so a group of copies o
 row per map task.  Pairs and components are made of distinct fingerprints only.
 
 Cases: a null, empty or blank text has the fingerprint zero, and is linked like any other.  Rows that
-repeat an id get the same answer each time.  A null id does not become a component's id unless it is
-alone.  Only id and text are read; an empty table gives an empty result.
+repeat an id get the same answer each time.  A null id is a component's id only if none of its rows has
+another.  Only id and text are read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeglass.llm.common import stage
 from tradeglass.llm.graph import components
@@ -63,45 +64,53 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > len(starts)).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The other columns, and fp: the fingerprint as a signed long."""
+    others = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            prints = np.array([fingerprint(t) for t in batch.column(len(others)).to_pylist()], dtype=np.uint64)
+            columns = [*batch.columns[:-1], pa.array(prints.view(np.int64))]
+            yield pa.record_batch(columns, names=[*others, "fp"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    rows = docs.select(*others, F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType())]))
+
+
+def _first_of_components(prints: DataFrame, order: Column, blocks: int) -> DataFrame:
+    """(fp, first): per fingerprint the smallest value of ``order`` in its component."""
+    groups = stage(prints.groupBy("fp").agg(F.min(order).alias("own")), "simhash-groups")
+    linked = components(close_pairs(groups.select("fp"), BITS, blocks, "simhash"), "simhash-links")
+    members = stage(linked.join(groups, F.col("node") == F.col("fp")).select("fp", "root", "own"), "simhash-members")
+    roots = members.groupBy("root").agg(F.min("own").alias("first"))
+    named = members.join(roots, "root").select("fp", "first")
+    return stage(groups.join(named, "fp", "left").select("fp", F.coalesce("first", "own").alias("first")), "simhash-classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id (the smallest id of the component)."""
-    prints = stage(fingerprints(docs, id_col, text_col), "simhash")
-    groups = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-groups")
-    linked = components(close_pairs(groups.select("fp"), BITS, blocks, "simhash"), "simhash-links")
-    members = stage(linked.join(groups, F.col("node") == F.col("fp")).select("fp", "root", "first_id"), "simhash-members")
-    roots = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = members.join(roots, "root").select("fp", "component_id")
-    classes = stage(
-        groups.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")),
-        "simhash-classes",
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    prints = stage(fingerprints(rows), "simhash")
+    classes = _first_of_components(prints, F.col("doc_id"), blocks)
     # A fingerprint may have a third of the rows: both sides are shuffled, so Spark splits such a partition.
     return prints.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, one of each component: that with the smallest id, with all its columns.
-    Rows without an id stay only where no other row of the component has one."""
-    found = near_duplicates(docs, id_col, text_col)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    once = Window.partitionBy(id_col).orderBy(text_col)
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
+    """The documents that stay, one of each component, with all their columns: that with the smallest id; one
+    without an id only if no other has one.  Rows that repeat id and text are one document."""
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    prints = stage(fingerprints(docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    keep = _first_of_components(prints, order, blocks).select(F.col("first.row").alias("_keep")).distinct()
+    once = Window.partitionBy("_row").orderBy(F.lit(0))
     return (
-        docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+        docs.withColumn("_row", row)
+        .join(keep, F.col("_row") == F.col("_keep"), "left_semi")
         .withColumn("_nth", F.row_number().over(once))
         .filter("_nth = 1")
-        .drop("_nth")
+        .drop("_nth", "_row")
     )
