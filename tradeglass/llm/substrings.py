@@ -230,7 +230,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, if wanted, the kept words joined by blanks.
 
     One plan: the texts are shuffled by id once, and that exchange serves all joins."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    # A column that needs no new name gets none: Spark takes an exchange again only if its plan is the same.
+    named = docs if id_col == "doc_id" else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col))
+    own = F.col("doc_id") if dict(named.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = named.select(own, F.col(text_col).cast("binary").alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("key"), "text")
     texts = rows.filter("doc_id is not null and text is not null")
     choices = _choices(texts)
