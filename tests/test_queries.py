@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from tradeglass.workload.oracle import ORACLE
+from tradeglass.workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
@@ -24,12 +26,12 @@ def text(value):
     return str(value.normalize()) if isinstance(value, Decimal) else str(value)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    frame = entry.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     names = sorted(frame.columns)
     found = sorted(tuple(map(text, row)) for row in frame.select(*names).collect())
-    answer = tables.execute(entry.oracle_sql()[name])
+    answer = tables.execute(ORACLE[name])
     columns = [c[0] for c in answer.description]
     assert sorted(columns) == names
     order = [columns.index(c) for c in names]
