@@ -39,7 +39,7 @@ def landed(spark):
             ("pool", "NAT", D(4 * 10**12), AS_OF), ("fees", "NAT", D(10**12), AS_OF), ("treasury", "NAT", D(7 * 10**12), AS_OF),
         ),
         metrics=page(schemas.METRIC_ENVELOPE, ("users", AS_OF, 0, (20,)), ("holders", AS_OF, 0, (30,))),
-        roles=page(schemas.ROLE_COUNTS, (0, [("nominator", 6)])),
+        roles=page(schemas.ROLE_COUNTS, (AS_OF, 0, [("nominator", 6)]), (AS_OF - timedelta(hours=1), 0, [("nominator", 9)])),
         scalars=page(schemas.CHAIN_SCALAR, ("staked", AS_OF, D(9 * 10**12)), ("issuance", AS_OF, D(11 * 10**12))),
         transfer_pages=page(schemas.TRANSFER_PAGE, (0, ([(1, "N", "0.5", 3, 1), (2, "N", "0.25", 3, 2)],))),
     )

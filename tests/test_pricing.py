@@ -166,6 +166,6 @@ def test_price_changes(trades, config):
 
 
 def test_keep_prices(spark):
-    listed = spark.createDataFrame([("U", 1.0), ("A", None), ("B", None)], "asset_id string, price double")
+    listed = spark.createDataFrame([("U", 1.0), ("A", None), ("B", None), ("V", 1.0)], "asset_id string, price double")
     before = spark.createDataFrame([("U", 9.0), ("A", 3.0)], "asset_id string, price double")
-    assert {r.asset_id: r.price for r in pricing.keep_prices(listed, before).collect()} == {"U": 1.0, "A": 3.0, "B": None}
+    assert {r.asset_id: r.price for r in pricing.keep_prices(listed, before).collect()} == {"U": 9.0, "A": 3.0, "B": None, "V": 1.0}

@@ -72,6 +72,24 @@ def test_snapshot_levels(spark):
     assert covered == {"A", "B"}
 
 
+def test_incomplete_snapshots(spark):
+    good = [("1", "5", "Ask", "s")]
+    pages = spark.createDataFrame(
+        [
+            ("A-U", 1, 1, good), ("A-U", 2, 1, good), ("A-U", 2, 2, None),
+            ("B-U", 1, 1, None), ("B-U", 1, 2, good),
+            ("C-U", 1, 1, good), ("C-U", 2, 1, [("x", "5", "Ask", "s")]),
+            ("D-U", 1, 1, [("1", "5", "Ask", "s"), ("1", None, "Bid", "t")]),
+            ("E-U", 1, 1, good), ("E-U", 2, 1, []),
+        ],
+        schemas.ORDERBOOK_PAGE,
+    )
+    taken = {(r.market, r.snapshot_id) for r in orderbook.latest_snapshot(pages).collect()}
+    assert taken == {("A-U", 1), ("C-U", 1), ("E-U", 2)}
+    rejected = {(r.market, r.snapshot_id, r.page) for r in orderbook.rejected_pages(pages).collect()}
+    assert rejected == {("A-U", 2, 2), ("B-U", 1, 1), ("C-U", 2, 1), ("D-U", 1, 1)}
+
+
 def test_balances_and_metrics(spark):
     early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
     balances = spark.createDataFrame(
@@ -85,7 +103,7 @@ def test_balances_and_metrics(spark):
     )
     assert {r.metric: r.value for r in chain.latest_metrics(envelopes).collect()} == {"users": 5, "holders": 7}
     roles = spark.createDataFrame(
-        [(0, [("validator", 1), ("nominator", 2), ("nominator", 3)]), (0, [("validator", 1)]), (0, None), (5, [("nominator", 2)])],
+        [(None, 0, [("validator", 1), ("nominator", 2), ("nominator", 3)]), (None, 0, [("validator", 1)]), (None, 0, None), (None, 5, [("nominator", 2)])],
         schemas.ROLE_COUNTS,
     )
     assert [r.stakers for r in chain.role_count(roles).collect()] == [2, None, None, None]

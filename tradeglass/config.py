@@ -24,8 +24,8 @@ class ExchangeConfig:
     stable_price: Decimal = Decimal("1.00")
     trade_retention_days: int = 60
     hourly_retention_days: int = 7
-    # Rows one transfer call returns; None reads everything that was landed.
-    transfer_page_rows: int | None = 100
+    # Rows of a page of transfers; None takes everything that was landed.
+    transfer_page_rows: int | None = None
     # Rows one window group may hold before its key is split by time.
     rows_per_slice: int = 1_000_000
     # Markets up to which the asset graph is levelled on the driver; beyond it prices are

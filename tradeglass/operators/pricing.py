@@ -299,6 +299,6 @@ def price_carry_forward(
 
 
 def keep_prices(listed: DataFrame, previous: DataFrame) -> DataFrame:
-    """Listed assets with their pinned price, else the previous one."""
+    """Listed assets with the price in force; the pinned one only where none is known yet."""
     old = previous.select("asset_id", F.col("price").alias("_old"))
-    return listed.join(old, "asset_id", "left").withColumn("price", F.coalesce("price", "_old")).drop("_old")
+    return listed.join(old, "asset_id", "left").withColumn("price", F.coalesce("_old", "price")).drop("_old")

@@ -28,6 +28,15 @@ def asset_tvl(assets: DataFrame, balances: DataFrame) -> DataFrame:
     )
 
 
+def fee_values(assets: DataFrame) -> DataFrame:
+    """Value of the stored fees of each asset at its price."""
+    return assets.select(
+        "asset_id",
+        (F.col("fees") * F.col("price")).cast(USD).alias("fees_value"),
+        (F.col("new_fees") * F.col("price")).cast(USD).alias("new_fees_value"),
+    )
+
+
 def fee_withdrawals_by_asset(withdrawals: DataFrame, assets: DataFrame) -> DataFrame:
     """Withdrawn total per asset of each symbol; several assets of one symbol get it each.
 

@@ -108,7 +108,8 @@ class Jobs:
     def save_values(self, balances: DataFrame) -> None:
         assets = self.store.read("assets")
         pool = chain.wallet_balances(balances, assets, self.config.pool_wallet)
-        self._save_assets(values.asset_tvl(assets, pool))
+        # The value of the fees follows the price here, even if the step that counts them fails.
+        self._save_assets(values.asset_tvl(assets, pool).join(values.fee_values(assets), "asset_id"))
 
     def save_fees(self, balances: DataFrame, today: date) -> None:
         assets = self.store.read("assets")
@@ -140,7 +141,8 @@ class Jobs:
             holders = metrics.filter(F.col("metric") == "holders").select("value").scalar()
             supplied |= {"users": users["users"], "new_users": users["new_users"], "total_holders": holders}
         if landed.roles is not None:
-            supplied["total_stakers"] = chain.role_count(landed.roles).agg(F.max("stakers")).scalar()
+            answered = chain.role_count(landed.roles).filter(F.col("stakers").isNotNull())
+            supplied["total_stakers"] = answered.agg(F.max_by("stakers", "observed_at")).scalar()
         if landed.scalars is not None and landed.balances is not None:
             assets = store.read("assets")
             treasury = chain.wallet_balances(landed.balances, assets, self.config.treasury_wallet)
@@ -345,6 +347,9 @@ class Jobs:
 
     def update_book(self, pages: DataFrame, as_of: datetime) -> None:
         """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""
+        rejected = orderbook.rejected_pages(pages)
+        if not rejected.isEmpty():
+            rejected.write.mode("append").parquet(f"{self.store.root}/quarantine_book")
         pages = orderbook.latest_snapshot(pages)
         levels, markets = orderbook.snapshot_levels(pages), orderbook.snapshot_markets(pages)
         self._update("orderbook", lambda stored: book.apply_snapshot(stored, levels, markets))

@@ -14,9 +14,9 @@ BALANCE = "decimal(16,4)"
 
 # --- inputs ---------------------------------------------------------------------------------------
 
-# Numbers arrive as text, ``t`` is epoch milliseconds, ``m`` is "BASE-QUOTE".
+# Numbers arrive as text (``t`` and ``stid`` as text or number), ``t`` is epoch milliseconds, ``m`` is "BASE-QUOTE".
 TRADE_EVENT = (
-    "type string, m string, p string, q string, vq string, t bigint, stid bigint, trade_id string, "
+    "type string, m string, p string, q string, vq string, t string, stid string, trade_id string, "
     "m_id string, t_id string, m_cid string, t_cid string, m_side string, t_side string"
 )
 ASSET_LISTING = "items array<struct<symbol:string,name:string,asset_id:string>>"
@@ -27,7 +27,7 @@ ORDERBOOK_PAGE = (
 )
 WALLET_BALANCE = "wallet string, asset_id string, balance_raw decimal(24,0), observed_at timestamp"
 METRIC_ENVELOPE = "metric string, observed_at timestamp, code int, data struct<count:bigint>"
-ROLE_COUNTS = "code int, data array<struct<role:string,count:bigint>>"
+ROLE_COUNTS = "observed_at timestamp, code int, data array<struct<role:string,count:bigint>>"
 TRANSFER_PAGE = (
     "code int, data struct<transfers:array<struct<transfer_id:bigint,asset_symbol:string,"
     "amount:string,block_num:bigint,event_idx:bigint>>>"

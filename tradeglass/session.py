@@ -29,7 +29,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names, else (tests) a temporary one."""
+    """Folder for intermediate tables: the one the cluster names.  Only a local session, whose tasks share the
+    driver's disk, may do with a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -37,6 +38,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradeglass-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

@@ -33,12 +33,13 @@ def split_markets(markets: DataFrame) -> DataFrame:
 
 def market_listing(pages: DataFrame, assets: DataFrame, config: ExchangeConfig) -> DataFrame:
     """Markets whose two assets are listed and not blocked, one row per market string."""
-    listed = split_markets(pages.select(F.explode("items.market").alias("market")).distinct())
+    listed = split_markets(pages.select(F.explode("items.market").alias("market")))
     blocked = config.blocked_assets
     listed = listed.filter(~F.col("base_asset_id").isin(*blocked) & ~F.col("quote_asset_id").isin(*blocked))
     known = assets.select("asset_id")
+    # Only the pairs that are kept are made distinct, so only those are shuffled.
     return listed.join(
         known.withColumnRenamed("asset_id", "base_asset_id"), "base_asset_id", "left_semi"
     ).join(known.withColumnRenamed("asset_id", "quote_asset_id"), "quote_asset_id", "left_semi").select(
         "market", "base_asset_id", "quote_asset_id"
-    )
+    ).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeglass.functions.text import market_base, market_quote
 from tradeglass.schemas import PRICE
@@ -16,6 +16,21 @@ def with_level_id(levels: DataFrame) -> DataFrame:
     return levels.withColumn("level_id", F.xxhash64(*LEVEL_KEY))
 
 
+def _complete() -> Column:
+    """Whether a page holds an answer that can be read: null items are a failed call, and a level whose price
+    or quantity is no number, or that has no side, spoils its page."""
+
+    def readable(item: Column) -> Column:
+        return item.p.try_cast(PRICE).isNotNull() & item.q.try_cast(PRICE).isNotNull() & item.s.isNotNull()
+
+    return F.col("items").isNotNull() & F.coalesce(F.forall("items", readable), F.lit(False))
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """Pages that cannot be used, for the quarantine folder."""
+    return pages.filter(~_complete())
+
+
 def snapshot_markets(pages: DataFrame) -> DataFrame:
     """Markets that have a snapshot at all.  A page with null items is a failed call and does not count;
     a page with an empty list does: it clears the book."""
@@ -38,10 +53,10 @@ def snapshot_levels(pages: DataFrame) -> DataFrame:
     rows = pages.select(market, "page", F.posexplode("items").alias("position", "item")).select(
         market_base(market).alias("base_asset_id"),
         market_quote(market).alias("quote_asset_id"),
-        item.p.cast(PRICE).alias("price"),
+        item.p.try_cast(PRICE).alias("price"),
         item.s.alias("side"),
         F.struct(
-            "page", "position", item.q.cast(PRICE).alias("quantity"), item.stid.alias("stid")
+            "page", "position", item.q.try_cast(PRICE).alias("quantity"), item.stid.alias("stid")
         ).alias("level"),
     )
     last = with_level_id(rows).groupBy("level_id", *LEVEL_KEY).agg(F.max("level").alias("level"))
@@ -49,8 +64,11 @@ def snapshot_levels(pages: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(pages: DataFrame) -> DataFrame:
-    """Pages of the newest snapshot of each market, of a folder holding several."""
-    newest = pages.groupBy("market").agg(F.max("snapshot_id").alias("snapshot_id"))
+    """Pages of the newest complete snapshot of each market, of a folder holding several.  A snapshot with a
+    page that failed or cannot be read is not complete; a market without a complete one is left out, so
+    its stored book stays as it is."""
+    complete = pages.groupBy("market", "snapshot_id").agg(F.bool_and(_complete()).alias("complete"))
+    newest = complete.filter("complete").groupBy("market").agg(F.max("snapshot_id").alias("snapshot_id"))
     return pages.join(newest, ["market", "snapshot_id"], "left_semi")
 
 

@@ -36,6 +36,7 @@ def decode_events(events: DataFrame, column: str = "value") -> DataFrame:
     are not pushed into the parser.
     """
     parsed = events.select(column, F.inline(F.array(F.from_json(F.col(column), TRADE_EVENT))))
+    parsed = parsed.withColumns({name: F.col(name).try_cast("bigint") for name in ("t", "stid")})
     required = [F.col("stid"), F.col("t"), F.col("p").try_cast(PRICE), F.col("q").try_cast(PRICE)]
     complete = reduce(lambda a, b: a & b, [part.isNotNull() for part in required])
     return parsed.withColumn("usable", complete & ~is_empty(F.col("m")))

@@ -270,6 +270,7 @@ class Inputs:
         entries = F.array(entry(F.lit("validator"), nation), entry(building, key), entry(machinery, nation + key))
         return self.table("customer").select(
             "c_custkey",
+            F.lit(AS_OF).alias("observed_at"),
             F.when(F.col("c_acctbal") < 0, 10004).otherwise(0).alias("code"),
             F.when(segment != "HOUSEHOLD", entries).alias("data"),
         )
@@ -312,6 +313,15 @@ class Inputs:
             F.array(level).alias("items"),
         )
 
+    def book_pages_with_failures(self) -> DataFrame:
+        """The same, where in the second snapshot a page of market S5 failed and one of S6 has a bad price."""
+        second = F.col("snapshot_id") == 2
+        item = F.get("items", F.lit(0))
+        spoilt = F.array(item.withField("p", F.lit("n/a")))
+        failed = second & (F.col("market") == "S5-USDT") & (F.col("page") == 4)
+        bad = second & (F.col("market") == "S6-USDT") & (F.col("page") == 5)
+        return self.book_pages().withColumn("items", F.when(bad, spoilt).when(~failed, F.col("items")))
+
     def snapshot(self, number: int) -> DataFrame:
         return self.book_pages().filter(F.col("snapshot_id") == number)
 

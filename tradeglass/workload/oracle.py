@@ -97,20 +97,18 @@ VIEWS: dict[str, str] = {
                cast(cast(o_totalprice AS decimal(18,2)) * 0.000001 AS decimal(20,10)) AS amount,
                o_orderkey // 10 AS block_num, o_orderkey % 10 AS event_idx, o_orderstatus, o_orderpriority
         FROM orders WHERE o_orderstatus <> 'P'""",
-    "levels": """
-        SELECT snapshot_id, base_asset_id, 'USDT' AS quote_asset_id, price, side,
-               arg_max(stid, (l_linenumber, quantity, stid)) AS stid,
-               arg_max(quantity, (l_linenumber, quantity, stid)) AS quantity
-        FROM (SELECT 'S' || cast(l_suppkey % 40 AS varchar) AS base_asset_id, l_linenumber,
+    # Per level its last line in the first snapshot and in the second.
+    "book_lines": """
+        SELECT base_asset_id, 'USDT' AS quote_asset_id, price, side,
+               max(line) FILTER (WHERE line.number <= 5) AS old, max(line) FILTER (WHERE line.number >= 3) AS new
+        FROM (SELECT 'S' || cast(l_suppkey % 40 AS varchar) AS base_asset_id,
                      cast(cast(cast(round(l_extendedprice * 100) AS bigint) // cast(l_quantity AS bigint)
                           AS decimal(18,0)) * 0.01 AS decimal(20,10)) AS price,
                      CASE WHEN l_linestatus = 'O' THEN 'Ask' ELSE 'Bid' END AS side,
-                     cast(cast(l_quantity AS decimal(12,2)) AS decimal(20,10)) AS quantity,
-                     cast(l_orderkey * 10 + l_linenumber AS varchar) AS stid
+                     {'number': l_linenumber, 'quantity': cast(cast(l_quantity AS decimal(12,2)) AS decimal(20,10)),
+                      'stid': cast(l_orderkey * 10 + l_linenumber AS varchar)} AS line
               FROM lineitem)
-        JOIN (VALUES (1), (2)) s(snapshot_id)
-          ON (snapshot_id = 1 AND l_linenumber <= 5) OR (snapshot_id = 2 AND l_linenumber >= 3)
-        GROUP BY 1, 2, 3, 4, 5""",
+        GROUP BY 1, 2, 3, 4""",
     "listing": """
         SELECT asset_id, symbol, name, CASE WHEN asset_id = '0' THEN cast(1 AS decimal(20,10)) END AS price
         FROM (SELECT cast(p_partkey AS varchar) AS asset_id, p_brand AS symbol, p_name AS name FROM part
@@ -196,11 +194,6 @@ def _window_sums(condition: str, extra: str = "") -> str:
 VIEWS |= {
     "cur": _window_sums(_CUR, ", min(price) AS price_low, max(price) AS price_high"),
     "prev": _window_sums(_PREV),
-    "older": f"""
-        SELECT t.base_asset_id, t.quote_asset_id, t.price
-        FROM priced t JOIN (SELECT max(trade_id) AS trade_id FROM priced
-                            WHERE timestamp <= {AS_OF} - INTERVAL 1 DAY GROUP BY base_asset_id, quote_asset_id) m
-             ON m.trade_id = t.trade_id""",
 }
 
 
@@ -239,20 +232,20 @@ def _as(columns: dict[str, str], wrap: str = "{}") -> str:
     return ", ".join(f"cast({wrap.format(name)} AS {kind}) AS {name}" for name, kind in columns.items())
 
 
+_FIGURES = {"trades": ("count(*)", "bigint"), "volume": ("sum(volume)", "decimal(18,6)"),
+            "volume_quote": ("sum(volume_quote)", "decimal(20,10)"), "volume_base": ("sum(quantity)", "decimal(20,10)")}
+# One pass over the trades with a condition for each figure.
 _MARKETS_24H = f"""
-    SELECT m.base_asset_id, m.quote_asset_id,
+    SELECT base_asset_id, quote_asset_id,
            {', '.join(
-               f"cast(coalesce({side}.{c}, 0) AS {kind}) AS {prefix}{c}"
-               for side, prefix in (('cur', ''), ('prev', 'previous_'))
-               for c, kind in (('trades', 'bigint'), ('volume', 'decimal(18,6)'),
-                               ('volume_quote', 'decimal(20,10)'), ('volume_base', 'decimal(20,10)')))},
-           cur.price_low, cur.price_high, cast(coalesce(older.price, 0) AS decimal(20,10)) AS price_24h
-    FROM market_list m
-    JOIN asset_list a1 ON a1.asset_id = m.base_asset_id
-    JOIN asset_list a2 ON a2.asset_id = m.quote_asset_id
-    LEFT JOIN cur ON cur.base_asset_id = m.base_asset_id AND cur.quote_asset_id = m.quote_asset_id
-    LEFT JOIN prev ON prev.base_asset_id = m.base_asset_id AND prev.quote_asset_id = m.quote_asset_id
-    LEFT JOIN older ON older.base_asset_id = m.base_asset_id AND older.quote_asset_id = m.quote_asset_id"""
+               f"cast(coalesce({figure} FILTER (WHERE {when}), 0) AS {kind}) AS {prefix}{name}"
+               for prefix, when in (('', _CUR), ('previous_', _PREV)) for name, (figure, kind) in _FIGURES.items())},
+           min(price) FILTER (WHERE {_CUR}) AS price_low, max(price) FILTER (WHERE {_CUR}) AS price_high,
+           cast(coalesce(arg_max(price, trade_id) FILTER (WHERE timestamp <= {AS_OF} - INTERVAL 1 DAY), 0)
+                AS decimal(20,10)) AS price_24h
+    FROM market_list LEFT JOIN priced USING (base_asset_id, quote_asset_id)
+    WHERE base_asset_id IN (SELECT asset_id FROM asset_list) AND quote_asset_id IN (SELECT asset_id FROM asset_list)
+    GROUP BY 1, 2"""
 
 _TRADES = "trade_id, base_asset_id, quote_asset_id, price, quantity, volume_quote, volume, timestamp"
 
@@ -274,7 +267,12 @@ SQL: dict[str, str] = {
         SELECT l_partkey || '-' || l_suppkey * 25 AS market, cast(l_partkey AS varchar) AS base_asset_id,
                cast(l_suppkey * 25 AS varchar) AS quote_asset_id FROM lineitem""",
     "orderbook_snapshot": """
-        SELECT base_asset_id, quote_asset_id, price, side, stid, quantity FROM levels WHERE snapshot_id = 2""",
+        SELECT base_asset_id, quote_asset_id, price, side, new.stid AS stid, new.quantity AS quantity
+        FROM book_lines WHERE new IS NOT NULL""",
+    "orderbook_failed_pages": """
+        SELECT base_asset_id, quote_asset_id, price, side, taken.stid AS stid, taken.quantity AS quantity
+        FROM (SELECT *, CASE WHEN base_asset_id IN ('S5', 'S6') THEN old ELSE new END AS taken FROM book_lines)
+        WHERE taken IS NOT NULL""",
     "wallet_balances": """
         SELECT 'pool' AS wallet, a.asset_id, raw AS balance_raw FROM asset_list a LEFT JOIN pool p ON p.asset_id = a.asset_id
         UNION ALL SELECT 'fees', a.asset_id, raw FROM asset_list a LEFT JOIN held h ON h.asset_id = a.asset_id
@@ -296,7 +294,7 @@ SQL: dict[str, str] = {
         FROM transfers UNION ALL
         SELECT 'fees.after_id:event_idx', cast(arg_max(event_idx, (block_num, event_idx)) AS varchar) FROM transfers""",
     "book_scan": """
-        SELECT base_asset_id, quote_asset_id, price, side FROM levels WHERE snapshot_id = 1 AND base_asset_id = 'S7'""",
+        SELECT base_asset_id, quote_asset_id, price, side FROM book_lines WHERE old IS NOT NULL AND base_asset_id = 'S7'""",
     "asset_price_scan": "SELECT asset_id, price FROM asset_price",
     "bulk_sink": f"SELECT cast(timestamp AS date) AS trade_date, {_TRADES} FROM priced",
     "admitted_trades": f"SELECT {_TRADES.replace(' volume,', '')} FROM admitted",
@@ -319,12 +317,17 @@ SQL: dict[str, str] = {
     "idle_markets": """
         SELECT base_asset_id, quote_asset_id FROM market_list m WHERE NOT EXISTS (
             SELECT * FROM priced t WHERE t.base_asset_id = m.base_asset_id AND t.quote_asset_id = m.quote_asset_id)""",
-    "orphan_keys": """
+    "orphan_keys": f"""
         SELECT table_name, column_name, asset_id, count(*) AS row_count
-        FROM (SELECT 'trades' AS table_name, 'base_asset_id' AS column_name, base_asset_id AS asset_id FROM src
-              UNION ALL SELECT 'trades', 'quote_asset_id', quote_asset_id FROM src
-              UNION ALL SELECT 'markets', 'base_asset_id', base_asset_id FROM (SELECT DISTINCT base_asset_id, quote_asset_id FROM src)
-              UNION ALL SELECT 'markets', 'quote_asset_id', quote_asset_id FROM (SELECT DISTINCT base_asset_id, quote_asset_id FROM src))
+        FROM (SELECT table_name, unnest(['base_asset_id', 'quote_asset_id']) AS column_name,
+                     unnest([base_asset_id, quote_asset_id]) AS asset_id
+              FROM (SELECT 'trades' AS table_name, base_asset_id, quote_asset_id FROM src
+                    UNION ALL SELECT 'markets', base_asset_id, quote_asset_id
+                    FROM (SELECT base_asset_id, quote_asset_id FROM src UNION SELECT base_asset_id, quote_asset_id FROM market_list)
+                    UNION ALL SELECT 'markets_daily', base_asset_id, quote_asset_id
+                    FROM (SELECT DISTINCT cast(timestamp AS date), base_asset_id, quote_asset_id FROM src)
+                    UNION ALL SELECT 'markets_24h', base_asset_id, quote_asset_id
+                    FROM (SELECT DISTINCT base_asset_id, quote_asset_id FROM src WHERE timestamp > {AS_OF} - INTERVAL 1 DAY)))
         WHERE asset_id NOT IN (SELECT asset_id FROM asset_list) GROUP BY 1, 2, 3""",
     "markets_daily": f"""
         SELECT {TODAY} AS stat_date, base_asset_id, quote_asset_id, cast(sum(volume) AS decimal(18,6)) AS volume,
@@ -475,19 +478,14 @@ SQL: dict[str, str] = {
         SELECT transfer_id, asset_symbol, amount FROM transfers
         WHERE o_orderstatus = 'F' OR o_orderpriority NOT IN ('5-LOW', '2-HIGH')""",
     "orderbook_diff": """
-        SELECT coalesce(o.base_asset_id, n.base_asset_id) AS base_asset_id, 'USDT' AS quote_asset_id,
-               coalesce(o.price, n.price) AS price, coalesce(o.side, n.side) AS side, coalesce(o.stid, n.stid) AS stid,
-               o.quantity AS old_quantity, n.quantity,
-               CASE WHEN o.stid IS NULL THEN 'insert' WHEN n.stid IS NULL THEN 'delete'
-                    WHEN o.quantity = n.quantity THEN 'same' ELSE 'update' END AS change
-        FROM (SELECT * FROM levels WHERE snapshot_id = 1) o
-        FULL JOIN (SELECT * FROM levels WHERE snapshot_id = 2) n
-          ON o.base_asset_id = n.base_asset_id AND o.price = n.price AND o.side = n.side""",
+        SELECT base_asset_id, quote_asset_id, price, side, coalesce(old.stid, new.stid) AS stid,
+               old.quantity AS old_quantity, new.quantity AS quantity,
+               CASE WHEN old IS NULL THEN 'insert' WHEN new IS NULL THEN 'delete'
+                    WHEN old.quantity = new.quantity THEN 'same' ELSE 'update' END AS change
+        FROM book_lines""",
     "orderbook_apply": """
-        SELECT n.base_asset_id, n.quote_asset_id, n.price, n.side, coalesce(o.stid, n.stid) AS stid, n.quantity
-        FROM (SELECT * FROM levels WHERE snapshot_id = 2) n
-        LEFT JOIN (SELECT * FROM levels WHERE snapshot_id = 1) o
-          ON o.base_asset_id = n.base_asset_id AND o.price = n.price AND o.side = n.side""",
+        SELECT base_asset_id, quote_asset_id, price, side, coalesce(old.stid, new.stid) AS stid, new.quantity AS quantity
+        FROM book_lines WHERE new IS NOT NULL""",
     "stream_priced_trades": f"SELECT {_TRADES} FROM priced",
     "stream_daily_windows": """
         SELECT date_trunc('day', timestamp) AS window_start, date_trunc('day', timestamp) + INTERVAL 1 DAY AS window_end,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,6 +31,8 @@ TRADE_COLUMNS = [
 LISTING = ExchangeConfig(native_asset="A00", stable_assets=("0",))
 RETENTION_DAY = date(2024, 3, 15)
 LATENESS = "1 hour"
+# Rows of a page of transfers, where pages are asked for.
+PAGE_ROWS = 100
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -68,6 +71,12 @@ def orderbook_snapshot(data: Inputs) -> DataFrame:
     return orderbook.snapshot_levels(orderbook.latest_snapshot(data.book_pages())).drop("level_id")
 
 
+@query
+def orderbook_failed_pages(data: Inputs) -> DataFrame:
+    """Newest complete snapshots where some pages failed or cannot be read."""
+    return orderbook.snapshot_levels(orderbook.latest_snapshot(data.book_pages_with_failures())).drop("level_id")
+
+
 @query
 def wallet_balances(data: Inputs) -> DataFrame:
     balances, assets = data.balances(), data.assets()
@@ -85,7 +94,7 @@ def metric_latest(data: Inputs) -> DataFrame:
 
 @query
 def stakers_by_role(data: Inputs) -> DataFrame:
-    return chain.role_count(data.role_payloads())
+    return chain.role_count(data.role_payloads()).drop("observed_at")
 
 
 @query
@@ -95,7 +104,7 @@ def transfers_after_cursor(data: Inputs) -> DataFrame:
 
 @query
 def transfers_next_page(data: Inputs) -> DataFrame:
-    return chain.transfers_after(chain.transfers(data.transfer_pages()), 20, 4, CONFIG.transfer_page_rows)
+    return chain.transfers_after(chain.transfers(data.transfer_pages()), 20, 4, PAGE_ROWS)
 
 
 @query
@@ -178,10 +187,17 @@ def idle_markets(data: Inputs) -> DataFrame:
 
 @query
 def orphan_keys(data: Inputs) -> DataFrame:
+    """The four tables that refer to assets, blocked ones included, against the listed assets."""
     trades, assets = data.trade_source(), data.assets()
-    markets = trades.select(*PAIR).distinct()
-    found = admission.unknown_assets(trades, assets, "trades")
-    return found.unionByName(admission.unknown_assets(markets, assets, "markets"))
+    pairs = trades.select(*PAIR).distinct()
+    tables = {
+        "trades": trades,
+        "markets": data.markets().unionByName(pairs).distinct(),
+        "markets_daily": trades.select(F.to_date("timestamp").alias("stat_date"), *PAIR).distinct(),
+        "markets_24h": trades.filter(F.col("timestamp") > at(AS_OF - DAY)).select(*PAIR).distinct(),
+    }
+    parts = [admission.unknown_assets(rows, assets, name) for name, rows in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- roll-ups -------------------------------------------------------------------------------------
