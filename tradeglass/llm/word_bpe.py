@@ -9,18 +9,21 @@ tokenizer's model; any other word goes through the whole tokenizer.
 from __future__ import annotations
 
 import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-# Words whose ids a worker keeps; a fuller table starts afresh.
+# Words whose ids a worker keeps, and as many again that it met before those.
 CACHED = 1 << 19
 # Fixed value: how the tokenizer cuts a lower-cased word.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # White space for Python only: the tokenizer does not cut there.
 _CONTROL = re.compile("[\x1c-\x1f]")
+_PAIR = struct.Struct("<H").pack
 
 
 def _letters() -> dict[int, str]:
@@ -30,6 +33,26 @@ def _letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Made(dict):
+    """Results of a function, made when first asked for.  A full table becomes the older one, and words that
+    are asked for again move back from there."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHED:
+            self.older = dict(self)
+            self.clear()
+        made = self.older.pop(word, None)
+        if made is None:
+            made = self.make(word)
+        self[word] = made
+        return made
+
+
 class WordBPE:
     """ids of texts, as little-endian 16-bit numbers."""
 
@@ -40,35 +63,33 @@ class WordBPE:
             raise ValueError("ids must fit 16 bits")
         self.model = self.tokenizer.model
         self.letters = _letters()
-        self._words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._words = _Made(self._word)
+        self._parts = _Made(self._part)
 
     def encode(self, text: str) -> bytes:
         if _CONTROL.search(text):
             return self._whole(text)
-        words = text.split()
-        known = self._words
-        for word in set(words).difference(known):
-            known[word] = self._word(word)
-        ids = b"".join(map(known.__getitem__, words))
-        if len(known) > CACHED:
-            known.clear()
-            self._parts.clear()
-        return ids
+        return b"".join(map(self._words.__getitem__, text.split()))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not _PLAIN.fullmatch(word):
+        if not word.isascii() and not _PLAIN.fullmatch(word):
             return self._whole(word)
-        return b"".join([self._parts.get(part) or self._part(part) for part in _PARTS.findall(word.lower())])
+        known = self._parts
+        low = word.lower()
+        # Mostly letters, and perhaps a mark at the end: then nothing has to be searched for.
+        letters = low if low.isalpha() else low[:-1]
+        if letters.isalpha():
+            mark = low[len(letters) :]
+            if not mark.isalnum():
+                return known[letters] + known[mark] if mark else known[letters]
+        return b"".join([known[part] for part in _PARTS.findall(low)])
 
     def _part(self, part: str) -> bytes:
-        spelled = part.encode().decode("latin-1").translate(self.letters)
-        ids = b"".join([token.id.to_bytes(2, "little") for token in self.model.tokenize(spelled)])
-        self._parts[part] = ids
-        return ids
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return b"".join([_PAIR(token.id) for token in self.model.tokenize(spelled)])
 
 
 _loaded: dict[str, WordBPE] = {}
