@@ -76,10 +76,13 @@ def test_long_chain_of_one_cycle(trades, config):
     compare(pricing.price_trades(trades(rows), config), one_by_one(rows, {"USD"}))
 
 
-def test_too_many_markets_to_level(trades, config):
+def test_many_markets_change_nothing(trades, config):
+    """Markets of assets that are no quotes are not looked at, so their number does not choose the method."""
     rows = random_trades(LAYERED, 200, seed=5)
-    small = replace(config, max_levelled_markets=2)
-    compare(pricing.price_trades(trades(rows), small), one_by_one(rows, {"USD"}))
+    more = [(100_000 + i, f"X{i}", "USD", D(2), 1, D(2), None, START) for i in range(300)]
+    alone = {r.trade_id: (r.volume, r.usd_price) for r in pricing.price_trades(trades(rows), config).collect()}
+    among = {r.trade_id: (r.volume, r.usd_price) for r in pricing.price_trades(trades(rows + more), config).collect()}
+    assert alone == {i: x for i, x in among.items() if i < 100_000}
 
 
 @pytest.mark.parametrize("markets", [LAYERED, CYCLIC])

@@ -28,6 +28,3 @@ class ExchangeConfig:
     transfer_page_rows: int | None = None
     # Rows one window group may hold before its key is split by time.
     rows_per_slice: int = 1_000_000
-    # Markets up to which the asset graph is levelled on the driver; beyond it prices are
-    # resolved by pointer doubling, which needs no levels.
-    max_levelled_markets: int = 10_000

@@ -49,11 +49,17 @@ def quote_levels(pairs: list[tuple[str, str]], stable: tuple[str, ...]) -> tuple
         open_assets -= ready
 
 
-def _traded_pairs(trades: DataFrame, limit: int) -> dict[tuple[str, str], int] | None:
-    """Number of trades per market, or None when there are more than ``limit`` markets."""
-    counts = trades.groupBy("base_asset_id", "quote_asset_id").count()
-    rows = counts.limit(limit + 1).collect()
-    return None if len(rows) > limit else {(base, quote): n for base, quote, n in rows}
+def _quote_graph(trades: DataFrame, stable: tuple[str, ...]) -> tuple[set[str], list[tuple[str, str]], int]:
+    """Assets used as quotes, the markets between two of them, and the most trades that one of them has on
+    both sides.  The driver sees these few assets and markets only, however many others there are."""
+    markets = cut_lineage(trades.groupBy("base_asset_id", "quote_asset_id").agg(F.count(F.lit(1)).alias("n")))
+    used = markets.filter(~F.col("quote_asset_id").isin(*stable)).select(F.col("quote_asset_id").alias("asset")).distinct()
+    quotes = {row.asset for row in used.collect()}
+    inner = markets.join(used.withColumnRenamed("asset", "base_asset_id"), "base_asset_id", "left_semi")
+    inner = inner.join(used.withColumnRenamed("asset", "quote_asset_id"), "quote_asset_id", "left_semi")
+    sides = markets.select(F.explode(F.array_distinct(F.array("base_asset_id", "quote_asset_id"))).alias("asset"), "n")
+    load = sides.join(used, "asset", "left_semi").groupBy("asset").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    return quotes, [(r.base_asset_id, r.quote_asset_id) for r in inner.collect()], load or 0
 
 
 TICK = ["asset", *ORDER, "usd_price"]
@@ -101,13 +107,12 @@ def price_trades(
     )
     rest = trades.filter(~quoted_stable)
 
-    pairs = _traded_pairs(trades, config.max_levelled_markets)
-    quotes = None if pairs is None else {quote for _, quote in pairs if quote not in stable}
-    if quotes is not None and not quotes:
+    quotes, inner, load = _quote_graph(trades, stable)
+    if not quotes:
         return direct
     if slice_unit == "auto":
-        slice_unit = _slice_for(trades, config, pairs, quotes)
-    ticks = _quote_ticks(direct, rest, pairs, quotes, stable, seeds, slice_unit)
+        slice_unit = _slice_for(trades, config, quotes) if load > config.rows_per_slice else None
+    ticks = _quote_ticks(direct, rest, inner, quotes, stable, seeds, slice_unit)
     priced = _as_of_quote(rest, ticks, "usd_price", "_quote_usd", slice_unit)
     quote_usd = F.col("_quote_usd")
     priced = priced.withColumns(
@@ -122,29 +127,20 @@ def price_trades(
 def _quote_ticks(
     direct: DataFrame,
     rest: DataFrame,
-    pairs: dict[tuple[str, str], int] | None,
-    quotes: set[str] | None,
+    inner: list[tuple[str, str]],
+    quotes: set[str],
     stable: tuple[str, ...],
     seeds: DataFrame | None,
     slice_unit: str | None,
 ) -> DataFrame:
-    """All prices of the assets used as quotes, seeds included.
-
-    Without ``pairs`` (too many markets to level) every asset counts as one that cannot be levelled.
-    """
+    """All prices of the assets used as quotes, seeds included."""
     base = F.col("base_asset_id").alias("asset")
-    known = direct.select(base, *ORDER, "usd_price")
+    known = direct.select(base, *ORDER, "usd_price").filter(F.col("asset").isin(*quotes))
     needed = rest.select("base_asset_id", "quote_asset_id", *ORDER, F.col("price").cast("double").alias("own"))
-    if quotes is not None:
-        known = known.filter(F.col("asset").isin(*quotes))
-        needed = needed.filter(F.col("base_asset_id").isin(*quotes))
+    needed = needed.filter(F.col("base_asset_id").isin(*quotes))
     settled = [known] if seeds is None else [known, _seed_ticks(seeds)]
-    if pairs is None:
-        return _union([*settled, _chained_ticks(needed, _union(settled), slice_unit)])
-
-    level, looped = quote_levels(list(pairs), stable)
-    # Markets between two quote assets: only their trades make ticks that need other ticks.
-    inner = {(b, q) for b, q in pairs if b in quotes and q in quotes}
+    level, looped = quote_levels(inner, stable)
+    # Only the trades of markets between two quote assets make ticks that need other ticks.
     for step in sorted({level[q] for _, q in inner if q in level}):
         assets = sorted({q for _, q in inner if level.get(q) == step})
         probes = needed.filter(F.col("quote_asset_id").isin(*assets))
@@ -166,18 +162,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _slice_for(
-    trades: DataFrame, config: ExchangeConfig, pairs: dict[tuple[str, str], int] | None, quotes: set[str]
-) -> str | None:
+def _slice_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str]) -> str:
     """Time slice in which the busiest quote asset, counting its trades on both sides, fits."""
-    if pairs is not None:
-        load = [sum(n for pair, n in pairs.items() if asset in pair) for asset in quotes]
-        if max(load, default=0) <= config.rows_per_slice:
-            return None
     legs = trades.select(F.explode(F.array("base_asset_id", "quote_asset_id")).alias("asset"), "timestamp")
-    if pairs is None:
-        legs = legs.filter(~F.col("asset").isin(*config.stable_assets))
-        return choose_slice(legs, ["asset"], "timestamp", config.rows_per_slice)
     return slice_within(legs.filter(F.col("asset").isin(*quotes)), ["asset"], "timestamp", config.rows_per_slice)
 
 
