@@ -1,6 +1,7 @@
 import json
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tradeglass import schemas
 from tradeglass.operators import pricing
 from tradeglass.plans.jobs import Jobs, Landed, Report
 from tradeglass.plans.store import Store
-from tradeglass.session import cut_lineage
+from tradeglass.session import cut_lineage, scratch_dir
 from tradeglass.sources.trades import stream_events
 from tradeglass.streaming import windows
 from tradeglass.streaming.trades import TradeStream
@@ -143,8 +144,8 @@ def test_backfill_equals_ingest(spark, jobs, trades, config, tmp_path):
         assert rows(other.store.read(name)) == rows(jobs.store.read(name)), name
 
 
-def test_failed_step_does_not_stop(jobs):
-    report = Report()
+def test_failed_step_does_not_stop(spark, jobs):
+    report = Report(spark)
     report.run("bad", lambda: 1 / 0)
     report.run("none", lambda: False)
     report.run("good", lambda: None)
@@ -196,6 +197,54 @@ def test_trade_stream_equals_batch(spark, jobs, tmp_path, trades):
     assert rows(jobs.store.read("trades").select("trade_id", "volume"))[0] == (1, D(2))
 
 
+def test_stream_prices_from_repriced_state(spark, jobs, tmp_path):
+    jobs.refresh(AS_OF, landed(spark))
+    start, stream = datetime(2024, 1, 30, 1), TradeStream(jobs)
+    texts = [
+        [event(1, "NAT-USD", 3, start), event(2, "AAA-NAT", 2, start + timedelta(minutes=5))],
+        [event(3, "NAT-USD", 10, start + timedelta(minutes=1))],
+        [event(4, "NAT-AAA", 2, start + timedelta(minutes=9))],
+    ]
+    frames = [spark.createDataFrame([(t,) for t in batch], "value string") for batch in texts]
+    stream.process(frames[0], 0)
+    stream.process(frames[1], 1)
+    jobs.reprice_from(date(2024, 1, 30))
+    jobs.store.replace("markets", spark.createDataFrame([("NAT", "USD", True, None), ("AAA", "NAT", True, None), ("NAT", "AAA", True, None)], schemas.schema_of("markets")))
+    stream.process(frames[2], 2)
+    assert rows(jobs.store.read("trades").select("trade_id", "volume")) == [(1, D(3)), (2, D(20)), (3, D(10)), (4, D(40))]
+
+
+def test_intermediate_tables_are_deleted(spark, jobs):
+    jobs.refresh(AS_OF, landed(spark))
+    folder = Path(scratch_dir(spark)) / "intermediate"
+    before = len(list(folder.glob("*"))) if folder.exists() else 0
+    stream = TradeStream(jobs)
+    for number in range(3):
+        moment = datetime(2024, 1, 30, 1, number)
+        stream.process(spark.createDataFrame([(event(number, "NAT-USD", 3 + number, moment),)], "value string"), number)
+    assert len(list(folder.glob("*"))) == before
+
+
+def test_a_held_version_stays_readable(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "held"))
+    frame = spark.createDataFrame([("k", "v0")], schemas.schema_of("metadata"))
+    store.replace("metadata", frame)
+    held = store.read("metadata")
+    for number in range(10):
+        store.replace("metadata", frame.withColumn("data_value", F.lit(f"v{number}")))
+    assert held.first().data_value == "v0"
+    store.version_age = timedelta(seconds=-5)
+    store.replace("metadata", frame)
+    assert len(store._versions("metadata")) == 2
+
+
+def test_every_landed_transfer_is_stored(spark, jobs):
+    jobs.refresh(AS_OF, landed(spark))
+    page = (0, ([(i, "N", "0.5", 3 + i // 9, i % 9) for i in range(250)],))
+    assert jobs.hourly(AS_OF, Landed(transfer_pages=spark.createDataFrame([page], schemas.TRANSFER_PAGE))).ok
+    assert jobs.store.read("fee_withdrawals").count() == 250
+
+
 def test_windows(spark, trades, tmp_path):
     start = datetime(2024, 1, 1)
     frame = trades([(i, "A", "U", 1, 1, 1, 1, start + timedelta(minutes=7 * i)) for i in range(600)])

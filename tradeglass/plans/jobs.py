@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from threading import RLock
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import at
@@ -21,7 +21,7 @@ from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
 from tradeglass.operators.lastknown import one
 from tradeglass.plans.store import Merged, Store
 from tradeglass.schemas import EXCHANGE_MEASURES, PRICE, conform, schema_of
-from tradeglass.session import cut_lineage, together
+from tradeglass.session import cut_lineage, releasing, together
 from tradeglass.sources import chain, listings, orderbook
 
 
@@ -42,11 +42,13 @@ class Landed:
 class Report:
     """Outcome of each step: "ok", "skipped" or the error."""
 
+    spark: SparkSession
     steps: dict[str, str] = field(default_factory=dict)
 
     def run(self, name: str, step: Callable[[], object]) -> None:
         try:
-            self.steps[name] = "skipped" if step() is False else "ok"
+            with releasing(self.spark):
+                self.steps[name] = "skipped" if step() is False else "ok"
         except Exception as error:  # a failed step must not stop the job
             self.steps[name] = f"{type(error).__name__}: {error}"
 
@@ -61,6 +63,9 @@ class Jobs:
         self.config = config
         self.spark = store.spark
         self._locks: defaultdict[str, RLock] = defaultdict(RLock)
+        # Held by whatever writes trades and what is kept along with them: a batch of a stream, repricing,
+        # backfill, compaction and retention.
+        self.writing_trades = RLock()
 
     def _update(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
         """Read a small table, change it, write it; one at a time per table, as the stream and the jobs of
@@ -121,15 +126,23 @@ class Jobs:
 
     def save_transfers(self, pages: DataFrame) -> None:
         """Store the transfers after the cursor, then move the cursor behind them."""
+        with self._locks["fee_withdrawals"]:
+            self._save_transfers(pages)
+
+    def _save_transfers(self, pages: DataFrame) -> None:
         block, event = chain.cursor_value(self.store.read("metadata"))
         page = cut_lineage(
             chain.transfers_after(chain.transfers(pages), block, event, self.config.transfer_page_rows)
         )
-        self.store.append_new(
-            "fee_withdrawals", page, "transfer_id", ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
-        )
+        self.append_transfers(page)
         self._update("metadata", lambda stored: upsert.upsert_metadata(stored, chain.cursor_rows(page)))
 
+    def append_transfers(self, rows: DataFrame) -> None:
+        """Append transfers with an unseen id.  One writer at a time, as each must see what the other wrote."""
+        with self._locks["fee_withdrawals"]:
+            required, order = ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
+            self.store.append_new("fee_withdrawals", rows, "transfer_id", required, order)
+
     def save_measures(self, landed: Landed, today: date) -> None:
         """Users, holders, stakers, staked total, treasury and issuance into today's row."""
         store = self.store
@@ -251,6 +264,11 @@ class Jobs:
 
         ``priced`` is read several times; the caller passes it checkpointed.
         """
+        with self.writing_trades, releasing(self.spark):
+            return self.merge(priced, reprice=reprice)
+
+    def merge(self, priced: DataFrame, *, reprice: bool = False) -> list[date]:
+        """The same for a caller that holds ``writing_trades``."""
         merged = self.store.merge_trades(priced, reprice=reprice)
         if merged is None:
             return []
@@ -266,7 +284,10 @@ class Jobs:
 
     def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:
         """Load a whole history of admitted trades into empty tables: priced in one go and written once."""
-        priced = pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds)
+        with self.writing_trades, releasing(self.spark):
+            self._load(pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds))
+
+    def _load(self, priced: DataFrame) -> None:
         dated = priced.withColumn("trade_date", F.to_date("timestamp"))
         store = self.store
         # The price made is written along, so that everything else reads what was written.
@@ -282,7 +303,7 @@ class Jobs:
 
     def refresh(self, as_of: datetime, landed: Landed) -> Report:
         """Every five minutes."""
-        report, today = Report(), as_of.date()
+        report, today = Report(self.spark), as_of.date()
 
         def given(part: DataFrame | None, step: Callable[[DataFrame], object]) -> Callable[[], object]:
             return lambda: False if part is None else step(part)
@@ -299,7 +320,7 @@ class Jobs:
 
     def hourly(self, as_of: datetime, landed: Landed) -> Report:
         """Every hour."""
-        report, store = Report(), self.store
+        report, store = Report(self.spark), self.store
         hour = hourly.hour_of(as_of)
 
         def snapshot_assets() -> None:
@@ -320,7 +341,7 @@ class Jobs:
 
     def nightly(self, as_of: datetime) -> Report:
         """Shortly after midnight, for the day before."""
-        report, store = Report(), self.store
+        report, store = Report(self.spark), self.store
         today, yesterday = as_of.date(), as_of.date() - timedelta(days=1)
 
         def close() -> None:
@@ -328,14 +349,19 @@ class Jobs:
             self._update("exchange_daily", lambda days: daily.exchange_daily_close(days, rows, yesterday))
 
         def settle() -> None:
-            store.compact_trades(yesterday)
-            self._summarise_days([yesterday])
+            with self.writing_trades:
+                store.compact_trades(yesterday)
+                self._summarise_days([yesterday])
+
+        def clean() -> None:
+            with self.writing_trades:
+                store.clean_trades(today, self.config.trade_retention_days)
 
         report.run("settle", settle)
         report.run("close", close)
         report.run("new_day", lambda: self._roll_forward(today))
         report.run("day", lambda: self._day_tables(yesterday))
-        report.run("clean_trades", lambda: store.clean_trades(today, self.config.trade_retention_days))
+        report.run("clean_trades", clean)
         report.run("clean_closes", lambda: self._clean_closes(today))
         report.run("clean_hourly", lambda: store.clean_hourly(as_of, self.config.hourly_retention_days))
         report.run("alltime", self._close_alltime)
@@ -343,7 +369,8 @@ class Jobs:
 
     def _clean_closes(self, today: date) -> None:
         """The closes follow the trades: gone days go, the cut day is taken anew."""
-        self._summarise_days([today - timedelta(days=self.config.trade_retention_days)])
+        with self.writing_trades:
+            self._summarise_days([today - timedelta(days=self.config.trade_retention_days)])
 
     def update_book(self, pages: DataFrame, as_of: datetime) -> None:
         """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""
@@ -357,9 +384,14 @@ class Jobs:
 
     def reprice_from(self, day: date) -> list[date]:
         """Price stored trades again from ``day`` on, after late trades arrived, starting from the last
-        prices set before that day."""
-        closes = self.store.read("asset_closes").filter(F.col("trade_date") < F.lit(day))
-        seeds = upsert.last_per_key(closes.drop("trade_date"), ["asset_id"], pricing.ORDER)
-        trades = self.store.read("trades").filter(F.col("trade_date") >= F.lit(day)).drop("trade_date")
-        priced = cut_lineage(pricing.price_trades(trades, self.config, seeds=seeds))
-        return self.ingest(priced, reprice=True)
+        prices set before that day.  The prices it ends with are kept for the trade streams, whose next
+        batch takes them over."""
+        with self.writing_trades, releasing(self.spark):
+            closes = self.store.read("asset_closes").filter(F.col("trade_date") < F.lit(day))
+            seeds = upsert.last_per_key(closes.drop("trade_date"), ["asset_id"], pricing.ORDER)
+            trades = self.store.read("trades").filter(F.col("trade_date") >= F.lit(day)).drop("trade_date")
+            priced = cut_lineage(pricing.price_trades(trades, self.config, seeds=seeds))
+            days = self.ingest(priced, reprice=True)
+            closes = self.store.read("asset_closes").drop("trade_date")
+            self.store.replace("repriced_assets", upsert.last_per_key(closes, ["asset_id"], pricing.ORDER))
+            return days

@@ -30,7 +30,8 @@ PARTITIONED = {
 APPENDED = ("fee_withdrawals",)
 # Order within the files of a table, so that ranges of it skip row groups.
 SORTED = {"trades": "trade_id"}
-_VERSIONS_KEPT = 3
+# How long a version that was replaced stays for its readers: longer than any job lasts.
+VERSION_AGE = timedelta(hours=24)
 
 
 @dataclass(frozen=True)
@@ -49,10 +50,11 @@ class Store:
     """``rows_per_file`` bounds the files of partitioned tables; by default their size follows from
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``."""
 
-    def __init__(self, spark: SparkSession, root: str, *, rows_per_file: int = 0):
+    def __init__(self, spark: SparkSession, root: str, *, rows_per_file: int = 0, version_age: timedelta = VERSION_AGE):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rows_per_file = rows_per_file
+        self.version_age = version_age
 
     # --- files ------------------------------------------------------------------------------------
 
@@ -114,8 +116,16 @@ class Store:
         versions = self._versions(table)
         number = version if version is not None else (versions[-1] + 1 if versions else 0)
         rows.write.mode("overwrite").parquet(f"{self.root}/{table}/v={number}")
-        for old in [n for n in versions if n < number][: -(_VERSIONS_KEPT - 1)]:
-            self._files().delete(self._path(table, f"v={old}"), True)
+        self._expire(table, [n for n in versions if n < number])
+
+    def _expire(self, table: str, versions: list[int]) -> None:
+        """Delete versions whose successor is older than the age kept; the last one before always stays."""
+        files = self._files()
+        kept_since = datetime.now().timestamp() - self.version_age.total_seconds()
+        for old, following in zip(versions, versions[1:]):
+            written = files.getFileStatus(self._path(table, f"v={following}", "_SUCCESS")).getModificationTime() / 1000
+            if written < kept_since:
+                files.delete(self._path(table, f"v={old}"), True)
 
     def overwrite_partitions(self, table: str, rows: DataFrame) -> int:
         """Exchange every partition that ``rows`` touch; returns the number of rows written.

@@ -117,7 +117,8 @@ TABLES = {
     ),
     "market_closes": f"base_asset_id string, quote_asset_id string, close_id bigint, close_price {PRICE}",
     "asset_closes": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
-    # Price state of a trade stream.
+    # Price state of a trade stream, and the prices that repricing left behind.
+    "repriced_assets": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
     "asset_prices": "asset_id string, usd_price double, timestamp timestamp, trade_id bigint",
 }
 

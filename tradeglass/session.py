@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,12 +52,39 @@ def together(*steps: Callable[[], object]) -> None:
     """Run independent steps at the same time, so that small jobs do not wait for each other.  Raises the
     first error, after all have ended."""
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        running = [pool.submit(step) for step in steps]
+        running = [pool.submit(copy_context().run, step) for step in steps]
     for step in running:
         step.result()
 
 
+# Intermediate tables to delete at the end of the job that runs here.
+_intermediate: ContextVar[list[str] | None] = ContextVar("intermediate", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a result read by several later steps is computed once."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a result that several later steps read to the shared scratch folder, and read it back: it is
+    computed once, and outlives the executors.  Within ``releasing`` it is deleted at the end."""
+    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/intermediate/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    kept = _intermediate.get()
+    if kept is not None:
+        kept.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of a job once it has written its results.  Of nested jobs the outer
+    one deletes."""
+    if _intermediate.get() is not None:
+        yield
+        return
+    kept: list[str] = []
+    token = _intermediate.set(kept)
+    try:
+        yield
+    finally:
+        _intermediate.reset(token)
+        for name in kept:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,9 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradeglass.operators import pricing
 from tradeglass.operators.admission import admitted_trades
-from tradeglass.operators.upsert import unique_trades
+from tradeglass.operators.upsert import last_per_key, unique_trades
 from tradeglass.plans.jobs import Jobs
-from tradeglass.session import cut_lineage, together
+from tradeglass.session import cut_lineage, releasing, together
 from tradeglass.sources.trades import decode_events, rejected_events, trades_from
 
 
@@ -31,7 +31,10 @@ class TradeStream:
         """State after the batch before; a stream that just starts takes the stored asset prices."""
         kept = self.store.read(self.prices, before=batch_id, schema_like="asset_prices")
         if batch_id > 0 and not kept.isEmpty():
-            return kept
+            # Of a price and the same one after repricing, the latter counts; else the later trade.
+            repriced = self.store.read("repriced_assets").withColumn("_again", F.lit(1))
+            both = kept.withColumn("_again", F.lit(0)).unionByName(repriced)
+            return last_per_key(both, ["asset_id"], [*pricing.ORDER, "_again"]).drop("_again")
         return self.store.read("assets").filter(F.col("price").isNotNull()).select(
             "asset_id",
             F.col("price").cast("double").alias("usd_price"),
@@ -40,6 +43,10 @@ class TradeStream:
         )
 
     def process(self, events: DataFrame, batch_id: int) -> None:
+        with self.jobs.writing_trades, releasing(self.store.spark):
+            self._process(events, batch_id)
+
+    def _process(self, events: DataFrame, batch_id: int) -> None:
         decoded = decode_events(events)
         config, store = self.jobs.config, self.store
         trades = admitted_trades(trades_from(decoded), store.read("markets"), config).drop("market")
@@ -48,7 +55,7 @@ class TradeStream:
         priced = cut_lineage(pricing.price_trades(trades, config, seeds=before))
         rejected = rejected_events(decoded).write.mode("overwrite")
         together(
-            lambda: self.jobs.ingest(priced),
+            lambda: self.jobs.merge(priced),
             lambda: store.replace(self.prices, pricing.asset_last_price(priced, before), version=batch_id),
             lambda: rejected.parquet(f"{self.quarantine}/batch={batch_id}"),
         )

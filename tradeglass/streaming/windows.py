@@ -66,13 +66,7 @@ def store_transfers(pages: DataFrame, jobs: Jobs, checkpoint: str, **trigger) ->
     """Append transfers of landed pages once per id; the stream's checkpoint is the cursor."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        jobs.store.append_new(
-            "fee_withdrawals",
-            chain.transfers(batch),
-            "transfer_id",
-            ["transfer_id", "asset_symbol", "amount"],
-            ["block_num", "event_idx"],
-        )
+        jobs.append_transfers(chain.transfers(batch))
 
     writer = pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
