@@ -8,6 +8,7 @@ import pytest
 from tradeglass.operators import daily, pricing, rolling
 from tradeglass.plans.store import Store
 from tradeglass.schemas import conform, schema_of
+from tradeglass.workload.queries import QUERIES
 
 AS_OF = datetime(2024, 1, 30, 12)
 
@@ -60,3 +61,17 @@ def test_pricing_moves_trades_once(stored, config):
 def test_day_figures_read_one_day(stored):
     text = plan(daily.exchange_daily_close(stored.read("exchange_daily"), stored.read("trades"), AS_OF.date()))
     assert "(trade_date >= 2024-01-30), (trade_date <= 2024-01-30)" in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["markets_24h", "markets_24h_from_closes", "markets_24h_from_panes", "markets_daily", "markets_daily_from_panes",
+     "idle_markets", "assets_24h", "exchange_24h", "assets_daily", "exchange_daily_close", "idle_assets"],
+)
+def test_rollups_read_no_old_trades(spark, name):
+    """Every scan of trades is bounded by a day at most three days back."""
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    for scan in re.findall(r"FileScan parquet .*", text):
+        if re.search(r"/(trades|market_panes)\]", scan):
+            first = re.search(r"trade_date >= (\d{4}-\d\d-\d\d)", scan)
+            assert first and first[1] >= "2024-01-27", scan

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.numeric import floor_amount
 from tradeglass.operators import pricing
-from tradeglass.operators.activity import PAIR
+from tradeglass.operators.activity import PAIR, panes
 from tradeglass.operators.admission import admitted_trades
+from tradeglass.operators.rolling import market_closes
 from tradeglass.plans.store import Store
 from tradeglass.schemas import BALANCE, FEES, PRICE, USD, VOLUME, conform
 from tradeglass.session import prepare, scratch_dir
@@ -133,18 +134,29 @@ class Inputs:
         return pricing.price_trades(self.admitted(), CONFIG)
 
     def store(self) -> Store:
-        """The trades as the ingest job leaves them: priced, in day partitions.  Written once per session."""
+        """The trades as the ingest job leaves them: priced, in day partitions, with the panes and closes kept
+        along.  Written once per session."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "trades")
         if key not in _landed:
             store = Store(self.spark, self.scratch("landed"))
             priced = self.price().withColumn("trade_date", F.to_date("timestamp"))
             store.overwrite_partitions("trades", conform(priced, "trades", "trade_date", "usd_price", "user_id"))
+            minutes = panes(store.read("trades"))
+            store.overwrite_partitions("market_panes", conform(minutes, "market_panes", "trade_date"))
+            closes = market_closes(store.read("market_panes"))
+            store.overwrite_partitions("market_closes", conform(closes, "market_closes", "trade_date"))
             _landed[key] = store.root
         return Store(self.spark, _landed[key])
 
     def trades(self) -> DataFrame:
         return self.store().read("trades")
 
+    def panes(self) -> DataFrame:
+        return self.store().read("market_panes")
+
+    def closes(self) -> DataFrame:
+        return self.store().read("market_closes")
+
     def priced(self) -> DataFrame:
         """Stored trades with the price each one set and its user."""
         return self.spark.read.parquet(f"{self.store().root}/trades")

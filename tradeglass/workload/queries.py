@@ -12,7 +12,7 @@ from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import DAY, at, in_current, in_previous
 from tradeglass.functions.numeric import floor_amount
 from tradeglass.operators import admission, book, daily, hourly, lastknown, pricing, rolling, upsert, values
-from tradeglass.operators.activity import PAIR, panes
+from tradeglass.operators.activity import PAIR
 from tradeglass.plans.jobs import Jobs
 from tradeglass.plans.store import Store
 from tradeglass.schemas import PRICE, VOLUME, conform, schema_of
@@ -182,7 +182,7 @@ def idle_assets(data: Inputs) -> DataFrame:
 
 @query
 def idle_markets(data: Inputs) -> DataFrame:
-    return daily.idle_markets(data.markets(), data.trades())
+    return daily.idle_markets(data.markets(), data.closes())
 
 
 @query
@@ -205,12 +205,13 @@ def orphan_keys(data: Inputs) -> DataFrame:
 
 @query
 def markets_daily(data: Inputs) -> DataFrame:
-    return daily.markets_daily(data.trades(), data.markets(), TODAY)
+    """From the trades of the day, and the pairs ever traded from the closes."""
+    return daily.markets_daily(data.trades(), data.markets(), TODAY, traded=daily.traded_pairs(data.closes()))
 
 
 @query
 def markets_daily_from_panes(data: Inputs) -> DataFrame:
-    return daily.markets_daily(panes(data.trades()), data.markets(), TODAY)
+    return daily.markets_daily(data.panes(), data.markets(), TODAY, traded=daily.traded_pairs(data.closes()))
 
 
 @query
@@ -225,23 +226,21 @@ def assets_daily_compat(data: Inputs) -> DataFrame:
 
 @query
 def markets_24h(data: Inputs) -> DataFrame:
-    return rolling.markets_24h(data.trades(), data.markets(), data.assets(), AS_OF)
+    """From sums per minute and last trades per day, as the refresh job does it."""
+    return rolling.markets_24h(data.panes(), data.markets(), data.assets(), AS_OF, closes=data.closes())
 
 
 @query
 def markets_24h_from_closes(data: Inputs) -> DataFrame:
-    """The same with older prices taken from the last trades per day."""
-    trades = data.trades()
-    closes = rolling.market_closes(trades)
-    return rolling.markets_24h(trades, data.markets(), data.assets(), AS_OF, closes=closes)
+    """The same from the trades of three days, older prices taken from the last trades per day."""
+    return rolling.markets_24h(data.trades(), data.markets(), data.assets(), AS_OF, closes=data.closes())
 
 
 @query
 def markets_24h_from_panes(data: Inputs) -> DataFrame:
-    """The same from sums per minute, as the refresh job does it."""
-    minutes = panes(data.trades())
-    closes = rolling.market_closes(minutes)
-    return rolling.markets_24h(minutes, data.markets(), data.assets(), AS_OF, closes=closes)
+    """The same with windows made first, as the dashboards of one refresh share them."""
+    windows = rolling.market_windows(data.panes(), AS_OF)
+    return rolling.markets_24h(data.panes(), data.markets(), data.assets(), AS_OF, closes=data.closes(), windows=windows)
 
 
 @query
