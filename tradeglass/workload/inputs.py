@@ -31,10 +31,13 @@ TODAY = date(2024, 1, 30)
 CONFIG = ExchangeConfig(native_asset="A00", blocked_assets=("456",), stable_assets=("USDT",))
 
 _landed: dict[tuple[str, str, str], str] = {}
+# Names of the tables that are written once per session.
+STORED: list[str] = []
 
 
 def stored(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """A table the jobs keep: written once per session, then read back."""
+    STORED.append(build.__name__)
 
     @wraps(build)
     def read(self: Inputs) -> DataFrame:
