@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeglass.operators import pricing
-from tradeglass.operators.lastknown import choose_slice, last_known
+from tradeglass.operators.lastknown import choose_slices, last_known
 
 START = datetime(2024, 1, 1)
 
@@ -57,13 +57,13 @@ CYCLIC = [("A", "USD"), ("A", "B"), ("B", "A"), ("B", "C"), ("C", "A"), ("D", "B
 @pytest.mark.parametrize("unit", ["auto", "day", "hour", "minute", "second"])
 def test_layered(trades, config, unit):
     rows = random_trades(LAYERED, 300, seed=1)
-    compare(pricing.price_trades(trades(rows), config, slice_unit=unit), one_by_one(rows, {"USD"}))
+    compare(pricing.price_trades(trades(rows), config, slices=unit), one_by_one(rows, {"USD"}))
 
 
 @pytest.mark.parametrize("unit,seed", [("auto", 2), ("day", 3), ("hour", 4)])
 def test_cycles(trades, config, unit, seed):
     rows = random_trades(CYCLIC, 250, seed=seed)
-    compare(pricing.price_trades(trades(rows), config, slice_unit=unit), one_by_one(rows, {"USD"}))
+    compare(pricing.price_trades(trades(rows), config, slices=unit), one_by_one(rows, {"USD"}))
 
 
 def test_long_chain_of_one_cycle(trades, config):
@@ -97,7 +97,20 @@ def test_hot_quote_splits(trades, config):
     rows = random_trades([("A", "USD"), ("B", "A")], 300, seed=7, step=60)
     split = replace(config, rows_per_slice=60)
     hot = trades(rows)
-    assert choose_slice(hot, ["base_asset_id"], "timestamp", 60) == "hour"
+    units = {r.base_asset_id: r._unit for r in choose_slices(hot, ["base_asset_id"], "timestamp", "trade_id", 60).units.collect()}
+    assert set(units.values()) <= {"hour", "minute"} and "A" in units
+    compare(pricing.price_trades(hot, split), one_by_one(rows, {"USD"}))
+
+
+def test_all_rows_in_one_second(trades, config):
+    """A busy key is cut by id where a second is too full; the other keys stay whole."""
+    rows = random_trades([("A", "USD"), ("B", "A"), ("C", "USD"), ("D", "C")], 400, seed=9)
+    rows = [(*r[:-1], START) if r[0] % 9 else r for r in rows if r[1] in "AB" or r[0] % 20 == 0]
+    split = replace(config, rows_per_slice=20)
+    hot = trades(rows)
+    slices = choose_slices(hot, ["base_asset_id"], "timestamp", "trade_id", 20)
+    assert {r.base_asset_id for r in slices.units.collect()} == {"A", "B"}
+    assert all(r._unit == "second" for r in slices.units.collect()) and slices.cuts.count() == 2
     compare(pricing.price_trades(hot, split), one_by_one(rows, {"USD"}))
 
 
@@ -149,7 +162,7 @@ def test_last_known(spark, unit, inclusive):
         for i in range(300)
     ]
     frame = spark.createDataFrame(rows, "k string, at timestamp, id bigint, v int")
-    got = {r.id: r.w for r in last_known(frame, ["k"], ["at", "id"], "v", "w", slice_unit=unit, inclusive=inclusive).collect()}
+    got = {r.id: r.w for r in last_known(frame, ["k"], ["at", "id"], "v", "w", slices=unit, inclusive=inclusive).collect()}
     state, expected = {}, {}
     for key, _, row_id, value in sorted(rows, key=lambda r: (r[1], r[2])):
         if not inclusive:

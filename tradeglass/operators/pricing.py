@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeglass.config import ExchangeConfig
-from tradeglass.operators.lastknown import choose_slice, last_known, slice_within
+from tradeglass.operators.lastknown import Slices, choose_slices, last_known
 from tradeglass.schemas import PRICE, VOLUME
 from tradeglass.session import cut_lineage
 
@@ -75,7 +75,7 @@ def _seed_ticks(seeds: DataFrame) -> DataFrame:
     )
 
 
-def _as_of_quote(probes: DataFrame, ticks: DataFrame, value: str, into: str, unit: str | None) -> DataFrame:
+def _as_of_quote(probes: DataFrame, ticks: DataFrame, value: str, into: str, slices: Slices | str | None) -> DataFrame:
     """Add the last ``value`` among earlier ticks of each probe's quote asset.
 
     Probes and ticks go through one shuffle together; of a probe and a tick at the same place (a market
@@ -84,7 +84,7 @@ def _as_of_quote(probes: DataFrame, ticks: DataFrame, value: str, into: str, uni
     rows = probes.withColumns({"asset": F.col("quote_asset_id"), "_tick": F.lit(0)}).unionByName(
         ticks.withColumn("_tick", F.lit(1)), allowMissingColumns=True
     )
-    found = last_known(rows, ["asset"], [*ORDER, "_tick"], value, into, slice_unit=unit)
+    found = last_known(rows, ["asset"], [*ORDER, "_tick"], value, into, slices=slices)
     return found.filter(F.col("_tick") == 0).drop("asset", "_tick", value)
 
 
@@ -93,11 +93,11 @@ def price_trades(
     config: ExchangeConfig,
     *,
     seeds: DataFrame | None = None,
-    slice_unit: str | None = "auto",
+    slices: Slices | str | None = "auto",
 ) -> DataFrame:
     """Add ``volume`` (USD) and ``usd_price`` (price of the base asset this trade set, null if none).
 
-    ``seeds`` are previous prices (asset_id, usd_price).  ``slice_unit`` overrides the choice of time slice.
+    ``seeds`` are previous prices (asset_id, usd_price).  ``slices`` overrides the choice of time slices.
     """
     stable = config.stable_assets
     trades = trades.drop("volume", "usd_price")
@@ -110,10 +110,10 @@ def price_trades(
     quotes, inner, load = _quote_graph(trades, stable)
     if not quotes:
         return direct
-    if slice_unit == "auto":
-        slice_unit = _slice_for(trades, config, quotes) if load > config.rows_per_slice else None
-    ticks = _quote_ticks(direct, rest, inner, quotes, stable, seeds, slice_unit)
-    priced = _as_of_quote(rest, ticks, "usd_price", "_quote_usd", slice_unit)
+    if slices == "auto":
+        slices = _slices_for(trades, config, quotes) if load > config.rows_per_slice else None
+    ticks = _quote_ticks(direct, rest, inner, quotes, stable, seeds, slices)
+    priced = _as_of_quote(rest, ticks, "usd_price", "_quote_usd", slices)
     quote_usd = F.col("_quote_usd")
     priced = priced.withColumns(
         {
@@ -131,7 +131,7 @@ def _quote_ticks(
     quotes: set[str],
     stable: tuple[str, ...],
     seeds: DataFrame | None,
-    slice_unit: str | None,
+    slices: Slices | str | None,
 ) -> DataFrame:
     """All prices of the assets used as quotes, seeds included."""
     base = F.col("base_asset_id").alias("asset")
@@ -145,7 +145,7 @@ def _quote_ticks(
         assets = sorted({q for _, q in inner if level.get(q) == step})
         probes = needed.filter(F.col("quote_asset_id").isin(*assets))
         history = _union(settled).filter(F.col("asset").isin(*assets))
-        found = _as_of_quote(probes, history, "usd_price", "_quote_usd", slice_unit)
+        found = _as_of_quote(probes, history, "usd_price", "_quote_usd", slices)
         made = found.filter(F.col("_quote_usd").isNotNull()).select(
             base, *ORDER, (F.col("own") * F.col("_quote_usd")).alias("usd_price")
         )
@@ -154,7 +154,7 @@ def _quote_ticks(
         members = sorted({q for _, q in inner if q in looped})
         probes = needed.filter(F.col("quote_asset_id").isin(*members))
         history = _union(settled).filter(F.col("asset").isin(*members))
-        settled.append(_chained_ticks(probes, history, slice_unit))
+        settled.append(_chained_ticks(probes, history, slices))
     return _union(settled)
 
 
@@ -162,10 +162,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _slice_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str]) -> str:
-    """Time slice in which the busiest quote asset, counting its trades on both sides, fits."""
-    legs = trades.select(F.explode(F.array("base_asset_id", "quote_asset_id")).alias("asset"), "timestamp")
-    return slice_within(legs.filter(F.col("asset").isin(*quotes)), ["asset"], "timestamp", config.rows_per_slice)
+def _slices_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str]) -> Slices | None:
+    """Slices in which each busy quote asset, counting its trades on both sides, fits."""
+    legs = trades.select(F.explode(F.array("base_asset_id", "quote_asset_id")).alias("asset"), *ORDER)
+    return choose_slices(legs.filter(F.col("asset").isin(*quotes)), ["asset"], *ORDER, config.rows_per_slice)
 
 
 # --- assets that cannot be levelled ---------------------------------------------------------------
@@ -192,7 +192,7 @@ def _known_from(chained: DataFrame, base_ticks: DataFrame) -> DataFrame:
         known = closer
 
 
-def _chained_ticks(chained: DataFrame, base_ticks: DataFrame, unit: str | None) -> DataFrame:
+def _chained_ticks(chained: DataFrame, base_ticks: DataFrame, slices: Slices | str | None) -> DataFrame:
     """Ticks made by trades (base, quote, place, own price) whose quote prices depend on each other.
 
     Each trade points at the tick that set its quote price.  Pointers are doubled: a trade multiplies in
@@ -209,7 +209,7 @@ def _chained_ticks(chained: DataFrame, base_ticks: DataFrame, unit: str | None)
     # A tick is either a known price or (no price yet) a reference to the trade that makes it.
     unpriced = reached.select(F.col("base_asset_id").alias("asset"), *ORDER, F.lit(None).cast("double").alias("usd_price"))
     ticks = base_ticks.unionByName(unpriced).withColumn("target", F.struct("trade_id", "usd_price"))
-    linked = _as_of_quote(reached, ticks.drop("usd_price"), "target", "_at", unit)
+    linked = _as_of_quote(reached, ticks.drop("usd_price"), "target", "_at", slices)
     # The quote price is gathered * (price made by trade `via`), or just gathered once `via` is null.
     nodes = cut_lineage(
         linked.select(
@@ -265,24 +265,24 @@ def asset_last_price(priced: DataFrame, seeds: DataFrame | None = None) -> DataF
     return new.unionByName(kept)
 
 
-def price_changes(trades: DataFrame, config: ExchangeConfig, *, slice_unit: str | None = "auto") -> DataFrame:
+def price_changes(trades: DataFrame, config: ExchangeConfig, *, slices: Slices | str | None = "auto") -> DataFrame:
     """Trades that changed the price of their market (the first one included)."""
     keys = ["base_asset_id", "quote_asset_id"]
     rows = trades.select("trade_id", *keys, "timestamp", "price")
-    if slice_unit == "auto":
-        slice_unit = choose_slice(rows, keys, "timestamp", config.rows_per_slice)
-    seen = last_known(rows, keys, ORDER, "price", "previous_price", slice_unit=slice_unit, inclusive=False)
+    if slices == "auto":
+        slices = choose_slices(rows, keys, *ORDER, config.rows_per_slice)
+    seen = last_known(rows, keys, ORDER, "price", "previous_price", slices=slices, inclusive=False)
     return seen.filter(~F.col("price").eqNullSafe(F.col("previous_price")))
 
 
 def price_carry_forward(
-    refreshes: DataFrame, config: ExchangeConfig, *, slice_unit: str | None = "auto"
+    refreshes: DataFrame, config: ExchangeConfig, *, slices: Slices | str | None = "auto"
 ) -> DataFrame:
     """Price in force at each refresh (asset_id, timestamp, trade_id, price): a refresh without a price
     keeps the last one."""
-    if slice_unit == "auto":
-        slice_unit = choose_slice(refreshes, ["asset_id"], "timestamp", config.rows_per_slice)
-    return last_known(refreshes, ["asset_id"], ORDER, "price", "carried_price", slice_unit=slice_unit)
+    if slices == "auto":
+        slices = choose_slices(refreshes, ["asset_id"], *ORDER, config.rows_per_slice)
+    return last_known(refreshes, ["asset_id"], ORDER, "price", "carried_price", slices=slices)
 
 
 def keep_prices(listed: DataFrame, previous: DataFrame) -> DataFrame:
