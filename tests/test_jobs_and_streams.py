@@ -238,6 +238,29 @@ def test_a_held_version_stays_readable(spark, tmp_path):
     assert len(store._versions("metadata")) == 2
 
 
+def test_a_driver_lost_in_an_exchange_loses_no_trade(spark, jobs, trades, monkeypatch):
+    ingest(jobs, trades)
+    store, before = jobs.store, rows(jobs.store.read("trades"))
+    day = AS_OF.date()
+
+    def lost(table, name):
+        store.drop_partitions("trades", lambda found: found == day)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(store, "_end_exchange", lost)
+    with pytest.raises(RuntimeError):
+        store.compact_trades(day)
+    monkeypatch.undo()
+    assert rows(store.read("trades")) != before
+    Jobs(store, jobs.config)
+    assert rows(store.read("trades")) == before and not store._children("_pending", "trades")
+    # Rows that were not written aside completely: the old day still stands.
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{store.root}/_pending/trades/half")
+    store._files().delete(store._path("_pending", "trades", "half", "_SUCCESS"), False)
+    store.recover("trades")
+    assert rows(store.read("trades")) == before
+
+
 def test_every_landed_transfer_is_stored(spark, jobs):
     jobs.refresh(AS_OF, landed(spark))
     page = (0, ([(i, "N", "0.5", 3 + i // 9, i % 9) for i in range(250)],))

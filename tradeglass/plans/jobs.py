@@ -66,6 +66,7 @@ class Jobs:
         # Held by whatever writes trades and what is kept along with them: a batch of a stream, repricing,
         # backfill, compaction and retention.
         self.writing_trades = RLock()
+        store.recover("trades")
 
     def _update(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
         """Read a small table, change it, write it; one at a time per table, as the stream and the jobs of

@@ -7,6 +7,7 @@ its ``_SUCCESS`` marker exists, so a failed write leaves the previous one in for
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
@@ -145,6 +146,28 @@ class Store:
         )
         return seen.get["n"]
 
+    def exchange(self, table: str, rows: DataFrame) -> None:
+        """Exchange the partitions that ``rows`` touch, where they are made of what those partitions hold.  The
+        rows are written aside first, so a driver that is lost while the old partition goes and the new one
+        comes loses nothing: ``recover`` ends the exchange."""
+        name = uuid.uuid4().hex
+        self._laid_out(table, rows).write.parquet(f"{self.root}/_pending/{table}/{name}")
+        self._end_exchange(table, name)
+
+    def _end_exchange(self, table: str, name: str) -> None:
+        schema = self.read(table).schema
+        self.overwrite_partitions(table, self.spark.read.schema(schema).parquet(f"{self.root}/_pending/{table}/{name}"))
+        self._files().delete(self._path("_pending", table, name), True)
+
+    def recover(self, table: str) -> None:
+        """End the exchanges that a lost driver left; rows that were not written aside completely are dropped,
+        as nothing was exchanged for them yet."""
+        for name in self._children("_pending", table):
+            if self._files().exists(self._path("_pending", table, name, "_SUCCESS")):
+                self._end_exchange(table, name)
+            else:
+                self._files().delete(self._path("_pending", table, name), True)
+
     def _laid_out(self, table: str, rows: DataFrame) -> DataFrame:
         column = self._partition_column(table)
         balanced = rows.hint("rebalance", column)
@@ -226,14 +249,14 @@ class Store:
             replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
             merged = cut_lineage(merge_rows(current, replaced, ["trade_id"], {}))
             left = {row.trade_date for row in merged.select("trade_date").distinct().collect()}
-            self.overwrite_partitions("trades", merged)
+            self.exchange("trades", merged)
             self.drop_partitions("trades", lambda day: day in days - left)
         return days
 
     def compact_trades(self, day: date) -> None:
         """Write the files of a finished day anew: few, large, ordered by id."""
         rows = self.read("trades").filter(F.col("trade_date") == F.lit(day))
-        self.overwrite_partitions("trades", rows)
+        self.exchange("trades", rows)
 
     # --- retention --------------------------------------------------------------------------------
 
@@ -244,7 +267,11 @@ class Store:
         midnight = at(datetime(cut.year, cut.month, cut.day))
         cut_day = self.read("trades").filter(F.col("trade_date") == F.lit(cut))
         if not cut_day.filter(F.col("timestamp") <= midnight).isEmpty():
-            self.replace_partition("trades", cut_day.filter(F.col("timestamp") > midnight), cut)
+            kept = cut_day.filter(F.col("timestamp") > midnight)
+            if kept.isEmpty():
+                self.drop_partitions("trades", lambda day: day == cut)
+            else:
+                self.exchange("trades", kept)
 
     def clean_hourly(self, as_of: datetime, days: int) -> None:
         cut = as_of - timedelta(days=days)
