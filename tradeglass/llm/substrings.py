@@ -38,6 +38,8 @@ WINDOW = 50
 GRAM = 16
 # Documents that one subtree is built of at most.
 GROUP = 1_000
+# Parts that the rows of one window are spread over.
+SALTS = 16
 # Suffixes that are sorted at a time; a block holds whole groups.
 _BLOCK = 60_000
 # Arrays of one number: their products wrap around.
@@ -252,9 +254,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = texts.join(picks, same)
     light = _in_subtrees(_stretches(picked.filter(F.size("few") > 0).select("doc_id", "key", "text", "few")))
     paths = _paths(picked.filter(F.size("many") > 0).select("doc_id", "key", "text", "many"))
-    smallest = paths.groupBy("high", "low").agg(F.min("doc_id").alias("smallest"))
+    # A passage may be in a third of all documents: its rows are spread by a hash of the id.
+    smallest = (
+        paths.groupBy("high", "low")
+        .agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest"))
+        .filter("smallest < largest")
+        .select("high", "low", "smallest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    )
+    salted = paths.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     heavy = (
-        paths.join(smallest, ["high", "low"])
+        salted.join(smallest, ["high", "low", "salt"])
         .filter("doc_id > smallest")
         .select("doc_id", "key", F.col("first").alias("a"), (F.col("first") + WINDOW).alias("b"))
     )
