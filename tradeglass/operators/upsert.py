@@ -40,11 +40,14 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 def unique_trades(trades: DataFrame) -> DataFrame:
     """One row per trade id, the last by timestamp.  Repeated ids are rare, so they are looked for in the
-    id column alone; only if there are any, whole rows are shuffled."""
-    repeated = trades.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    id column alone; whole rows are gathered only for those."""
+    repeated = trades.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = repeated.filter(F.col("n") > 1).select("trade_id")
     if repeated.isEmpty():
         return trades
-    return last_per_key(trades, ["trade_id"], ["timestamp", "price", "quantity"])
+    copies = trades.join(repeated, "trade_id", "left_semi")
+    last = last_per_key(copies, ["trade_id"], ["timestamp", "price", "quantity"])
+    return trades.join(repeated, "trade_id", "left_anti").select(*trades.columns).unionByName(last)
 
 
 def merge_rows(

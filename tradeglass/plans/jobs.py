@@ -286,7 +286,9 @@ class Jobs:
     def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:
         """Load a whole history of admitted trades into empty tables: priced in one go and written once."""
         with self.writing_trades, releasing(self.spark):
-            self._load(pricing.price_trades(upsert.unique_trades(trades), self.config, seeds=seeds))
+            # Pricing reads its input several times: the texts are parsed once.
+            staged = cut_lineage(trades)
+            self._load(pricing.price_trades(upsert.unique_trades(staged), self.config, seeds=seeds))
 
     def _load(self, priced: DataFrame) -> None:
         dated = priced.withColumn("trade_date", F.to_date("timestamp"))

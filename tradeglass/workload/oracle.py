@@ -504,6 +504,8 @@ SQL: dict[str, str] = {
         HAVING window_end <= (SELECT max(timestamp) FROM priced) - INTERVAL 1 HOUR""",
 }
 SQL["markets_24h_from_panes"] = _MARKETS_24H
+SQL["merge_trades"] = SQL["upsert_trades"]
+SQL["stream_repriced_trades"] = SQL["stream_priced_trades"]
 SQL["markets_daily_from_panes"] = SQL["markets_daily"]
 SQL["orderbook_job"] = f"""
         SELECT *, {AS_OF} + INTERVAL 2 MINUTE AS last_update FROM ({SQL['orderbook_apply']})"""

@@ -16,6 +16,7 @@ from tradeglass.operators.activity import PAIR
 from tradeglass.plans.jobs import Jobs
 from tradeglass.plans.store import Store
 from tradeglass.schemas import PRICE, VOLUME, conform, schema_of
+from tradeglass.session import cut_lineage
 from tradeglass.sources import chain, listings, orderbook
 from tradeglass.sources.trades import parse_events, stream_events
 from tradeglass.streaming import windows
@@ -398,6 +399,25 @@ def upsert_trades(data: Inputs) -> DataFrame:
     return upsert.upsert_trades(target, first.unionByName(second))
 
 
+@query
+def merge_trades(data: Inputs) -> DataFrame:
+    """The same merge as the ingest job does it: new ids are appended, days of changed trades rewritten."""
+    trades = data.trades().drop("trade_date")
+    kinds = data.trade_source().select("trade_id", "event_type")
+    tagged = cut_lineage(trades.join(kinds, "trade_id"))
+    second = tagged.filter(F.col("event_type").isin("purchase", "signup")).withColumns(
+        {
+            "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 SECOND"),
+            "quantity": (F.col("quantity") + 1).cast(PRICE),
+            "volume": F.lit(None).cast(VOLUME),
+        }
+    )
+    store = Store(data.spark, data.scratch("merged"))
+    store.merge_trades(tagged.filter(F.col("event_type") != "signup").drop("event_type"))
+    store.merge_trades(second.drop("event_type"))
+    return store.read("trades").select(*TRADE_COLUMNS)
+
+
 @query
 def upsert_assets_nullsafe(data: Inputs) -> DataFrame:
     """Parts as stored assets, merged with figures of their line items (some of them null)."""
@@ -499,6 +519,27 @@ def stream_priced_trades(data: Inputs) -> DataFrame:
     return jobs.store.read("trades").select(*TRADE_COLUMNS)
 
 
+@query
+def stream_repriced_trades(data: Inputs) -> DataFrame:
+    """Event texts of which one part comes late: after it the trades are priced again, and the last part starts
+    from the prices that left."""
+    root = data.scratch("repriced")
+    jobs = Jobs(Store(data.spark, f"{root}/tables"), CONFIG)
+    jobs.store.replace("assets", conform(_unpriced(data.assets()), "assets"))
+    listed = data.markets().withColumns({"is_active": F.lit(True), "price": F.lit(None)})
+    jobs.store.replace("markets", conform(listed, "markets"))
+    texts, moment = data.event_texts(), F.col("timestamp")
+    late = moment.between(at(datetime(2024, 1, 11)), at(datetime(2024, 1, 13, 23, 59, 59)))
+    last = moment >= at(datetime(2024, 1, 21))
+    stream = TradeStream(jobs)
+    for part in (~late & ~last, late, last):
+        texts.filter(part).select("value").write.mode("append").text(f"{root}/events")
+        stream.start(stream_events(data.spark, f"{root}/events"), f"{root}/checkpoint").awaitTermination()
+        if part is late:
+            jobs.reprice_from(date(2024, 1, 11))
+    return jobs.store.read("trades").select(*TRADE_COLUMNS)
+
+
 def _unpriced(assets: DataFrame) -> DataFrame:
     figures = [f.name for f in schema_of("assets") if f.name not in assets.columns]
     return assets.withColumns({name: F.lit(None) for name in figures})
