@@ -65,14 +65,41 @@ def _ids(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2")
 
 
+def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (token, document) pairs in order, and how often each occurs."""
+    if not docs:
+        return (np.zeros(0, np.int64),) * 3
+    token, owner = np.concatenate(docs), np.repeat(np.arange(len(docs)), [len(ids) for ids in docs])
+    # Stable sorting of 16-bit numbers goes by digits, and keeps the documents in order.
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    first = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))))
+    return token[first].astype(np.int64), owner[first], np.diff(np.append(first, len(token)))
+
+
+def _heaviest(docs: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """Per document the term that weighs most, the smaller id of equals."""
+    token, owner, n = _distinct(docs)
+    order = np.argsort(owner, kind="stable")
+    token, owner, n = token[order], owner[order], n[order]
+    weight = _weight(token, n, idf)
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    best = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, starts), np.diff(np.append(starts, len(owner)))))
+    return token[best[np.unique(owner[best], return_index=True)[1]]]
+
+
+def _weight(token: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return idf[token] * n / (n + _K1)
+
+
 def document_counts(tokens: DataFrame) -> np.ndarray:
     """Per token, how many documents of the corpus have it; at most 65,536 counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_VOCABULARY, np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                counts[np.unique(_ids(data))] += 1
+            token, _, _ = _distinct([_ids(data) for data in batch.column(0).to_pylist()])
+            counts += np.bincount(token, minlength=_VOCABULARY)
         token = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(token), pa.array(counts[token])], names=["token", "n"])
 
@@ -90,7 +117,7 @@ def inverse_frequency(counts: np.ndarray, documents: int) -> np.ndarray:
 def _terms(ids: np.ndarray, idf: np.ndarray, most: int) -> np.ndarray:
     """The distinct ids that weigh most in a document, by frequency and rarity, ties by the smaller id."""
     token, n = np.unique(ids, return_counts=True)
-    weight = idf[token] * n / (n + _K1)
+    weight = _weight(token, n, idf)
     return token[np.argsort(-weight, kind="stable")[:most]]
 
 
@@ -99,11 +126,7 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         sizes = np.array([len(ids) for ids in docs], dtype=np.int64)
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        keys = np.sort(np.concatenate(docs).astype(np.int64) * len(docs) + owner) if len(docs) else np.zeros(0, np.int64)
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        n = np.diff(np.append(first, len(keys)))
-        term, self.doc = np.divmod(keys[first], max(len(docs), 1))
+        term, self.doc, n = _distinct(docs)
         length = _K1 * (1 - _B + _B * sizes[self.doc] / mean)
         self.weight = (idf[term] * n * (_K1 + 1) / (n + length)).astype(np.float32)
         self.start = np.searchsorted(term, np.arange(_VOCABULARY + 1))
@@ -224,7 +247,8 @@ def pack(
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = [int(_terms(_ids(data), shared.value, 1)[0]) for data in batch.column(1).to_pylist()]
+            docs_ = [_ids(data) for data in batch.column(1).to_pylist()]
+            terms = _heaviest(docs_, shared.value) if docs_ else np.zeros(0, np.int64)
             yield pa.record_batch([*batch.columns, pa.array(terms, pa.int64())], names=["doc_id", "ids", "term"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ CACHED = 1 << 19
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # White space for Python only: the tokenizer does not cut there.
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 _PAIR = struct.Struct("<H").pack
 
 
@@ -67,7 +67,7 @@ class WordBPE:
         self._parts = _Made(self._part)
 
     def encode(self, text: str) -> bytes:
-        if _CONTROL.search(text):
+        if any(c in text for c in _CONTROL):
             return self._whole(text)
         return b"".join(map(self._words.__getitem__, text.split()))
 
