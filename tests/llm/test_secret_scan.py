@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -105,3 +106,47 @@ def test_query_and_empty_table(llm, documents):
     rows = [(r.doc_id, r.text) for r in small(llm, "documents").collect()]
     assert sorted(str(tuple(r)) for r in QUERIES["op5_secrets"](llm, "/root/testdata/sf0.001").collect()) == expected(rows)
     assert secrets(documents([])).count() == 0 and redacted(documents([])).count() == 0
+
+
+NOISE = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz ", k=400))
+
+
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        b64(gzip.compress(gzip.compress(KEY.encode()))),
+        b64(gzip.compress(zlib.compress(bz2.compress(KEY.encode())))),
+        b64(gzip.compress(b"first ") + gzip.compress(KEY.encode())),
+        b64(bz2.compress(b"first ") + bz2.compress(KEY.encode())),
+        b64(lzma.compress(b"first ") + lzma.compress(KEY.encode())),
+        b64(zstandard.compress(b"first ") + zstandard.compress(KEY.encode())),
+        b64(gzip.compress(b"first ") + KEY.encode()),
+        b64(gzip.compress(b"\xff " + KEY.encode())),
+        base64.encodebytes(gzip.compress((NOISE + KEY).encode())).decode().rstrip(),
+        base64.encodebytes((NOISE[:50] + KEY + NOISE).encode()).decode().rstrip(),
+        base64.encodebytes((NOISE[:50] + KEY + NOISE).encode()).decode().rstrip().replace("\n", "\r\n  "),
+        base64.encodebytes((NOISE[:50] + KEY + NOISE[:44]).encode()).decode() + "Regards",
+        b64("a\u00a0soft\u00ad key \x0b" + KEY),
+        "%ff" + "".join(f"%{b:02X}" for b in KEY.encode()) + "%fe",
+    ],
+)
+def test_layers_to_the_end(wrapped):
+    text = f"\u00fcber {wrapped}. ende"
+    base, spans = find(text)
+    assert not [s for s in base if s[0] == "access"]
+    kind, a, b = next(s for s in spans if s[0] == "access")
+    assert 5 <= a < b <= 5 + len(wrapped)
+    assert not [s for s in find(redact(text, spans))[1] if s[0] == "access"]
+
+
+def test_span_in_wrapped_base64():
+    plain_text = NOISE[:50] + " " + KEY + " " + NOISE
+    wrapped = base64.encodebytes(plain_text.encode()).decode()
+    (a, b), = [s[1:] for s in find(wrapped)[1] if s[0] == "access"]
+    at = [i for i, c in enumerate(wrapped) if c != "\n"]
+    assert (a, b) == (at[51 * 4 // 3], at[-(-71 * 4 // 3) - 1] + 1)
+
+
+def test_long_words_and_many_members_take_no_long_time():
+    assert find("x" * 1_000_000 + "\n" + "y" * 1_000_000)[1] == []
+    assert find(b64(gzip.compress(b"") * 2_000 + gzip.compress(KEY.encode())))[1]

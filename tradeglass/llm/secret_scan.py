@@ -2,7 +2,8 @@
 
 The text itself is the first layer.  A worklist unwraps layers until no new one appears: runs of URL escapes,
 Unicode escapes, and base64 words whose bytes are text or compressed text are replaced by what they stand
-for, and the new layer is scanned and unwrapped in turn.  Layers seen before are not taken again, so cycles
+for, and the new layer is scanned and unwrapped in turn.  Base64 that is wrapped over lines is also taken as one
+word; what is compressed several times, or in several members, is unpacked to the end.  Layers seen before are not taken again, so cycles
 end.  Every character of a layer knows the span of the document that it came from; a secret found in
 any layer is reported with its span in the document.
 
@@ -10,7 +11,7 @@ Kinds, each leftmost and without overlap: ``assign`` (a word like password, then
 characters or more; the span is the whole match), ``access`` (AKIA..., 16 characters or more), ``hex`` (32
 characters or more).  Spans are counted in code points, the end is exclusive.
 
-Cases: a null text counts as empty.  A run of escapes that is no valid text stays as it is, and so does a
+Cases: a null text counts as empty.  Bytes of a run of escapes that are no valid text stay as they are, and so does a
 compressed layer of more than ``max_layer`` characters: that keeps a decompression bomb out of memory.
 Rows that repeat an id are scanned each.  Only id and text are read; an empty table gives an empty result.
 """
@@ -54,6 +55,14 @@ _UNICODE = re.compile(
 # Shorter base64 words cannot hold a secret.
 _LEAST_WORD = 16
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Base64 lines that only line ends and indentation part.
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++(?!={0,2}[ \t]*+\w))+", re.ASCII
+)
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_VALID = re.compile("[^\udc80-\udcff]+")
+# Bytes that a decompressor is given at a time.
+_PIECE = 1 << 16
 
 Span = tuple[str, int, int]
 # A part of a layer that stands for other text: start, end, that text, and for each of its characters the
@@ -94,7 +103,12 @@ def find(text: str, max_layer: int = MAX_LAYER) -> tuple[list[Span], list[Span]]
     work: list[tuple[str, np.ndarray | None, np.ndarray | None]] = [(text, None, None)]
     while work:
         layer, starts, ends = work.pop()
-        for edits in (_url_edits(layer), _unicode_edits(layer), _base64_edits(layer, max_layer)):
+        for edits in (
+            _url_edits(layer),
+            _unicode_edits(layer),
+            _base64_edits(layer, max_layer),
+            *_wrapped_edits(layer, max_layer),
+        ):
             if not edits:
                 continue
             inner, inner_starts, inner_ends = _apply(layer, edits, starts, ends)
@@ -132,7 +146,7 @@ def _apply(
 
 def _bytes_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Per character of a decoded text, its first byte and the byte after its last."""
-    sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+    sizes = np.fromiter((len(c.encode(errors="surrogateescape")) for c in text), np.int64, len(text))
     ends = np.cumsum(sizes)
     return ends - sizes, ends
 
@@ -142,12 +156,12 @@ def _url_edits(layer: str) -> list[Edit]:
     if "%" not in layer:
         return edits
     for m in _URL.finditer(layer):
-        try:
-            text = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
+        text = bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
         first, last = _bytes_of(text)
-        edits.append((m.start(), m.end(), text, m.start() + 3 * first, m.start() + 3 * last))
+        first, last = m.start() + 3 * first, m.start() + 3 * last
+        for valid in _VALID.finditer(text):
+            a, b = valid.span()
+            edits.append((int(first[a]), int(last[b - 1]), valid[0], first[a:b], last[a:b]))
     return edits
 
 
@@ -170,57 +184,137 @@ def _base64_edits(layer: str, max_layer: int) -> list[Edit]:
     edits: list[Edit] = []
     for at, word in _long_words(layer):
         for m in _BASE64.finditer(word):
-            body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-            if len(body) % 4 == 1:
-                continue
-            try:
-                data = base64.b64decode(body + "=" * (-len(body) % 4))
-            except binascii.Error:
-                continue
             a, b = at + m.start(), at + m.end()
-            packed = _decompress(data, max_layer)
-            text = _text(data if packed is None else packed)
-            if not text:
-                continue
-            if packed is None:
-                first, last = _bytes_of(text)
-                # Three bytes are four characters.
-                edits.append((a, b, text, a + first * 4 // 3, np.minimum(a + (last * 4 + 2) // 3, b)))
-            else:
-                edits.append((a, b, text, np.full(len(text), a), np.full(len(text), b)))
+            edit = _decoded(m[0].rstrip("="), np.arange(a, b), b, max_layer)
+            if edit:
+                edits.append(edit)
     return edits
 
 
+def _wrapped_edits(layer: str, max_layer: int) -> list[list[Edit]]:
+    """Base64 over several lines: all lines of a run, and those of one width, with and without a shorter last one."""
+    ways: list[list[Edit]] = [[], [], []]
+    if "\n" not in layer:
+        return ways
+    for m in _WRAPPED.finditer(layer):
+        lines = [line.span() for line in _BASE64_LINE.finditer(layer, *m.span())]
+        blocks = [(0, lines)]
+        start = 0
+        for n in range(1, len(lines) + 1):
+            width = lines[start][1] - lines[start][0]
+            if n < len(lines) and lines[n][1] - lines[n][0] == width:
+                continue
+            if n < len(lines) and lines[n][1] - lines[n][0] < width:
+                blocks.append((1, lines[start : n + 1]))
+            if n - start > 1:
+                blocks.append((2, lines[start:n]))
+            start = n
+        for way, own in blocks:
+            edit = _decoded(
+                "".join(layer[a:b] for a, b in own), np.concatenate([np.arange(a, b) for a, b in own]), own[-1][1], max_layer
+            )
+            # A shorter line may end one block and begin another.
+            if edit and (not ways[way] or ways[way][-1][1] <= edit[0]):
+                ways[way].append(edit)
+    return ways
+
+
+def _decoded(word: str, places: np.ndarray, end: int, max_layer: int) -> Edit | None:
+    """What a base64 word without padding stands for; its characters are at these places of the layer."""
+    body = word.replace("-", "+").replace("_", "/")
+    if len(body) % 4 == 1:
+        return None
+    try:
+        data = base64.b64decode(body + "=" * (-len(body) % 4))
+    except binascii.Error:
+        return None
+    start = int(places[0])
+    packed = _unpacked(data, max_layer)
+    if packed is not None:
+        # What unpacks is no chance: bytes that are no text do not hide the others.
+        text = packed.decode(errors="replace")
+        return (start, end, text, np.full(len(text), start), np.full(len(text), end)) if text else None
+    text = _text(data)
+    if not text:
+        return None
+    first, last = _bytes_of(text)
+    # Three bytes are four characters.
+    return start, end, text, places[first * 4 // 3], places[(last * 4 + 2) // 3 - 1] + 1
+
+
 def _text(data: bytes) -> str | None:
-    """The bytes as text, if they are plain text."""
+    """The bytes as text, if they are valid UTF-8."""
     try:
-        text = data.decode()
+        return data.decode()
     except UnicodeDecodeError:
         return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
 # By the first bytes of what is compressed.
-_INFLATERS: tuple[tuple[tuple[bytes, ...], Callable[[bytes, int], bytes]], ...] = (
-    ((b"\x1f\x8b",), lambda data, most: zlib.decompressobj(31).decompress(data, most)),
-    ((b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"), lambda data, most: zlib.decompressobj().decompress(data, most)),
-    ((b"BZh",), lambda data, most: bz2.BZ2Decompressor().decompress(data, most)),
-    ((b"\xfd7zXZ",), lambda data, most: lzma.LZMADecompressor().decompress(data, most)),
-    ((b"\x28\xb5\x2f\xfd",), lambda data, most: zstandard.ZstdDecompressor().stream_reader(data).read(most)),
+_INFLATERS: tuple[tuple[tuple[bytes, ...], Callable], ...] = (
+    ((b"\x1f\x8b",), lambda: zlib.decompressobj(31)),
+    ((b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"), zlib.decompressobj),
+    ((b"BZh",), bz2.BZ2Decompressor),
+    ((b"\xfd7zXZ",), lzma.LZMADecompressor),
 )
+_ZSTD = b"\x28\xb5\x2f\xfd"
+_BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def _unpacked(data: bytes, max_layer: int) -> bytes | None:
+    """What compressed bytes hold, also if that is compressed in turn; none if they are not compressed."""
+    made, seen = None, set()
+    while (inner := _decompress(data, max_layer)) is not None:
+        digest = hashlib.sha256(inner).digest()
+        if digest in seen:
+            break
+        seen.add(digest)
+        made = data = inner
+    return made
 
 
 def _decompress(data: bytes, max_layer: int) -> bytes | None:
-    for heads, inflate in _INFLATERS:
-        if data.startswith(heads):
+    if data.startswith(_ZSTD):
+        for across in (True, False):
             try:
-                made = inflate(data, max_layer + 1)
-            except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-                return None
+                made = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=across).read(max_layer + 1)
+            except _BROKEN:
+                continue
             return made if len(made) <= max_layer else None
+        return None
+    for heads, inflater in _INFLATERS:
+        if data.startswith(heads):
+            return _members(data, heads, inflater, max_layer)
     return None
 
 
+def _members(data: bytes, heads: tuple[bytes, ...], inflater: Callable, max_layer: int) -> bytes | None:
+    """All members in a row, and what follows them as it is."""
+    parts: list[bytes] = []
+    at, size = 0, 0
+    while data.startswith(heads, at):
+        member, next_ = inflater(), at
+        own: list[bytes] = []
+        try:
+            while not member.eof and next_ < len(data):
+                piece = data[next_ : next_ + _PIECE]
+                own.append(member.decompress(piece, max_layer + 1 - size))
+                size += len(own[-1])
+                if size > max_layer:
+                    return None
+                next_ += len(piece) - len(member.unused_data)
+        except _BROKEN:
+            if not at:
+                return None
+            break
+        parts += own
+        at = next_
+        while data.startswith(b"\0", at):
+            at += 1
+    made = b"".join([*parts, data[at:]])
+    return made if len(made) <= max_layer else None
+
+
 def redact(text: str, spans: list[Span], by: str = REDACTED) -> str:
     """The text with each span, or run of overlapping spans, replaced."""
     parts, at, open_to = [], 0, 0
