@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tradeglass.llm import byte_bpe, exact_dedup, fuzzy_lines, near_dup, neighbours, packing, quality, secret_scan, sharding, substrings
+from pyspark.sql import functions as F
+
+from tradeglass.llm import (
+    byte_bpe,
+    exact_dedup,
+    fuzzy_lines,
+    language,
+    near_dup,
+    neighbours,
+    packing,
+    periodic,
+    quality,
+    resampling,
+    secret_scan,
+    sharding,
+    substrings,
+)
 from tradeglass.llm.common import ready, stage_path, table
 
 
@@ -56,6 +72,39 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(ready(spark), sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_periods(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of the query: of some documents, by their id, the end repeats with a period that follows from it."""
+    h = crc32(b"" if doc_id is None else b"%d" % doc_id)
+    g, n = h // 10, len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(ready(spark), sf_dir, "documents"), rewrite=with_periods)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(ready(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -67,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_resampling": op11_resampling,
+    "op12_periodic": op12_periodic,
+    "op13_language": op13_language,
 }
 
 ORACLE: dict[str, str] = {
