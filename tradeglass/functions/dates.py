@@ -44,6 +44,11 @@ def prune(trades: DataFrame, first: date | None = None, last: date | None = None
     return trades
 
 
+def on_days(trades: DataFrame, days: list[date]) -> DataFrame:
+    """Rows of some calendar days, given their day column."""
+    return trades.filter(F.col("trade_date").isin(*[F.lit(day) for day in days]))
+
+
 def on_day(trades: DataFrame, day: date) -> DataFrame:
     """Trades of one calendar day, comparing the raw column so that the filter reaches the scan."""
     start = datetime(day.year, day.month, day.day)

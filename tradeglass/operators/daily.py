@@ -9,7 +9,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradeglass.functions.dates import on, on_day
+from tradeglass.functions.dates import on, on_day, on_days
 from tradeglass.operators.activity import PAIR, SUMS, activity
 from tradeglass.operators.lastknown import latest_row, one
 from tradeglass.operators.upsert import keep_new, keep_old, merge_few
@@ -96,6 +96,63 @@ def exchange_daily_close(exchange_daily: DataFrame, trades: DataFrame, day: date
     return conform(closed, "exchange_daily")
 
 
+def _each_day(rows: DataFrame, days: list[date]) -> DataFrame:
+    """The rows once per day."""
+    return rows.withColumn("stat_date", F.explode(F.array(*[on(day) for day in days])))
+
+
+def markets_days(rows: DataFrame, markets: DataFrame, days: list[date], *, traded: DataFrame) -> DataFrame:
+    """``markets_daily`` of several days in one pass."""
+    day = F.to_date("timestamp").alias("stat_date")
+    sums = activity(on_days(rows, days)).groupBy(day, *PAIR).agg(*[F.sum(name).alias(name) for name in SUMS])
+    never = _each_day(markets.select(*PAIR).join(traded, PAIR, "left_anti"), days)
+    zeros = never.withColumns({name: F.lit(0) for name in SUMS})
+    return conform(sums, "markets_daily").unionByName(conform(zeros, "markets_daily"))
+
+
+def assets_days(rows: DataFrame, assets: DataFrame, stored: DataFrame, days: list[date]) -> DataFrame:
+    """``assets_daily`` of several past days taken anew: volume and trades follow the trades, the other figures stay
+    as the day left them.  An asset without a row that day gets one, with its figures now, if it traded; of a
+    day without any rows all assets do."""
+    pairs = activity(on_days(rows, days)).groupBy(F.to_date("timestamp").alias("stat_date"), *PAIR)
+    pairs = pairs.agg(F.sum("volume").alias("volume"), F.sum("trades").alias("trades"))
+    legs = pairs.select("stat_date", F.explode(F.array(*PAIR)).alias("asset_id"), "volume", "trades")
+    keys = ["stat_date", "asset_id"]
+    active = legs.groupBy(*keys).agg(F.sum("volume").alias("volume"), F.sum("trades").alias("trades"))
+    old = stored.filter(F.col("stat_date").isin(*[F.lit(day) for day in days])).select(
+        *keys, F.struct(*ASSET_MEASURES).alias("_then")
+    )
+    known = _each_day(assets.select("asset_id"), days).join(old.select("stat_date").distinct(), "stat_date", "left_anti")
+    wanted = known.select(*keys).union(old.select(*keys)).union(active.select(*keys)).distinct()
+    now = assets.select("asset_id", F.struct(*ASSET_MEASURES).alias("_now"))
+    joined = wanted.join(active.withColumn("_active", F.lit(True)), keys, "left").join(old, keys, "left").join(now, "asset_id", "left")
+    figures = F.coalesce("_then", "_now")
+    return conform(
+        joined.withColumns(
+            {
+                **{name: F.when(F.col("_active"), F.col(name)).otherwise(F.lit(0)) for name in ("volume", "trades")},
+                **{name: figures[name] for name in ASSET_MEASURES},
+            }
+        ),
+        "assets_daily",
+    )
+
+
+def exchange_days_close(exchange_daily: DataFrame, rows: DataFrame, days: list[date]) -> DataFrame:
+    """``exchange_daily_close`` of several days in one pass."""
+    totals = activity(on_days(rows, days)).groupBy(F.to_date("timestamp").alias("stat_date")).agg(
+        F.sum("volume").alias("_volume"), F.sum("trades").alias("_trades")
+    )
+    touched = F.col("stat_date").isin(*[F.lit(day) for day in days])
+    closed = exchange_daily.join(totals, "stat_date", "left").withColumns(
+        {
+            "volume": F.when(touched, F.col("_volume")).otherwise(F.col("volume")),
+            "trades": F.when(touched, F.coalesce("_trades", F.lit(0))).otherwise(F.col("trades")),
+        }
+    )
+    return conform(closed, "exchange_daily")
+
+
 def exchange_daily_measures(
     exchange_daily: DataFrame, assets: DataFrame, metrics: DataFrame, day: date
 ) -> DataFrame:

@@ -49,15 +49,19 @@ def quote_levels(pairs: list[tuple[str, str]], stable: tuple[str, ...]) -> tuple
         open_assets -= ready
 
 
-def _quote_graph(trades: DataFrame, stable: tuple[str, ...]) -> tuple[set[str], list[tuple[str, str]], int]:
+def _quote_graph(
+    trades: DataFrame, stable: tuple[str, ...], ticks: DataFrame | None
+) -> tuple[set[str], list[tuple[str, str]], int]:
     """Assets used as quotes, the markets between two of them, and the most trades that one of them has on
-    both sides.  The driver sees these few assets and markets only, however many others there are."""
+    both sides (and known ticks).  The driver sees these few assets and markets only, however many others there are."""
     markets = cut_lineage(trades.groupBy("base_asset_id", "quote_asset_id").agg(F.count(F.lit(1)).alias("n")))
     used = markets.filter(~F.col("quote_asset_id").isin(*stable)).select(F.col("quote_asset_id").alias("asset")).distinct()
     quotes = {row.asset for row in used.collect()}
     inner = markets.join(used.withColumnRenamed("asset", "base_asset_id"), "base_asset_id", "left_semi")
     inner = inner.join(used.withColumnRenamed("asset", "quote_asset_id"), "quote_asset_id", "left_semi")
     sides = markets.select(F.explode(F.array_distinct(F.array("base_asset_id", "quote_asset_id"))).alias("asset"), "n")
+    if ticks is not None:
+        sides = sides.unionByName(ticks.groupBy("asset").agg(F.count(F.lit(1)).alias("n")))
     load = sides.join(used, "asset", "left_semi").groupBy("asset").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
     return quotes, [(r.base_asset_id, r.quote_asset_id) for r in inner.collect()], load or 0
 
@@ -65,12 +69,13 @@ def _quote_graph(trades: DataFrame, stable: tuple[str, ...]) -> tuple[set[str],
 TICK = ["asset", *ORDER, "usd_price"]
 
 
-def _seed_ticks(seeds: DataFrame) -> DataFrame:
-    """Previous prices as ticks before every trade."""
+def seed_ticks(seeds: DataFrame, *, placed: bool = False) -> DataFrame:
+    """Previous prices as ticks before every trade; ``placed``: at the trade that made them, where one did."""
+    start, first = F.lit("0001-01-01 00:00:00").cast("timestamp"), F.lit(_FIRST_ID).cast("bigint")
     return seeds.filter(F.col("usd_price").isNotNull()).select(
         F.col("asset_id").alias("asset"),
-        F.lit("0001-01-01 00:00:00").cast("timestamp").alias("timestamp"),
-        F.lit(_FIRST_ID).cast("bigint").alias("trade_id"),
+        (F.coalesce("timestamp", start) if placed else start).alias("timestamp"),
+        (F.coalesce("trade_id", first) if placed else first).alias("trade_id"),
         F.col("usd_price").cast("double").alias("usd_price"),
     )
 
@@ -93,11 +98,13 @@ def price_trades(
     config: ExchangeConfig,
     *,
     seeds: DataFrame | None = None,
+    ticks: DataFrame | None = None,
     slices: Slices | str | None = "auto",
 ) -> DataFrame:
     """Add ``volume`` (USD) and ``usd_price`` (price of the base asset this trade set, null if none).
 
-    ``seeds`` are previous prices (asset_id, usd_price).  ``slices`` overrides the choice of time slices.
+    ``seeds`` are previous prices (asset_id, usd_price), ``ticks`` prices made by other trades (asset, timestamp,
+    trade_id, usd_price).  ``slices`` overrides the choice of time slices.
     """
     stable = config.stable_assets
     trades = trades.drop("volume", "usd_price")
@@ -107,13 +114,14 @@ def price_trades(
     )
     rest = trades.filter(~quoted_stable)
 
-    quotes, inner, load = _quote_graph(trades, stable)
+    quotes, inner, load = _quote_graph(trades, stable, ticks)
     if not quotes:
         return direct
     if slices == "auto":
-        slices = _slices_for(trades, config, quotes) if load > config.rows_per_slice else None
-    ticks = _quote_ticks(direct, rest, inner, quotes, stable, seeds, slices)
-    priced = _as_of_quote(rest, ticks, "usd_price", "_quote_usd", slices)
+        slices = _slices_for(trades, config, quotes, ticks) if load > config.rows_per_slice else None
+    given = [part for part in (None if seeds is None else seed_ticks(seeds), ticks) if part is not None]
+    history = _quote_ticks(direct, rest, inner, quotes, stable, given, slices)
+    priced = _as_of_quote(rest, history, "usd_price", "_quote_usd", slices)
     quote_usd = F.col("_quote_usd")
     priced = priced.withColumns(
         {
@@ -130,15 +138,15 @@ def _quote_ticks(
     inner: list[tuple[str, str]],
     quotes: set[str],
     stable: tuple[str, ...],
-    seeds: DataFrame | None,
+    given: list[DataFrame],
     slices: Slices | str | None,
 ) -> DataFrame:
-    """All prices of the assets used as quotes, seeds included."""
+    """All prices of the assets used as quotes, given ones included."""
     base = F.col("base_asset_id").alias("asset")
     known = direct.select(base, *ORDER, "usd_price").filter(F.col("asset").isin(*quotes))
     needed = rest.select("base_asset_id", "quote_asset_id", *ORDER, F.col("price").cast("double").alias("own"))
     needed = needed.filter(F.col("base_asset_id").isin(*quotes))
-    settled = [known] if seeds is None else [known, _seed_ticks(seeds)]
+    settled = [known, *[part.select(*TICK).filter(F.col("asset").isin(*quotes)) for part in given]]
     level, looped = quote_levels(inner, stable)
     # Only the trades of markets between two quote assets make ticks that need other ticks.
     for step in sorted({level[q] for _, q in inner if q in level}):
@@ -162,9 +170,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), parts)
 
 
-def _slices_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str]) -> Slices | None:
-    """Slices in which each busy quote asset, counting its trades on both sides, fits."""
+def _slices_for(trades: DataFrame, config: ExchangeConfig, quotes: set[str], ticks: DataFrame | None) -> Slices | None:
+    """Slices in which each busy quote asset, counting its trades on both sides and known ticks, fits."""
     legs = trades.select(F.explode(F.array("base_asset_id", "quote_asset_id")).alias("asset"), *ORDER)
+    if ticks is not None:
+        legs = legs.unionByName(ticks.select("asset", *ORDER))
     return choose_slices(legs.filter(F.col("asset").isin(*quotes)), ["asset"], *ORDER, config.rows_per_slice)
 
 
@@ -237,6 +247,65 @@ def _chained_ticks(chained: DataFrame, base_ticks: DataFrame, slices: Slices | s
     return _union(done).select("asset", *ORDER, (F.col("own") * F.col("gathered")).alias("usd_price"))
 
 
+# --- late trades ----------------------------------------------------------------------------------
+
+
+def quote_markets(pairs: DataFrame, stable: tuple[str, ...]) -> tuple[set[str], list[tuple[str, str]]]:
+    """Assets used as quotes (stable ones not), and the markets between two of them, of distinct pairs."""
+    quotes = {r[0] for r in pairs.filter(~F.col("quote_asset_id").isin(*stable)).select("quote_asset_id").distinct().collect()}
+    inner = pairs.filter(F.col("base_asset_id").isin(*quotes) & F.col("quote_asset_id").isin(*quotes))
+    return quotes, [(r.base_asset_id, r.quote_asset_id) for r in inner.select("base_asset_id", "quote_asset_id").collect()]
+
+
+def dependents(assets: set[str], inner: list[tuple[str, str]]) -> set[str]:
+    """The assets, and all whose prices follow from theirs over markets between quote assets."""
+    found, todo = set(assets), list(assets)
+    while todo:
+        quote = todo.pop()
+        reached = {base for base, q in inner if q == quote} - found
+        found |= reached
+        todo.extend(reached)
+    return found
+
+
+def late_trades(priced: DataFrame, newest: DataFrame) -> DataFrame:
+    """Trades before the newest price (asset_id, usd_price, timestamp, trade_id) of one of their assets."""
+    pair = ["base_asset_id", "quote_asset_id"]
+    made = newest.filter(F.col("timestamp").isNotNull()).select("asset_id", _place().alias("_newest"))
+    legs = priced.select("trade_id", *pair, "timestamp", F.explode(F.array(*pair)).alias("asset_id"))
+    behind = legs.join(made, "asset_id").filter(_place() < F.col("_newest"))
+    return behind.select("trade_id", *pair, "timestamp").distinct()
+
+
+def reprice_day(
+    stored: DataFrame, late: DataFrame, changed: set[str], quotes: set[str], config: ExchangeConfig, seeds: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Price again what changes on one day, given its stored trades, which of them came late (by id), the quote assets
+    whose prices may change and the prices before the day.
+
+    Returns the trades priced again, and the last tick of each changed asset that day as (asset, old, new) structs
+    of place and price; the old one as if no trade had come late.
+    """
+    follows = F.col("quote_asset_id").isin(*changed)
+    behind = late.select("trade_id", F.lit(True).alias("_late"))
+    # Only trades that take part: quoted in a changed asset, or late; of the others the ticks of quote assets.
+    near = stored.filter(follows | F.col("base_asset_id").isin(*quotes))
+    rest = stored.filter(~(follows | F.col("base_asset_id").isin(*quotes))).join(behind, "trade_id")
+    rows = cut_lineage(near.join(behind, "trade_id", "left").unionByName(rest))
+    taken = follows | F.col("_late").isNotNull()
+    is_tick = F.col("usd_price").isNotNull() & F.col("base_asset_id").isin(*quotes)
+    base = F.col("base_asset_id").alias("asset")
+    ticks = rows.filter(~taken & is_tick).select(base, *ORDER, "usd_price")
+    priced = cut_lineage(price_trades(rows.filter(taken).drop("_late"), config, seeds=seeds, ticks=ticks))
+    tick = F.struct(*ORDER, "usd_price")
+    old = rows.filter(is_tick & F.col("_late").isNull()).select(base, tick.alias("old"), F.lit(None).cast(
+        "struct<timestamp:timestamp,trade_id:bigint,usd_price:double>").alias("new"))
+    new = ticks.unionByName(priced.filter(is_tick).select(base, *ORDER, "usd_price"))
+    both = old.unionByName(new.select("asset", tick.alias("new")), allowMissingColumns=True)
+    last = both.filter(F.col("asset").isin(*changed)).groupBy("asset").agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    return priced, last
+
+
 # --- what prices tell -----------------------------------------------------------------------------
 
 

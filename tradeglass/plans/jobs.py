@@ -10,9 +10,10 @@ from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
 from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import at
@@ -66,7 +67,8 @@ class Jobs:
         # Held by whatever writes trades and what is kept along with them: a batch of a stream, repricing,
         # backfill, compaction and retention.
         self.writing_trades = RLock()
-        store.recover("trades")
+        for table in ("trades", "markets_daily", "assets_daily"):
+            store.recover(table)
 
     def _update(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
         """Read a small table, change it, write it; one at a time per table, as the stream and the jobs of
@@ -103,14 +105,25 @@ class Jobs:
     def save_trade_prices(self, priced: DataFrame) -> None:
         """Latest market prices, and latest USD asset prices, of a set of priced trades.  The value locked
         follows at once, from the stored balance; the next refresh takes it from the exact one."""
-        listed = self.store.read("assets").select("asset_id", "balance")
-        newest = pricing.asset_last_price(priced).select("asset_id", F.col("usd_price").cast(PRICE).alias("price"))
-        valued = newest.join(listed, "asset_id").select("asset_id", "price", values.locked("balance", "price").alias("tvl"))
         together(
             lambda: self._save_markets(pricing.market_last_price(priced)),
-            lambda: self._save_assets(valued),
+            lambda: self._save_prices(pricing.asset_last_price(priced)),
         )
 
+    def save_prices_in_force(self, priced: DataFrame) -> None:
+        """The last prices of the markets and base assets of some stored trades, whether those made them or not."""
+        closes, last = self.store.read("asset_closes").drop("trade_date"), self.store.read("market_closes")
+        bases = priced.select(F.col("base_asset_id").alias("asset_id")).distinct()
+        mine = last.join(priced.select(*PAIR).distinct(), PAIR, "left_semi")
+        newest = mine.groupBy(*PAIR).agg(F.max_by("close_price", "close_id").cast(PRICE).alias("price"))
+        made = upsert.last_per_key(closes.join(bases, "asset_id", "left_semi"), ["asset_id"], pricing.ORDER)
+        together(lambda: self._save_markets(newest), lambda: self._save_prices(made))
+
+    def _save_prices(self, prices: DataFrame) -> None:
+        listed = self.store.read("assets").select("asset_id", "balance")
+        newest = prices.select("asset_id", F.col("usd_price").cast(PRICE).alias("price"))
+        self._save_assets(newest.join(listed, "asset_id").select("asset_id", "price", values.locked("balance", "price").alias("tvl")))
+
     def save_values(self, balances: DataFrame) -> None:
         assets = self.store.read("assets")
         pool = chain.wallet_balances(balances, assets, self.config.pool_wallet)
@@ -190,6 +203,41 @@ class Jobs:
             lambda: store.replace_partition("markets_daily", per_market, day),
         )
 
+    def settle_days(self, today: date) -> list[date]:
+        """Take the tables of finished days anew whose trades changed since, as the ledger has it; returns the days.
+
+        Days that a lost driver left between its trades and what is kept along with them are summed again
+        first.  Entries go once their days are done; today's stay until today is over, and days that
+        retention has cut into are left as they are.
+        """
+        with self.writing_trades, releasing(self.spark):
+            touched = self.store.touched_days()
+            lost = sorted({day for one in touched if not one.kept for day in one.days})
+            if lost:
+                self._summarise_days(lost)
+                self._add_asset_closes(self.store.read("trades").filter(F.col("trade_date").isin(lost)), lost)
+            oldest = today - timedelta(days=self.config.trade_retention_days)
+            days = sorted({day for one in touched for day in one.days if oldest < day < today})
+            if days:
+                self._redo_days(days)
+            self.store.mark_days({day for one in touched for day in one.days if day >= today}, kept=True)
+            self.store.forget(touched)
+            return days
+
+    def _redo_days(self, days: list[date]) -> None:
+        """The day tables of past days, from panes: no trade is read."""
+        store = self.store
+        panes, assets = store.read("market_panes"), store.read("assets")
+        traded = daily.traded_pairs(store.read("market_closes"))
+        per_market = daily.markets_days(panes, store.read("markets"), days, traded=traded)
+        per_asset = daily.assets_days(panes, assets, store.read("assets_daily"), days)
+        together(
+            lambda: store.exchange_all("assets_daily", per_asset, days),
+            lambda: store.exchange_all("markets_daily", per_market, days),
+            lambda: self._update("exchange_daily", lambda rows: daily.exchange_days_close(rows, panes, days)),
+        )
+        self._close_alltime()
+
     # --- kept along with the trades ---------------------------------------------------------------
 
     def _summarise_days(self, days: list[date] | None) -> None:
@@ -227,8 +275,9 @@ class Jobs:
         last = upsert.last_per_key(rows, ["trade_date", *PAIR], ["close_id"])
         self.store.overwrite_partitions("market_closes", last)
 
-    def _add_asset_closes(self, priced: DataFrame) -> None:
-        """Last price of each asset per day.  At the same trade the new price counts: it was priced again."""
+    def _add_asset_closes(self, priced: DataFrame, whole_days: list[date] | None = None) -> None:
+        """Last price of each asset per day.  At the same trade the new price counts: it was priced again.  Of
+        ``whole_days`` all trades are given, and what was kept does not count."""
         made = priced.filter(F.col("usd_price").isNotNull()).select(
             F.to_date("timestamp").alias("trade_date"), F.col("base_asset_id").alias("asset_id"),
             "usd_price", *pricing.ORDER, F.lit(1).alias("_new"),
@@ -237,6 +286,8 @@ class Jobs:
         new = upsert.last_per_key(made, keys, pricing.ORDER)
         stored = self.store.read("asset_closes").withColumn("_new", F.lit(0))
         stored = stored.join(new.select("trade_date").distinct(), "trade_date", "left_semi")
+        if whole_days is not None:
+            stored = stored.filter(~F.col("trade_date").isin(whole_days))
         last = upsert.last_per_key(stored.unionByName(new), keys, [*pricing.ORDER, "_new"])
         self.store.overwrite_partitions("asset_closes", conform(last, "asset_closes", "trade_date"))
 
@@ -268,19 +319,18 @@ class Jobs:
         with self.writing_trades, releasing(self.spark):
             return self.merge(priced, reprice=reprice)
 
-    def merge(self, priced: DataFrame, *, reprice: bool = False) -> list[date]:
-        """The same for a caller that holds ``writing_trades``."""
+    def merge(self, priced: DataFrame, *, reprice: bool = False, newest: bool = True) -> list[date]:
+        """The same for a caller that holds ``writing_trades``.  ``newest``: the prices made are those in force."""
         merged = self.store.merge_trades(priced, reprice=reprice)
         if merged is None:
             return []
-        together(
-            lambda: self._add_panes(merged),
-            lambda: self._add_closes(merged),
-            lambda: self._add_asset_closes(priced),
-            lambda: self.save_trade_prices(priced),
-        )
+        steps = [lambda: self._add_panes(merged), lambda: self._add_closes(merged), lambda: self._add_asset_closes(priced)]
+        if newest:
+            steps.append(lambda: self.save_trade_prices(priced))
+        together(*steps)
         if merged.rewritten:
             self._summarise_days(merged.rewritten)
+        self.store.mark_kept(merged.entry)
         return merged.days
 
     def backfill(self, trades: DataFrame, seeds: DataFrame | None = None) -> None:
@@ -288,14 +338,17 @@ class Jobs:
         with self.writing_trades, releasing(self.spark):
             # Pricing reads its input several times: the texts are parsed once.
             staged = cut_lineage(trades)
+            days = {row[0] for row in staged.select(F.to_date("timestamp")).distinct().collect()}
+            entry = self.store.mark_days(days)
             self._load(pricing.price_trades(upsert.unique_trades(staged), self.config, seeds=seeds))
+            self.store.mark_kept(entry)
 
     def _load(self, priced: DataFrame) -> None:
         dated = priced.withColumn("trade_date", F.to_date("timestamp"))
         store = self.store
         # The price made is written along, so that everything else reads what was written.
-        store.overwrite_partitions("trades", conform(dated, "trades", "trade_date", "usd_price"))
-        rows = store.read("trades", extra=("usd_price", "double"))
+        store.overwrite_partitions("trades", conform(dated, "trades", "trade_date"))
+        rows = store.read("trades")
         spans = rows.groupBy("trade_date").agg(F.min("trade_id").alias("low"), F.max("trade_id").alias("high"))
         together(
             lambda: store.replace("trade_days", spans),
@@ -318,6 +371,7 @@ class Jobs:
         report.run("new_day", lambda: self._roll_forward(today))
         report.run("measures", lambda: self.save_measures(landed, today))
         report.run("rolling", lambda: self._rolling_tables(as_of))
+        report.run("touched_days", lambda: self.settle_days(today) and None)
         report.run("day", lambda: self._day_tables(today))
         return report
 
@@ -364,6 +418,7 @@ class Jobs:
         report.run("close", close)
         report.run("new_day", lambda: self._roll_forward(today))
         report.run("day", lambda: self._day_tables(yesterday))
+        report.run("touched_days", lambda: self.settle_days(today) and None)
         report.run("clean_trades", clean)
         report.run("clean_closes", lambda: self._clean_closes(today))
         report.run("clean_hourly", lambda: store.clean_hourly(as_of, self.config.hourly_retention_days))
@@ -395,6 +450,76 @@ class Jobs:
             trades = self.store.read("trades").filter(F.col("trade_date") >= F.lit(day)).drop("trade_date")
             priced = cut_lineage(pricing.price_trades(trades, self.config, seeds=seeds))
             days = self.ingest(priced, reprice=True)
-            closes = self.store.read("asset_closes").drop("trade_date")
-            self.store.replace("repriced_assets", upsert.last_per_key(closes, ["asset_id"], pricing.ORDER))
+            self._keep_repriced()
+            return days
+
+    def _keep_repriced(self) -> DataFrame:
+        """The prices in force after repricing, for the streams."""
+        closes = self.store.read("asset_closes").drop("trade_date")
+        self.store.replace("repriced_assets", upsert.last_per_key(closes, ["asset_id"], pricing.ORDER))
+        return self.store.read("repriced_assets")
+
+    def reprice_late(self, late: DataFrame) -> list[date]:
+        """Price again what late trades (stored already; trade_id, base and quote asset, timestamp) change, and no more;
+        returns the days.
+
+        A late trade changes its own volume, and the price of its base until the next trade of that asset.  Where
+        the base is no quote of any market that is all.  Else the trades quoted in it are priced again, and what
+        follows from theirs, day by day until the prices at the end of a day are those of before: then they have met
+        again.  Each day reads the trades quoted in such assets, and the ticks of other quote assets as stored.
+        """
+        with self.writing_trades, releasing(self.spark):
+            behind = cut_lineage(late.select("trade_id", *PAIR, F.to_date("timestamp").alias("trade_date")).distinct())
+            pairs = cut_lineage(daily.traded_pairs(self.store.read("market_closes")))
+            quotes, inner = pricing.quote_markets(pairs, self.config.stable_assets)
+            days_late = {row.trade_date for row in behind.select("trade_date").distinct().collect()}
+            moved = behind.filter(F.col("base_asset_id").isin(*quotes)).select("trade_date", "base_asset_id").distinct().collect()
+            closes = self.store.read("asset_closes").withColumn("_new", F.lit(0))
+            carried: dict[str, tuple[float | None, float | None]] = {}
+            parts: list[DataFrame] = []
+            for day in sorted(d for d in self.store.partitions("trades") if days_late and d >= min(days_late)):
+                starts = {row.base_asset_id for row in moved if row.trade_date == day}
+                changed = pricing.dependents(starts | set(carried), inner)
+                if not changed and day not in days_late:
+                    continue
+                earlier = closes.filter(F.col("trade_date") < F.lit(day)).drop("trade_date")
+                seeds = cut_lineage(upsert.last_per_key(earlier, ["asset_id"], [*pricing.ORDER, "_new"]))
+                stored = self.store.read("trades").filter(F.col("trade_date") == F.lit(day)).drop("trade_date")
+                on_day = behind.filter(F.col("trade_date") == F.lit(day))
+                priced, last = pricing.reprice_day(stored, on_day, changed, quotes, self.config, seeds.drop("_new"))
+                parts.append(priced)
+                made = cut_lineage(last)
+                closes = closes.unionByName(
+                    made.filter("new is not null").select(F.col("asset").alias("asset_id"), "new.*").withColumns(
+                        {"trade_date": F.lit(day), "_new": F.lit(1)}
+                    )
+                )
+                before = {r.asset_id: r.usd_price for r in seeds.filter(F.col("asset_id").isin(*changed)).collect()}
+                carried = _carried(carried, before, {r.asset: (r.old, r.new) for r in made.collect()})
+            if not parts:
+                return []
+            priced = cut_lineage(reduce(DataFrame.unionByName, parts))
+            days = self.merge(priced, reprice=True, newest=False)
+            self._keep_repriced()
+            self.save_prices_in_force(priced)
             return days
+
+
+def _carried(
+    carried: dict[str, tuple[float | None, float | None]],
+    before: dict[str, float],
+    last: dict[str, tuple[Row | None, Row | None]],
+) -> dict[str, tuple[float | None, float | None]]:
+    """Assets whose price at the end of a day is not the one it would have been, as (old, new), from those of the day
+    before, the prices at its start and the last ticks (old, new) of the day."""
+    after = dict(carried)
+    for asset, (old, new) in last.items():
+        was, now = carried.get(asset, (before.get(asset), before.get(asset)))
+        after[asset] = (old.usd_price if old else was, new.usd_price if new else now)
+
+    def met(old: float | None, new: float | None) -> bool:
+        # Along a cycle prices are multiplied in another order; the last digits may differ.
+        return old == new or (old is not None and new is not None and abs(old - new) <= 1e-12 * abs(old))
+
+    return {asset: prices for asset, prices in after.items() if not met(*prices)}
+

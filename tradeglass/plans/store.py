@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeglass.functions.dates import at
 from tradeglass.operators.upsert import insert_new, merge_rows, unique_trades
@@ -35,16 +35,30 @@ SORTED = {"trades": "trade_id"}
 VERSION_AGE = timedelta(hours=24)
 
 
+# What changed about a stored trade when it is priced again.
+REPRICED = ("volume", "usd_price")
+
+
+@dataclass(frozen=True)
+class Touched:
+    """An entry of the ledger of touched days; ``kept`` once panes and closes hold what the trades hold."""
+
+    entry: str
+    days: list[date]
+    kept: bool
+
+
 @dataclass(frozen=True)
 class Merged:
-    """What a merge of trades touched: its rows (one per id), their days and time range, and the days that
-    had to be rewritten."""
+    """What a merge of trades touched: its rows (one per id), their days and time range, the days that had to
+    be rewritten, and the entry in the ledger of touched days (None if nothing changed)."""
 
     rows: DataFrame
     days: list[date]
     rewritten: list[date]
     first: datetime
     last: datetime
+    entry: str | None = None
 
 
 class Store:
@@ -82,19 +96,9 @@ class Store:
     def _partition_column(self, table: str) -> str | None:
         return PARTITIONED[table].split()[0] if table in PARTITIONED else None
 
-    def read(
-        self,
-        table: str,
-        *,
-        before: int | None = None,
-        schema_like: str | None = None,
-        extra: tuple[str, str] | None = None,
-    ) -> DataFrame:
-        """The table; empty when never written.  ``before`` picks the newest version below a number, ``extra``
-        adds a (column, type) kept beyond the schema; null in files without it."""
+    def read(self, table: str, *, before: int | None = None, schema_like: str | None = None) -> DataFrame:
+        """The table; empty when never written.  ``before`` picks the newest version below a number."""
         schema = schema_of(schema_like or table)
-        if extra is not None:
-            schema = schema.add(*extra)
         column = self._partition_column(table)
         if column is not None and column not in schema.fieldNames():
             name, kind = PARTITIONED[table].split()
@@ -128,23 +132,21 @@ class Store:
             if written < kept_since:
                 files.delete(self._path(table, f"v={old}"), True)
 
-    def overwrite_partitions(self, table: str, rows: DataFrame) -> int:
-        """Exchange every partition that ``rows`` touch; returns the number of rows written.
+    def overwrite_partitions(self, table: str, rows: DataFrame) -> None:
+        """Exchange every partition that ``rows`` touch.
 
         Rows are rebalanced on the partition column, so a large day becomes many files written in
         parallel and a small one a single file.
         """
         column = self._partition_column(table)
-        seen = Observation()
-        written = self._laid_out(table, rows.observe(seen, F.count(F.lit(1)).alias("n")))
         (
-            written.write.mode("overwrite")
+            self._laid_out(table, rows)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.rows_per_file)
             .partitionBy(column)
             .parquet(f"{self.root}/{table}")
         )
-        return seen.get["n"]
 
     def exchange(self, table: str, rows: DataFrame) -> None:
         """Exchange the partitions that ``rows`` touch, where they are made of what those partitions hold.  The
@@ -175,8 +177,18 @@ class Store:
 
     def replace_partition(self, table: str, rows: DataFrame, value: date | datetime) -> None:
         """Exchange one partition; no rows remove it."""
-        if self.overwrite_partitions(table, rows) == 0:
+        rows = cut_lineage(rows)
+        if rows.isEmpty():
             self.drop_partitions(table, lambda found: found == value)
+        else:
+            self.overwrite_partitions(table, rows)
+
+    def exchange_all(self, table: str, rows: DataFrame, values: list[date]) -> None:
+        """Exchange several partitions with rows made of what they hold; those without rows go."""
+        rows = cut_lineage(rows)
+        left = {row[0] for row in rows.select(self._partition_column(table)).distinct().collect()}
+        self.exchange(table, rows)
+        self.drop_partitions(table, lambda found: found in values and found not in left)
 
     def partitions(self, table: str) -> dict[date | datetime, str]:
         """Partition values present, with their folder names."""
@@ -204,7 +216,9 @@ class Store:
         finds its own rows unchanged.
         """
         stored = self.read("trades")
-        dated = batch.withColumn("trade_date", F.to_date("timestamp")).select(*stored.columns)
+        dated = batch.withColumn("trade_date", F.to_date("timestamp"))
+        absent = {name: F.lit(None).cast("double") for name in ("usd_price",) if name not in dated.columns}
+        dated = dated.withColumns(absent).select(*stored.columns)
         single = unique_trades(dated)
         bounds = [F.min("trade_id").alias("low"), F.max("trade_id").alias("high")]
         per_day = single.groupBy("trade_date").agg(*bounds, F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
@@ -222,13 +236,21 @@ class Store:
 
         candidates = stored.filter(F.col("trade_date").isin(near) & F.col("trade_id").between(low, high))
         existing = cut_lineage(candidates.join(single.select("trade_id"), "trade_id", "left_semi"))
-        fresh, rewritten = single, set()
+        fresh, rewritten, added = single, set(), days
         if not existing.isEmpty():
-            rewritten = self._replace_changed(stored, existing, single, reprice)
             fresh = single.join(existing.select("trade_id"), "trade_id", "left_anti")
-        appended = self._laid_out("trades", fresh).write.mode("append").option("maxRecordsPerFile", self.rows_per_file)
-        appended.partitionBy("trade_date").parquet(f"{self.root}/trades")
+            added = {row.trade_date for row in fresh.select("trade_date").distinct().collect()}
+            changed = self._changed(existing, single, reprice)
+            rewritten = {day for move in changed.select("old_date", "trade_date").distinct().collect() for day in move}
+        # The ledger first: a driver that is lost from here on leaves a note of what to take anew.
+        entry = self.mark_days(added | rewritten)
+        if rewritten:
+            self._replace_changed(stored, changed, single, rewritten)
+        if added:
+            appended = self._laid_out("trades", fresh).write.mode("append").option("maxRecordsPerFile", self.rows_per_file)
+            appended.partitionBy("trade_date").parquet(f"{self.root}/trades")
         return Merged(
+            entry=entry,
             rows=single,
             days=sorted(days | rewritten),
             rewritten=sorted(rewritten),
@@ -236,28 +258,58 @@ class Store:
             last=max(span.last for span in spans),
         )
 
-    def _replace_changed(self, stored: DataFrame, existing: DataFrame, single: DataFrame, reprice: bool) -> set[date]:
-        """Rewrite the days of stored trades that differ from the batch; returns those days."""
-        compared = [name for name in stored.columns if reprice or name != "volume"]
+    def _changed(self, existing: DataFrame, single: DataFrame, reprice: bool) -> DataFrame:
+        """Stored trades that differ from the batch, with their day before and after."""
+        compared = [name for name in existing.columns if reprice or name not in REPRICED]
         old = existing.select("trade_id", F.col("trade_date").alias("old_date"), F.struct(*compared).alias("old"))
         new = single.select("trade_id", "trade_date", F.struct(*compared).alias("new"))
         differing = old.join(new, "trade_id").filter(~F.col("old").eqNullSafe(F.col("new")))
-        changed = cut_lineage(differing.select("trade_id", "old_date", "trade_date"))
-        days = {day for move in changed.select("old_date", "trade_date").distinct().collect() for day in move}
-        if days:
-            current = stored.filter(F.col("trade_date").isin(days))
-            replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
-            merged = cut_lineage(merge_rows(current, replaced, ["trade_id"], {}))
-            left = {row.trade_date for row in merged.select("trade_date").distinct().collect()}
-            self.exchange("trades", merged)
-            self.drop_partitions("trades", lambda day: day in days - left)
-        return days
+        return cut_lineage(differing.select("trade_id", "old_date", "trade_date"))
+
+    def _replace_changed(self, stored: DataFrame, changed: DataFrame, single: DataFrame, days: set[date]) -> None:
+        """Rewrite the days of the changed trades."""
+        current = stored.filter(F.col("trade_date").isin(days))
+        replaced = single.join(changed.select("trade_id"), "trade_id", "left_semi")
+        self.exchange_all("trades", merge_rows(current, replaced, ["trade_id"], {}), sorted(days))
 
     def compact_trades(self, day: date) -> None:
         """Write the files of a finished day anew: few, large, ordered by id."""
         rows = self.read("trades").filter(F.col("trade_date") == F.lit(day))
         self.exchange("trades", rows)
 
+    # --- ledger of touched days -------------------------------------------------------------------
+
+    def mark_days(self, days: set[date], *, kept: bool = False) -> str | None:
+        """Note that trades of these days change, before they do.  An entry is a folder of empty files named by
+        day, so a half-written one names days that did not change yet, which does no harm."""
+        if not days:
+            return None
+        entry = uuid.uuid4().hex
+        for day in sorted(days):
+            self._files().create(self._path("touched_days", entry, day.isoformat())).close()
+        if kept:
+            self.mark_kept(entry)
+        return entry
+
+    def mark_kept(self, entry: str | None) -> None:
+        """Note that panes and closes of an entry's days are up to date."""
+        if entry is not None:
+            self._files().create(self._path("touched_days", entry, "_KEPT")).close()
+
+    def touched_days(self) -> list[Touched]:
+        """The entries of the ledger, by what they name: days, a few even after weeks."""
+        found = []
+        for entry in self._children("touched_days"):
+            names = self._children("touched_days", entry)
+            days = sorted(date.fromisoformat(name) for name in names if not name.startswith(("_", ".")))
+            found.append(Touched(entry, days, "_KEPT" in names))
+        return found
+
+    def forget(self, touched: list[Touched]) -> None:
+        """Delete entries whose days were taken anew; those made meanwhile stay."""
+        for one in touched:
+            self._files().delete(self._path("touched_days", one.entry), True)
+
     # --- retention --------------------------------------------------------------------------------
 
     def clean_trades(self, today: date, days: int) -> None:

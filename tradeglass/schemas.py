@@ -78,7 +78,8 @@ TABLES = {
     "trades": (
         "trade_id bigint, base_asset_id string, quote_asset_id string, "
         f"price {PRICE}, quantity {PRICE}, volume_quote {PRICE}, volume {VOLUME}, "
-        f"timestamp timestamp, {TRADE_IDS}"
+        # usd_price: the price of the base asset that the trade made.
+        f"timestamp timestamp, {TRADE_IDS}, usd_price double"
     ),
     "exchange_daily": f"stat_date date, {_columns(_EXCHANGE_MEASURES)}",
     "exchange_hourly": f"stat_time timestamp, {_columns(_EXCHANGE_MEASURES)}",

@@ -18,11 +18,13 @@ class TradeStream:
 
     A rerun of a batch reads the same prices and writes the same rows and the same price version, so it
     is harmless.  Batches are priced in the order they arrive; trades that come late are stored at once
-    and priced again from their day by ``Jobs.reprice_from``.
+    and priced again from their day by ``Jobs.reprice_from``.  With ``follow_late`` the stream does that itself: a
+    trade before the newest price of one of its assets is priced in its place, with all that follows from it.
     """
 
-    def __init__(self, jobs: Jobs, name: str = "main"):
+    def __init__(self, jobs: Jobs, name: str = "main", *, follow_late: bool = False):
         self.jobs = jobs
+        self.follow_late = follow_late
         self.store = jobs.store
         self.prices = f"asset_prices_{name}"
         self.quarantine = f"{self.store.root}/quarantine_{name}"
@@ -52,13 +54,25 @@ class TradeStream:
         trades = admitted_trades(trades_from(decoded), store.read("markets"), config).drop("market")
         trades = unique_trades(cut_lineage(trades))
         before = self._previous_prices(batch_id)
-        priced = cut_lineage(pricing.price_trades(trades, config, seeds=before))
         rejected = rejected_events(decoded).write.mode("overwrite")
+        if self.follow_late:
+            before = cut_lineage(before)
+            ticks = pricing.seed_ticks(before, placed=True)
+            priced = cut_lineage(pricing.price_trades(trades, config, ticks=ticks))
+            after = last_per_key(pricing.asset_last_price(priced).unionByName(before), ["asset_id"], pricing.ORDER)
+        else:
+            priced = cut_lineage(pricing.price_trades(trades, config, seeds=before))
+            after = pricing.asset_last_price(priced, before)
         together(
-            lambda: self.jobs.merge(priced),
-            lambda: store.replace(self.prices, pricing.asset_last_price(priced, before), version=batch_id),
+            lambda: self.jobs.merge(priced, newest=not self.follow_late),
+            lambda: store.replace(self.prices, after, version=batch_id),
             lambda: rejected.parquet(f"{self.quarantine}/batch={batch_id}"),
         )
+        if self.follow_late:
+            late = cut_lineage(pricing.late_trades(priced, before))
+            if not late.isEmpty():
+                self.jobs.reprice_late(late)
+            self.jobs.save_prices_in_force(priced)
 
     def start(self, events: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run on a stream of event texts; by default everything available now, then stop."""

@@ -20,9 +20,10 @@ from tradeglass.operators import pricing
 from tradeglass.operators.activity import PAIR, panes
 from tradeglass.operators.admission import admitted_trades
 from tradeglass.operators.rolling import market_closes
+from tradeglass.plans.jobs import Jobs
 from tradeglass.plans.store import Store
 from tradeglass.schemas import BALANCE, FEES, PRICE, USD, VOLUME, conform
-from tradeglass.session import prepare, scratch_dir
+from tradeglass.session import cut_lineage, prepare, scratch_dir
 from tradeglass.sources import chain
 from tradeglass.sources.orderbook import snapshot_levels
 
@@ -143,7 +144,7 @@ class Inputs:
         if key not in _landed:
             store = Store(self.spark, self.scratch("landed"))
             priced = self.price().withColumn("trade_date", F.to_date("timestamp"))
-            store.overwrite_partitions("trades", conform(priced, "trades", "trade_date", "usd_price", "user_id"))
+            store.overwrite_partitions("trades", conform(priced, "trades", "trade_date", "user_id"))
             minutes = panes(store.read("trades"))
             store.overwrite_partitions("market_panes", conform(minutes, "market_panes", "trade_date"))
             closes = market_closes(store.read("market_panes"))
@@ -151,6 +152,27 @@ class Inputs:
             _landed[key] = store.root
         return Store(self.spark, _landed[key])
 
+    def late_store(self) -> Store:
+        """Tables of a history of which half of one day's trades came late: the day tables were closed without them, the
+        trades merged and priced again, and the days they touched taken anew.  Written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "late")
+        if key not in _landed:
+            jobs = Jobs(Store(self.spark, self.scratch("late")), CONFIG)
+            store, day, tomorrow = jobs.store, date(2024, 1, 10), date(2024, 1, 31)
+            listed = self.markets().withColumns({"is_active": F.lit(True), "price": F.lit(None)})
+            store.replace("markets", conform(listed, "markets"))
+            store.replace("exchange_daily", self.exchange_daily())
+            admitted = self.admitted()
+            late = (F.to_date("timestamp") == F.lit(day)) & (F.col("trade_id") % 2 == 0)
+            jobs.backfill(admitted.filter(~late))
+            store.replace("assets", self.asset_state())
+            jobs.settle_days(tomorrow)
+            jobs.ingest(cut_lineage(pricing.price_trades(admitted.filter(late), CONFIG)))
+            jobs.reprice_from(day)
+            jobs.settle_days(tomorrow)
+            _landed[key] = store.root
+        return Store(self.spark, _landed[key])
+
     def trades(self) -> DataFrame:
         return self.store().read("trades")
 

@@ -503,6 +503,28 @@ SQL: dict[str, str] = {
         GROUP BY 2, 3, 4
         HAVING window_end <= (SELECT max(timestamp) FROM priced) - INTERVAL 1 HOUR""",
 }
+SQL |= {
+    "late_markets_daily": """
+        SELECT cast(timestamp AS date) AS stat_date, base_asset_id, quote_asset_id, cast(sum(volume) AS decimal(18,6)) AS volume,
+               cast(sum(volume_quote) AS decimal(20,10)) AS volume_quote, cast(sum(quantity) AS decimal(20,10)) AS volume_base,
+               count(*) AS trades
+        FROM priced GROUP BY 1, 2, 3
+        UNION ALL
+        SELECT period, base_asset_id, quote_asset_id, 0, 0, 0, 0 FROM by_day, market_list m WHERE NOT EXISTS (
+            SELECT * FROM priced t WHERE t.base_asset_id = m.base_asset_id AND t.quote_asset_id = m.quote_asset_id)""",
+    # What a day recorded besides its trades stays.
+    "late_assets_daily": f"""
+        SELECT period AS stat_date, s.asset_id, CASE WHEN l.asset_id IS NULL THEN 0 ELSE l.volume END AS volume,
+               coalesce(l.trades, 0) AS trades, {', '.join(ASSET_KINDS)}
+        FROM (SELECT period FROM by_day) CROSS JOIN state s LEFT JOIN
+             (SELECT day, asset_id, cast(sum(volume) AS decimal(18,6)) AS volume, count(*) AS trades
+              FROM (SELECT cast(timestamp AS date) AS day, unnest([base_asset_id, quote_asset_id]) AS asset_id, volume FROM priced)
+              GROUP BY 1, 2) l ON l.day = period AND l.asset_id = s.asset_id""",
+    "late_exchange_daily": f"SELECT period AS stat_date, {', '.join(MEASURES)} FROM by_day",
+    "late_alltime": """
+        SELECT cast(sum(volume) AS decimal(18,2)) AS volume, cast(sum(trades) AS bigint) AS trades FROM by_day""",
+    "stream_late_trades": SQL["stream_priced_trades"],
+}
 SQL["markets_24h_from_panes"] = _MARKETS_24H
 SQL["merge_trades"] = SQL["upsert_trades"]
 SQL["stream_repriced_trades"] = SQL["stream_priced_trades"]

@@ -306,6 +306,27 @@ def day_replace(data: Inputs) -> DataFrame:
     return store.read("assets_daily")
 
 
+@query
+def late_markets_daily(data: Inputs) -> DataFrame:
+    """Day rows of all markets after some trades came late and their days were taken anew."""
+    return data.late_store().read("markets_daily")
+
+
+@query
+def late_assets_daily(data: Inputs) -> DataFrame:
+    return data.late_store().read("assets_daily")
+
+
+@query
+def late_exchange_daily(data: Inputs) -> DataFrame:
+    return data.late_store().read("exchange_daily")
+
+
+@query
+def late_alltime(data: Inputs) -> DataFrame:
+    return data.late_store().read("exchange_alltime").select("volume", "trades")
+
+
 @query
 def retained_trades(data: Inputs) -> DataFrame:
     return hourly.retained_trades(data.trades(), RETENTION_DAY).select("trade_id", "timestamp")
@@ -540,6 +561,23 @@ def stream_repriced_trades(data: Inputs) -> DataFrame:
     return jobs.store.read("trades").select(*TRADE_COLUMNS)
 
 
+@query
+def stream_late_trades(data: Inputs) -> DataFrame:
+    """The same without that: the stream itself prices again what the late trades change, and nothing else."""
+    root = data.scratch("followed")
+    jobs = Jobs(Store(data.spark, f"{root}/tables"), CONFIG)
+    jobs.store.replace("assets", conform(_unpriced(data.assets()), "assets"))
+    listed = data.markets().withColumns({"is_active": F.lit(True), "price": F.lit(None)})
+    jobs.store.replace("markets", conform(listed, "markets"))
+    texts, moment = data.event_texts(), F.col("timestamp")
+    late = (F.to_date(moment) == F.lit(date(2024, 1, 11))) & (F.unix_seconds(moment) % 3 == 0)
+    stream = TradeStream(jobs, follow_late=True)
+    for part in (~late, late):
+        texts.filter(part).select("value").write.mode("append").text(f"{root}/events")
+        stream.start(stream_events(data.spark, f"{root}/events"), f"{root}/checkpoint").awaitTermination()
+    return jobs.store.read("trades").select(*TRADE_COLUMNS)
+
+
 def _unpriced(assets: DataFrame) -> DataFrame:
     figures = [f.name for f in schema_of("assets") if f.name not in assets.columns]
     return assets.withColumns({name: F.lit(None) for name in figures})
