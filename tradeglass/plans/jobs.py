@@ -431,13 +431,18 @@ class Jobs:
             self._summarise_days([today - timedelta(days=self.config.trade_retention_days)])
 
     def update_book(self, pages: DataFrame, as_of: datetime) -> None:
-        """Every minute: reconcile the stored book with the newest snapshots and stamp the time."""
+        """Every minute: reconcile the stored book with the newest snapshots and stamp the time.  Only the buckets of
+        markets with a snapshot are read and written."""
         rejected = orderbook.rejected_pages(pages)
         if not rejected.isEmpty():
             rejected.write.mode("append").parquet(f"{self.store.root}/quarantine_book")
         pages = orderbook.latest_snapshot(pages)
-        levels, markets = orderbook.snapshot_levels(pages), orderbook.snapshot_markets(pages)
-        self._update("orderbook", lambda stored: book.apply_snapshot(stored, levels, markets))
+        levels, markets = orderbook.snapshot_levels(pages), cut_lineage(orderbook.snapshot_markets(pages))
+        with self._locks["orderbook"]:
+            touched = self.store.buckets_of("orderbook", markets)
+            if touched:
+                stored = self.store.read_buckets("orderbook", touched)
+                self.store.replace_buckets("orderbook", book.apply_snapshot(stored, levels, markets), touched)
         self.store.replace("orderbook_lastupdate", hourly.freshness_stamp(self.spark, as_of))
 
     def reprice_from(self, day: date) -> list[date]:

@@ -2,7 +2,8 @@
 
 Large tables are partitioned by day (or hour) and written by dynamic partition overwrite: only touched
 partitions are rewritten.  Small tables are written whole as numbered versions; a version counts once
-its ``_SUCCESS`` marker exists, so a failed write leaves the previous one in force.
+its ``_SUCCESS`` marker exists, so a failed write leaves the previous one in force.  Tables in buckets are written
+by bucket, and a small table of versions tells where each bucket lies.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType
 
+from tradeglass.functions.buckets import bucket_of
 from tradeglass.functions.dates import at
 from tradeglass.operators.upsert import insert_new, merge_rows, unique_trades
-from tradeglass.schemas import schema_of
+from tradeglass.schemas import conform, schema_of
 from tradeglass.session import cut_lineage
 
 PARTITIONED = {
@@ -29,6 +32,8 @@ PARTITIONED = {
     "assets_hourly": "stat_time timestamp",
 }
 APPENDED = ("fee_withdrawals",)
+# Columns whose hash tells the bucket, and the number of buckets.
+BUCKETED = {"orderbook": (("base_asset_id", "quote_asset_id"), 64)}
 # Order within the files of a table, so that ranges of it skip row groups.
 SORTED = {"trades": "trade_id"}
 # How long a version that was replaced stays for its readers: longer than any job lasts.
@@ -98,6 +103,8 @@ class Store:
 
     def read(self, table: str, *, before: int | None = None, schema_like: str | None = None) -> DataFrame:
         """The table; empty when never written.  ``before`` picks the newest version below a number."""
+        if table in BUCKETED:
+            return self.read_buckets(table).drop("bucket")
         schema = schema_of(schema_like or table)
         column = self._partition_column(table)
         if column is not None and column not in schema.fieldNames():
@@ -114,6 +121,60 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
+    # --- tables in buckets ------------------------------------------------------------------------
+
+    def buckets_of(self, table: str, rows: DataFrame) -> list[int]:
+        """The buckets that some keys fall into: at most as many as the table has."""
+        keys, count = BUCKETED[table]
+        return sorted(row[0] for row in rows.select(bucket_of(count, *map(F.col, keys))).distinct().collect())
+
+    def _located(self, table: str, number: int | None = None) -> dict[int, int]:
+        """The version that holds each bucket, now or as of a version."""
+        versions = self._versions(f"{table}_buckets")
+        if not versions:
+            return {}
+        path = f"{self.root}/{table}_buckets/v={versions[-1] if number is None else number}"
+        return {row.bucket: row.version for row in self.spark.read.schema(schema_of(f"{table}_buckets")).parquet(path).collect()}
+
+    def read_buckets(self, table: str, buckets: list[int] | None = None) -> DataFrame:
+        """The table and its column ``bucket``, a folder level: some buckets, or all of them."""
+        located = {b: v for b, v in self._located(table).items() if buckets is None or b in buckets}
+        schema = schema_of(table).add("bucket", IntegerType())
+        if not located:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}"
+        paths = [f"{base}/v={version}/bucket={bucket}" for bucket, version in sorted(located.items())]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.fieldNames())
+
+    def replace_buckets(self, table: str, rows: DataFrame, buckets: list[int]) -> None:
+        """Exchange some buckets for ``rows``, which fall into no other; the rest of the table is not touched.  A
+        reader sees the table before the change or after it, as the versions change at once."""
+        keys, count = BUCKETED[table]
+        versions, located = self._versions(f"{table}_buckets"), self._located(table)
+        number = versions[-1] + 1 if versions else 0
+        placed = conform(rows, table).withColumn("bucket", bucket_of(count, *map(F.col, keys)))
+        # A large market is many files.
+        path = f"{self.root}/{table}/v={number}"
+        placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        written = [int(name.split("=")[1]) for name in self._children(table, f"v={number}") if name.startswith("bucket=")]
+        now = {b: v for b, v in located.items() if b not in buckets} | {b: number for b in written}
+        manifest = self.spark.createDataFrame(sorted(now.items()), schema_of(f"{table}_buckets")).coalesce(1)
+        self.replace(f"{table}_buckets", manifest, version=number)
+        self._expire_buckets(table)
+
+    def _expire_buckets(self, table: str) -> None:
+        """Delete what no kept version refers to: of data older than the oldest one, all it does not name."""
+        oldest = self._versions(f"{table}_buckets")[0]
+        old = [int(name[2:]) for name in self._children(table) if name.startswith("v=") and int(name[2:]) < oldest]
+        if not old:
+            return
+        held = set(self._located(table, oldest).items())
+        for number in old:
+            names = [name for name in self._children(table, f"v={number}") if name.startswith("bucket=")]
+            gone = [name for name in names if (int(name.split("=")[1]), number) not in held]
+            for name in gone if len(gone) < len(names) else [""]:
+                self._files().delete(self._path(table, f"v={number}", *filter(None, [name])), True)
+
     # --- writes -----------------------------------------------------------------------------------
 
     def replace(self, table: str, rows: DataFrame, *, version: int | None = None) -> None:

@@ -105,6 +105,8 @@ TABLES = {
         "base_asset_id string, quote_asset_id string, "
         f"price {PRICE}, side string, stid string, quantity {PRICE}"
     ),
+    # Which version holds each bucket of the book.
+    "orderbook_buckets": "bucket int, version bigint",
     "orderbook_lastupdate": "last_update timestamp",
     "fee_withdrawals": f"transfer_id bigint, asset_symbol string, amount {PRICE}",
     "metadata": "data_name string, data_value string",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradeglass.functions.buckets import bucket_of
 from tradeglass.functions.text import market_base, market_quote
 from tradeglass.schemas import PRICE
 
@@ -72,6 +73,8 @@ def latest_snapshot(pages: DataFrame) -> DataFrame:
     return pages.join(newest, ["market", "snapshot_id"], "left_semi")
 
 
-def book_of(book: DataFrame, base: str, quote: str) -> DataFrame:
-    """Stored levels of one market."""
+def book_of(book: DataFrame, base: str, quote: str, buckets: int | None = None) -> DataFrame:
+    """Stored levels of one market.  Of a book in ``buckets`` only the folder of its bucket is read."""
+    if buckets is not None:
+        book = book.filter(F.col("bucket") == bucket_of(buckets, F.lit(base), F.lit(quote)))
     return book.filter((F.col("base_asset_id") == base) & (F.col("quote_asset_id") == quote)).select(*LEVEL_KEY)

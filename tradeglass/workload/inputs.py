@@ -363,7 +363,13 @@ class Inputs:
         return self.book_pages().filter(F.col("snapshot_id") == number)
 
     def book(self) -> DataFrame:
-        return conform(snapshot_levels(self.snapshot(1)), "orderbook")
+        """The stored book after the first snapshot, in buckets.  Written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "book")
+        if key not in _landed:
+            store, levels = Store(self.spark, self.scratch("book")), cut_lineage(snapshot_levels(self.snapshot(1)))
+            store.replace_buckets("orderbook", levels, store.buckets_of("orderbook", levels))
+            _landed[key] = store.root
+        return Store(self.spark, _landed[key]).read_buckets("orderbook")
 
     # --- history ----------------------------------------------------------------------------------
 

@@ -525,6 +525,13 @@ SQL |= {
         SELECT cast(sum(volume) AS decimal(18,2)) AS volume, cast(sum(trades) AS bigint) AS trades FROM by_day""",
     "stream_late_trades": SQL["stream_priced_trades"],
 }
+SQL["orderbook_few_markets"] = """
+        SELECT base_asset_id, quote_asset_id, price, side, taken.stid AS stid, taken.quantity AS quantity
+        FROM (SELECT *, CASE WHEN base_asset_id NOT IN ('S5', 'S7') THEN old
+                             WHEN new IS NOT NULL AND old IS NOT NULL
+                             THEN {'number': new.number, 'quantity': new.quantity, 'stid': old.stid} ELSE new END AS taken
+              FROM book_lines)
+        WHERE taken IS NOT NULL"""
 SQL["markets_24h_from_panes"] = _MARKETS_24H
 SQL["merge_trades"] = SQL["upsert_trades"]
 SQL["stream_repriced_trades"] = SQL["stream_priced_trades"]

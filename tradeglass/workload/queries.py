@@ -14,7 +14,7 @@ from tradeglass.functions.numeric import floor_amount
 from tradeglass.operators import admission, book, daily, hourly, lastknown, pricing, rolling, upsert, values
 from tradeglass.operators.activity import PAIR
 from tradeglass.plans.jobs import Jobs
-from tradeglass.plans.store import Store
+from tradeglass.plans.store import BUCKETED, Store
 from tradeglass.schemas import PRICE, VOLUME, conform, schema_of
 from tradeglass.session import cut_lineage
 from tradeglass.sources import chain, listings, orderbook
@@ -116,7 +116,7 @@ def cursor_advance(data: Inputs) -> DataFrame:
 
 @query
 def book_scan(data: Inputs) -> DataFrame:
-    return orderbook.book_of(data.book(), "S7", "USDT")
+    return orderbook.book_of(data.book(), "S7", "USDT", BUCKETED["orderbook"][1])
 
 
 @query
@@ -519,6 +519,16 @@ def orderbook_job(data: Inputs) -> DataFrame:
     return store.read("orderbook").withColumn("last_update", stamp)
 
 
+@query
+def orderbook_few_markets(data: Inputs) -> DataFrame:
+    """The book after a second snapshot of a few markets only: the buckets of the others stay as they are."""
+    store = Store(data.spark, data.scratch("few"))
+    jobs = Jobs(store, CONFIG)
+    jobs.update_book(data.snapshot(1), AS_OF)
+    jobs.update_book(data.snapshot(2).filter(F.col("market").isin("S5-USDT", "S7-USDT")), AS_OF + timedelta(minutes=1))
+    return store.read("orderbook")
+
+
 # --- streaming ------------------------------------------------------------------------------------
 
 
