@@ -105,17 +105,24 @@ def upsert_markets(target: DataFrame, source: DataFrame) -> DataFrame:
     return merge_rows(target, source, ["base_asset_id", "quote_asset_id"], MARKET_RULES)
 
 
-def insert_new(
-    target: DataFrame, source: DataFrame, key: str, required: Sequence[str], order: Sequence[str]
+def first_per_key(
+    source: DataFrame, columns: Sequence[str], key: str, required: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Rows of ``source`` to append: ``required`` columns present and not empty, key not stored yet, the
-    first row by ``order`` per key."""
+    """The first row by ``order`` per key, among those whose ``required`` columns are present and not empty."""
     usable = source
     for name in required:
         usable = usable.filter(F.col(name).isNotNull() & (F.length(F.col(name).cast("string")) > 0))
-    others = [name for name in target.columns if name != key]
+    others = [name for name in columns if name != key]
     first = usable.groupBy(key).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
-    rows = first.select(key, "_row.*")
+    return first.select(key, "_row.*").select(*columns)
+
+
+def insert_new(
+    target: DataFrame, source: DataFrame, key: str, required: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Rows of ``source`` to append: ``required`` columns present and not empty, key not stored yet, the
+    first row by ``order`` per key."""
+    rows = first_per_key(source, target.columns, key, required, order)
     return rows.join(target.select(key), key, "left_anti").select(*target.columns)
 
 

@@ -67,7 +67,7 @@ class Jobs:
         # Held by whatever writes trades and what is kept along with them: a batch of a stream, repricing,
         # backfill, compaction and retention.
         self.writing_trades = RLock()
-        for table in ("trades", "markets_daily", "assets_daily"):
+        for table in ("trades", "markets_daily", "assets_daily", "fee_withdrawals"):
             store.recover(table)
 
     def _update(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -155,7 +155,7 @@ class Jobs:
         """Append transfers with an unseen id.  One writer at a time, as each must see what the other wrote."""
         with self._locks["fee_withdrawals"]:
             required, order = ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
-            self.store.append_new("fee_withdrawals", rows, "transfer_id", required, order)
+            self.store.append_new("fee_withdrawals", rows, required, order)
 
     def save_measures(self, landed: Landed, today: date) -> None:
         """Users, holders, stakers, staked total, treasury and issuance into today's row."""
@@ -421,10 +421,15 @@ class Jobs:
         report.run("touched_days", lambda: self.settle_days(today) and None)
         report.run("clean_trades", clean)
         report.run("clean_closes", lambda: self._clean_closes(today))
+        report.run("compact_transfers", self._compact_transfers)
         report.run("clean_hourly", lambda: store.clean_hourly(as_of, self.config.hourly_retention_days))
         report.run("alltime", self._close_alltime)
         return report
 
+    def _compact_transfers(self) -> None:
+        with self._locks["fee_withdrawals"]:
+            self.store.compact_ranges("fee_withdrawals")
+
     def _clean_closes(self, today: date) -> None:
         """The closes follow the trades: gone days go, the cut day is taken anew."""
         with self.writing_trades:

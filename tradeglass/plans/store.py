@@ -14,11 +14,11 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructType
 
 from tradeglass.functions.buckets import bucket_of
 from tradeglass.functions.dates import at
-from tradeglass.operators.upsert import insert_new, merge_rows, unique_trades
+from tradeglass.operators.upsert import first_per_key, merge_rows, unique_trades
 from tradeglass.schemas import conform, schema_of
 from tradeglass.session import cut_lineage
 
@@ -30,12 +30,16 @@ PARTITIONED = {
     "markets_daily": "stat_date date",
     "assets_daily": "stat_date date",
     "assets_hourly": "stat_time timestamp",
+    "fee_withdrawals": "id_range bigint",
 }
-APPENDED = ("fee_withdrawals",)
+# Tables partitioned by ranges of a number, and how many numbers a range holds.
+RANGES = {"fee_withdrawals": ("transfer_id", 1 << 20)}
+# More ranges than that are not listed in a filter: their bounds are.
+LISTED_RANGES = 1_000
 # Columns whose hash tells the bucket, and the number of buckets.
 BUCKETED = {"orderbook": (("base_asset_id", "quote_asset_id"), 64)}
 # Order within the files of a table, so that ranges of it skip row groups.
-SORTED = {"trades": "trade_id"}
+SORTED = {"trades": "trade_id", "fee_withdrawals": "transfer_id"}
 # How long a version that was replaced stays for its readers: longer than any job lasts.
 VERSION_AGE = timedelta(hours=24)
 
@@ -108,9 +112,8 @@ class Store:
         schema = schema_of(schema_like or table)
         column = self._partition_column(table)
         if column is not None and column not in schema.fieldNames():
-            name, kind = PARTITIONED[table].split()
-            schema = schema.add(name, kind)
-        if table in PARTITIONED or table in APPENDED:
+            schema = StructType([*schema, *StructType.fromDDL(PARTITIONED[table])])
+        if table in PARTITIONED:
             path = f"{self.root}/{table}"
             written = bool(self._children(table))
         else:
@@ -251,10 +254,10 @@ class Store:
         self.exchange(table, rows)
         self.drop_partitions(table, lambda found: found in values and found not in left)
 
-    def partitions(self, table: str) -> dict[date | datetime, str]:
+    def partitions(self, table: str) -> dict[date | datetime | int, str]:
         """Partition values present, with their folder names."""
         column = self._partition_column(table)
-        parse = datetime.fromisoformat if PARTITIONED[table].endswith("timestamp") else date.fromisoformat
+        parse = {"timestamp": datetime.fromisoformat, "date": date.fromisoformat, "bigint": int}[PARTITIONED[table].split()[1]]
         names = [name for name in self._children(table) if name.startswith(f"{column}=")]
         return {parse(name.split("=", 1)[1].replace("%3A", ":")): name for name in names}
 
@@ -264,9 +267,34 @@ class Store:
             if unwanted(value):
                 self._files().delete(self._path(table, name), True)
 
-    def append_new(self, table: str, rows: DataFrame, key: str, required: list[str], order: list[str]) -> None:
-        """Append rows with an unseen key."""
-        insert_new(self.read(table), rows, key, required, order).write.mode("append").parquet(f"{self.root}/{table}")
+    def unseen(self, table: str, rows: DataFrame, required: list[str], order: list[str]) -> DataFrame:
+        """Rows with an id that is not stored: of several the first, with all ``required`` columns.  Ids are looked for
+        only in the ranges that the rows fall into, and there in row groups between the least and greatest."""
+        key, span = RANGES[table]
+        names = schema_of(table).fieldNames()
+        first = first_per_key(rows, names, key, required, order).withColumn("id_range", F.expr(f"{key} div {span}"))
+        first = cut_lineage(first)
+        bounds = first.agg(F.min(key), F.max(key), F.min("id_range"), F.max("id_range")).first()
+        if bounds[0] is None:
+            return first
+        listed = [row[0] for row in first.select("id_range").distinct().limit(LISTED_RANGES + 1).collect()]
+        near = F.col("id_range").isin(listed) if len(listed) <= LISTED_RANGES else F.col("id_range").between(*bounds[2:])
+        stored = self.read(table).filter(near & F.col(key).between(*bounds[:2]))
+        return first.join(stored.select("id_range", key), ["id_range", key], "left_anti").select(*first.columns)
+
+    def append_new(self, table: str, rows: DataFrame, required: list[str], order: list[str]) -> None:
+        """Append rows with an unseen id.  A rerun finds its own rows stored."""
+        new = self._laid_out(table, self.unseen(table, rows, required, order))
+        appended = new.write.mode("append").option("maxRecordsPerFile", self.rows_per_file)
+        appended.partitionBy("id_range").parquet(f"{self.root}/{table}")
+
+    def compact_ranges(self, table: str, files: int = 32) -> list[int]:
+        """Write ranges of more than so many files anew, ordered by id; returns them."""
+        found = self.partitions(table)
+        many = sorted(v for v, name in found.items() if sum(f.endswith(".parquet") for f in self._children(table, name)) > files)
+        if many:
+            self.exchange(table, self.read(table).filter(F.col("id_range").isin(many)))
+        return many
 
     def merge_trades(self, batch: DataFrame, *, reprice: bool = False) -> Merged | None:
         """Merge a (checkpointed) batch of trades by id; None for an empty one.

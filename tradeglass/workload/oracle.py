@@ -532,6 +532,7 @@ SQL["orderbook_few_markets"] = """
                              THEN {'number': new.number, 'quantity': new.quantity, 'stid': old.stid} ELSE new END AS taken
               FROM book_lines)
         WHERE taken IS NOT NULL"""
+SQL["insert_ignore_ranges"] = SQL["insert_ignore_transfers"]
 SQL["markets_24h_from_panes"] = _MARKETS_24H
 SQL["merge_trades"] = SQL["upsert_trades"]
 SQL["stream_repriced_trades"] = SQL["stream_priced_trades"]

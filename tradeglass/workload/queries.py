@@ -476,12 +476,11 @@ def upsert_markets(data: Inputs) -> DataFrame:
     return upsert.upsert_markets(upsert.upsert_markets(listed, traded), listed)
 
 
-@query
-def insert_ignore_transfers(data: Inputs) -> DataFrame:
-    """Transfers stored so far, and those of a second delivery of everything that are new and complete."""
+def _deliveries(data: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Transfers stored so far, and a second delivery of everything: all twice, some incomplete."""
     orders = data.table("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     rows = chain.transfers(data.transfer_pages()).join(orders, F.col("transfer_id") == F.col("o_orderkey"))
-    stored = conform(rows.filter(F.col("o_orderstatus") == "F"), "fee_withdrawals")
+    stored = rows.filter(F.col("o_orderstatus") == "F")
     priority = F.col("o_orderpriority")
     again = rows.withColumns(
         {
@@ -490,10 +489,29 @@ def insert_ignore_transfers(data: Inputs) -> DataFrame:
         }
     )
     later = again.withColumns({"block_num": F.col("block_num") + 1, "amount": (F.col("amount") + 1).cast(PRICE)})
-    new = upsert.insert_new(
-        stored, again.unionByName(later), "transfer_id", ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
-    )
-    return stored.unionByName(new)
+    return stored, again.unionByName(later)
+
+
+TRANSFER_COLUMNS, TRANSFER_ORDER = ["transfer_id", "asset_symbol", "amount"], ["block_num", "event_idx"]
+
+
+@query
+def insert_ignore_transfers(data: Inputs) -> DataFrame:
+    """Transfers stored so far, and those of a second delivery that are new and complete."""
+    stored, again = _deliveries(data)
+    stored = conform(stored, "fee_withdrawals")
+    return stored.unionByName(upsert.insert_new(stored, again, "transfer_id", TRANSFER_COLUMNS, TRANSFER_ORDER))
+
+
+@query
+def insert_ignore_ranges(data: Inputs) -> DataFrame:
+    """The same as the job does it: ids are looked for in the ranges of ids that a delivery falls into, then its
+    transfers are appended; ranges of many files are written anew."""
+    store = Store(data.spark, data.scratch("transfers"))
+    for delivery in _deliveries(data):
+        store.append_new("fee_withdrawals", delivery, TRANSFER_COLUMNS, TRANSFER_ORDER)
+    store.compact_ranges("fee_withdrawals", files=1)
+    return store.read("fee_withdrawals").select(*TRANSFER_COLUMNS)
 
 
 @query
