@@ -46,13 +46,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lie in the shared folder, so a lost executor costs only its running tasks."""
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete staged tables that no later step reads, itself or through a plan."""
+    for df in staged:
+        _delete(df.sparkSession, df.staged_at)
 
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete the staged tables, once the results built on them are written."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/stages")
+    _delete(spark, f"{scratch_dir(spark)}/stages")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
