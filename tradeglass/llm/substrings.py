@@ -9,9 +9,9 @@ words, a suffix goes by the one with the smallest hash.  Equal windows choose th
 neighbouring suffixes for about 17 words, so such a run travels as one stretch of words, not as a
 prefix for each.  Grams that only one document chooses cannot hold a repeat and are dropped first.
 
-A group of up to ``GROUP`` documents is small enough for a task: its subtree is built as a sorted list of
+A group of up to ``GROUP`` suffixes is small enough for a task: its subtree is built as a sorted list of
 suffixes with the depths at which neighbours part, and nodes of depth 50 give the repeats.  For a gram that
-more documents choose, the prefix is lengthened to all 50 words: then a group is a single node, of which only
+more suffixes choose, be it of many documents or of a few that repeat one word, the prefix is lengthened to all 50 words: then a group is a single node, of which only
 the smallest id is wanted, and partial aggregation finds that without gathering the group.
 
 Words are compared by hashes: 32 bits a word beside the 64 bits of the gram in subtrees, 128 bits a window
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 WINDOW = 50
 GRAM = 16
-# Documents that one subtree is built of at most.
-GROUP = 1_000
+# Suffixes that one subtree is built of at most.
+GROUP = 20_000
 # Parts that the rows of one window are spread over.
 SALTS = 16
 # Suffixes that are sorted at a time; a block holds whole groups.
@@ -93,6 +93,11 @@ class Suffixes:
         self.last = np.append(starts[1:], len(chosen)) - 1
         self.gram = grams[chosen[starts]].view(np.int64)
 
+    def choices(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct grams, and how many suffixes go by each."""
+        grams, which = np.unique(self.gram, return_inverse=True)
+        return grams, np.bincount(which, self.last - self.first + 1, len(grams)).astype(np.int64)
+
     def stretch(self, run: int) -> bytes:
         """32-bit hashes of the words of a run's suffixes, in an order that sorts by bytes, without zero bytes
         at the end."""
@@ -147,17 +152,17 @@ def _without(words: list[bytes], ranges: list[dict]) -> list[bytes]:
 
 
 def _choices(texts: DataFrame) -> DataFrame:
-    """(doc_id, key, gram): the grams that suffixes of a text go by, once each."""
+    """(doc_id, key, gram, n): the grams that suffixes of a text go by, once each, and how many do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [np.unique(Suffixes((t or b"").split()).gram) for t in batch.column(2).to_pylist()]
-            rows = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-            owner = pa.array(rows, pa.int64())
-            made = pa.array(np.concatenate([*grams, np.zeros(0, np.int64)]), pa.int64())
-            yield pa.record_batch([batch.column(0).take(owner), batch.column(1).take(owner), made], names=["doc_id", "key", "gram"])
+            none = np.zeros(0, np.int64)
+            found = [(none, none), *(Suffixes((t or b"").split()).choices() for t in batch.column(2).to_pylist())]
+            owner = pa.array(np.repeat(np.arange(len(found) - 1), [len(g) for g, _ in found[1:]]), pa.int64())
+            made = [pa.array(np.concatenate([f[i] for f in found]), pa.int64()) for i in range(2)]
+            yield pa.record_batch([batch.column(0).take(owner), batch.column(1).take(owner), *made], names=["doc_id", "key", "gram", "n"])
 
-    return texts.mapInArrow(run, "doc_id bigint, key bigint, gram bigint")
+    return texts.mapInArrow(run, "doc_id bigint, key bigint, gram bigint, n bigint")
 
 
 def _stretches(picked: DataFrame) -> DataFrame:
@@ -241,14 +246,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     choices = _choices(texts)
     shared = (
         choices.groupBy("gram")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("n").alias("suffixes"))
         .filter("low < high")
-        .select(F.col("gram").alias("shared"), "n")
+        .select(F.col("gram").alias("shared"), "suffixes")
     )
     picks = choices.join(shared, F.col("gram") == F.col("shared")).groupBy("doc_id", "key")
     picks = picks.agg(
-        F.collect_list(F.when(F.col("n") <= GROUP, F.col("gram"))).alias("few"),
-        F.collect_list(F.when(F.col("n") > GROUP, F.col("gram"))).alias("many"),
+        F.collect_list(F.when(F.col("suffixes") <= GROUP, F.col("gram"))).alias("few"),
+        F.collect_list(F.when(F.col("suffixes") > GROUP, F.col("gram"))).alias("many"),
     ).withColumnsRenamed({"doc_id": "of_id", "key": "of_key"})
     same = (F.col("doc_id") == F.col("of_id")) & (F.col("key") == F.col("of_key"))
     picked = texts.join(picks, same)
