@@ -21,12 +21,14 @@ def admitted_trades(trades: DataFrame, markets: DataFrame, config: ExchangeConfi
     return open_trades.join(markets.select(*PAIR).distinct(), PAIR, "left_semi")
 
 
-def unknown_assets(rows: DataFrame, assets: DataFrame, source: str) -> DataFrame:
+def unknown_assets(rows: DataFrame, assets: DataFrame, source: str, counted: str | None = None) -> DataFrame:
     """Asset ids used in ``rows`` that no asset row has, with the column they appear in and how often.
 
-    Ids are counted before the join, so the join sees one row per id.
+    Ids are counted before the join, so the join sees one row per id.  Where ``rows`` are sums, ``counted`` is
+    the column with the number of rows summed.
     """
-    pairs = rows.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
+    number = F.count(F.lit(1)) if counted is None else F.sum(counted)
+    pairs = rows.groupBy(*PAIR).agg(number.alias("n"))
     used = pairs.select(
         F.explode(
             F.array(

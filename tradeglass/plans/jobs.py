@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import at
-from tradeglass.operators import book, daily, hourly, pricing, rolling, upsert, values
+from tradeglass.operators import admission, book, daily, hourly, listing, pricing, rolling, upsert, values
 from tradeglass.operators.activity import PAIR, exact_for, pane_time, panes
 from tradeglass.operators.lastknown import one
 from tradeglass.plans.store import Merged, Store
@@ -98,9 +98,20 @@ class Jobs:
         listed = listings.asset_listing(pages, self.config)
         self._save_assets(pricing.keep_prices(listed, self.store.read("assets")))
 
-    def save_listed_markets(self, pages: DataFrame) -> None:
-        listed = listings.market_listing(pages, self.store.read("assets"), self.config)
+    def save_listed_markets(self, pages: DataFrame, as_of: datetime) -> None:
+        """Merge the listed markets, note since when they are listed, and since when others no longer are."""
+        listed = cut_lineage(listings.market_listing(pages, self.store.read("assets"), self.config))
         self._save_markets(listed.withColumn("price", F.lit(None)))
+        if listed.isEmpty():
+            return  # an empty answer is no listing
+        self._update("market_history", lambda history: listing.listing_step(history, listed, as_of))
+        gone = listed.select(*PAIR, F.lit(True).alias("_listed"))
+        self._update(
+            "markets",
+            lambda stored: conform(
+                stored.join(gone, PAIR, "left").withColumn("is_active", F.coalesce("_listed", F.lit(False))), "markets"
+            ),
+        )
 
     def save_trade_prices(self, priced: DataFrame) -> None:
         """Latest market prices, and latest USD asset prices, of a set of priced trades.  The value locked
@@ -365,7 +376,7 @@ class Jobs:
             return lambda: False if part is None else step(part)
 
         report.run("assets", given(landed.asset_pages, self.save_listed_assets))
-        report.run("markets", given(landed.market_pages, self.save_listed_markets))
+        report.run("markets", given(landed.market_pages, lambda part: self.save_listed_markets(part, as_of)))
         report.run("values", given(landed.balances, self.save_values))
         report.run("fees", given(landed.balances, lambda part: self.save_fees(part, today)))
         report.run("new_day", lambda: self._roll_forward(today))
@@ -422,10 +433,19 @@ class Jobs:
         report.run("clean_trades", clean)
         report.run("clean_closes", lambda: self._clean_closes(today))
         report.run("compact_transfers", self._compact_transfers)
+        report.run("references", self.check_references)
         report.run("clean_hourly", lambda: store.clean_hourly(as_of, self.config.hourly_retention_days))
         report.run("alltime", self._close_alltime)
         return report
 
+    def check_references(self) -> None:
+        """Keys of the stored tables that no asset has.  Trades are counted by their sums per minute."""
+        store = self.store
+        assets = store.read("assets")
+        tables = [("trades", "market_panes", "trades"), *[(name, name, None) for name in ("markets", "markets_daily", "markets_24h")]]
+        found = [admission.unknown_assets(store.read(kept), assets, name, counted) for name, kept, counted in tables]
+        store.replace("orphans", reduce(DataFrame.unionByName, found).coalesce(1))
+
     def _compact_transfers(self) -> None:
         with self._locks["fee_withdrawals"]:
             self.store.compact_ranges("fee_withdrawals")

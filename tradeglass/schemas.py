@@ -109,6 +109,9 @@ TABLES = {
     "orderbook_buckets": "bucket int, version bigint",
     "orderbook_lastupdate": "last_update timestamp",
     "fee_withdrawals": f"transfer_id bigint, asset_symbol string, amount {PRICE}",
+    # When each market was listed, and keys of the stored tables that no asset has.
+    "market_history": "base_asset_id string, quote_asset_id string, valid_from timestamp, valid_to timestamp",
+    "orphans": "table_name string, column_name string, asset_id string, row_count bigint",
     "metadata": "data_name string, data_value string",
     # Kept along with the trades, so that no job reads them all: the span of each day, activity per
     # minute, the last trade of each market and the last price of each asset per day.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeglass.operators import pricing
-from tradeglass.operators.admission import admitted_trades
+from tradeglass.operators.listing import admitted_as_of, intervals
 from tradeglass.operators.upsert import last_per_key, unique_trades
 from tradeglass.plans.jobs import Jobs
 from tradeglass.session import cut_lineage, releasing, together
@@ -14,7 +14,8 @@ from tradeglass.sources.trades import decode_events, rejected_events, trades_fro
 
 
 class TradeStream:
-    """Prices each micro-batch from the asset prices the batch before left, and merges it by trade id.
+    """Prices each micro-batch from the asset prices the batch before left, and merges it by trade id.  Trades count
+    that happened while their market was listed, so a replay takes what the live stream took.
 
     A rerun of a batch reads the same prices and writes the same rows and the same price version, so it
     is harmless.  Batches are priced in the order they arrive; trades that come late are stored at once
@@ -51,7 +52,8 @@ class TradeStream:
     def _process(self, events: DataFrame, batch_id: int) -> None:
         decoded = decode_events(events)
         config, store = self.jobs.config, self.store
-        trades = admitted_trades(trades_from(decoded), store.read("markets"), config).drop("market")
+        listed = intervals(store.read("market_history"), store.read("markets"))
+        trades = admitted_as_of(trades_from(decoded), listed, config).drop("market")
         trades = unique_trades(cut_lineage(trades))
         before = self._previous_prices(batch_id)
         rejected = rejected_events(decoded).write.mode("overwrite")

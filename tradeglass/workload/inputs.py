@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.numeric import floor_amount
-from tradeglass.operators import pricing
+from tradeglass.operators import pricing, rolling
 from tradeglass.operators.activity import PAIR, panes
 from tradeglass.operators.admission import admitted_trades
 from tradeglass.operators.rolling import market_closes
@@ -130,6 +130,11 @@ class Inputs:
         idle = seen.agg(F.lit("A98").alias("base_asset_id"), F.lit("USDT").alias("quote_asset_id"))
         return listed.unionByName(idle)
 
+    def listings(self) -> DataFrame:
+        """A listing at the start of each day: the markets with a trade of an even id that day."""
+        trades = self.admitted().filter(F.col("trade_id") % 2 == 0)
+        return trades.select(*PAIR, F.date_trunc("day", "timestamp").alias("taken_at")).distinct()
+
     def admitted(self) -> DataFrame:
         return admitted_trades(self.trade_source(), self.markets(), CONFIG)
 
@@ -170,6 +175,9 @@ class Inputs:
             jobs.ingest(cut_lineage(pricing.price_trades(admitted.filter(late), CONFIG)))
             jobs.reprice_from(day)
             jobs.settle_days(tomorrow)
+            panes, closes = store.read("market_panes"), store.read("market_closes")
+            assets, markets = store.read("assets"), store.read("markets")
+            store.replace("markets_24h", rolling.markets_24h(panes, markets, assets, AS_OF, closes=closes))
             _landed[key] = store.root
         return Store(self.spark, _landed[key])
 

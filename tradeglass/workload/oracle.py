@@ -532,6 +532,29 @@ SQL["orderbook_few_markets"] = """
                              THEN {'number': new.number, 'quantity': new.quantity, 'stid': old.stid} ELSE new END AS taken
               FROM book_lines)
         WHERE taken IS NOT NULL"""
+SQL |= {
+    "orphan_keys_stored": f"""
+        SELECT table_name, column_name, asset_id, count(*) AS row_count
+        FROM (SELECT table_name, unnest(['base_asset_id', 'quote_asset_id']) AS column_name,
+                     unnest([base_asset_id, quote_asset_id]) AS asset_id
+              FROM (SELECT 'trades' AS table_name, base_asset_id, quote_asset_id FROM priced
+                    UNION ALL SELECT 'markets', base_asset_id, quote_asset_id FROM market_list
+                    UNION ALL SELECT 'markets_daily', base_asset_id, quote_asset_id FROM ({SQL['late_markets_daily']})
+                    UNION ALL SELECT 'markets_24h', base_asset_id, quote_asset_id FROM market_list))
+        WHERE asset_id IN ('A07', 'A98') GROUP BY 1, 2, 3""",
+    "market_history": """
+        SELECT base_asset_id, quote_asset_id, min(taken) AS valid_from, arg_max_null(following, taken) AS valid_to
+        FROM (SELECT *, number - row_number() OVER (PARTITION BY base_asset_id, quote_asset_id ORDER BY number) AS run
+              FROM (SELECT DISTINCT base_asset_id, quote_asset_id, date_trunc('day', timestamp) AS day FROM admitted WHERE trade_id % 2 = 0)
+              JOIN (SELECT cast(day AS timestamp) AS taken, row_number() OVER (ORDER BY day) AS number,
+                           cast(lead(day) OVER (ORDER BY day) AS timestamp) AS following
+                    FROM (SELECT DISTINCT date_trunc('day', timestamp) AS day FROM admitted)) ON taken = day)
+        GROUP BY base_asset_id, quote_asset_id, run""",
+    "replayed_trades": f"""
+        SELECT {_TRADES.replace(' volume,', '')} FROM admitted t WHERE EXISTS (
+            SELECT * FROM admitted l WHERE l.trade_id % 2 = 0 AND l.base_asset_id = t.base_asset_id
+              AND l.quote_asset_id = t.quote_asset_id AND cast(l.timestamp AS date) = cast(t.timestamp AS date))""",
+}
 SQL["insert_ignore_ranges"] = SQL["insert_ignore_transfers"]
 SQL["markets_24h_from_panes"] = _MARKETS_24H
 SQL["merge_trades"] = SQL["upsert_trades"]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradeglass.config import ExchangeConfig
 from tradeglass.functions.dates import DAY, at, in_current, in_previous
 from tradeglass.functions.numeric import floor_amount
-from tradeglass.operators import admission, book, daily, hourly, lastknown, pricing, rolling, upsert, values
+from tradeglass.operators import admission, book, daily, hourly, lastknown, listing, pricing, rolling, upsert, values
 from tradeglass.operators.activity import PAIR
 from tradeglass.plans.jobs import Jobs
 from tradeglass.plans.store import BUCKETED, Store
@@ -201,6 +201,36 @@ def orphan_keys(data: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def orphan_keys_stored(data: Inputs) -> DataFrame:
+    """Two assets are no longer listed: their keys in the four stored tables; of trades their sums are read."""
+    store = data.late_store()
+    jobs = Jobs(Store(data.spark, data.scratch("orphans")), CONFIG)
+    jobs.store.replace("assets", store.read("assets").filter(~F.col("asset_id").isin("A07", "A98")))
+    jobs.store.replace("markets", store.read("markets"))
+    jobs.store.replace("markets_24h", store.read("markets_24h"))
+    jobs.store.overwrite_partitions("markets_daily", store.read("markets_daily"))
+    jobs.store.overwrite_partitions("market_panes", store.read("market_panes"))
+    jobs.check_references()
+    return jobs.store.read("orphans")
+
+
+@query
+def market_history(data: Inputs) -> DataFrame:
+    """Since when and until when markets were listed, from a listing a day."""
+    listed = data.listings()
+    moments = data.admitted().select(F.date_trunc("day", "timestamp").alias("taken_at"))
+    return listing.listing_history(listed, moments)
+
+
+@query
+def replayed_trades(data: Inputs) -> DataFrame:
+    """Trades of the past that a replay admits: their market was listed when they happened."""
+    moments = data.admitted().select(F.date_trunc("day", "timestamp").alias("taken_at"))
+    history = listing.listing_history(data.listings(), moments)
+    return listing.admitted_as_of(data.trade_source(), history, CONFIG).select(*[c for c in TRADE_COLUMNS if c != "volume"])
+
+
 # --- roll-ups -------------------------------------------------------------------------------------
 
 
