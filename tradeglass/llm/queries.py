@@ -25,6 +25,7 @@ from tradeglass.llm import (
     substrings,
 )
 from tradeglass.llm.common import ready, stage_path, table
+from tradeglass.llm.oracle import LANGUAGE, PERIODIC, RESAMPLING
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,4 +132,7 @@ ORACLE: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_resampling": RESAMPLING,
+    "op12_periodic": PERIODIC,
+    "op13_language": LANGUAGE,
 }
