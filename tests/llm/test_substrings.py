@@ -77,20 +77,3 @@ def test_texts_are_shuffled_once(llm, documents, tmp_path):
         llm.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     final = plan[plan.find("Final Plan") : plan.find("Initial Plan")]
     assert final.count("ReusedExchange") >= 1
-
-
-def test_one_word_in_a_few_long_documents(documents, monkeypatch):
-    """A gram of many suffixes goes by whole windows, however few documents have it."""
-    held = []
-    monkeypatch.setattr(substrings, "repeats", lambda block, *given: held.append(len(block)) or [])
-    rows = [(i, " ".join(["same"] * 6_000)) for i in range(5)]
-    found = substrings.without_repeats(documents(rows)).collect()
-    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found) == [(i, 6_000, 6_000 if i else 0) for i in range(5)]
-
-
-def test_suffixes_are_counted_by_gram():
-    own = substrings.Suffixes([b"same"] * 200)
-    grams, counts = own.choices()
-    assert len(grams) == 1 and counts.tolist() == [151]
-    own = substrings.Suffixes([b"%d" % i for i in range(300)])
-    assert own.choices()[1].sum() == 251
