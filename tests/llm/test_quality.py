@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tradeglass.llm import quality
 from tradeglass.llm.queries import QUERIES
@@ -42,6 +43,26 @@ def test_held_out_labels_change_nothing(llm, documents):
     assert np.array_equal(models[0], models[1])
 
 
+def test_every_labelled_row_is_learned_from(llm, documents):
+    """Blocks of 40 rows: the rows that come last by the hash of their id count too, and so does each block."""
+    rows, labels = corpus()
+    docs, table = documents(rows), llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    last = [r.doc_id for r in table.filter(~quality.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id").desc()).limit(30).collect()]
+    whole = quality.train(docs, table, rows=40)
+    assert np.array_equal(whole, quality.train(docs, table, rows=40))
+    assert not np.array_equal(whole, quality.train(docs, table.filter(~F.col("doc_id").isin(last)), rows=40))
+    want = {i: q for i, q, _ in labels}
+    held = quality.score(docs, whole).filter("held_out").collect()
+    assert sum(r.predicted == want[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_copies_of_one_id_are_several_blocks(llm, documents):
+    rows, labels = corpus(60)
+    docs, table = documents([*rows, *[(7, f"now now now {i}") for i in range(90)]]), llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = quality.train(docs, table, rows=20)
+    assert np.isfinite(model).all() and quality.score(docs, model).count() == 150
+
+
 def test_dual_coordinate_descent_finds_the_least_loss(monkeypatch):
     monkeypatch.setattr(quality, "_EPOCHS", 500)
     rng = np.random.default_rng(1)

@@ -6,8 +6,10 @@ have it than those of label 0, and each row by the root of its number of feature
 more than short ones.  Over these, a linear model with hinge loss is fitted by dual coordinate descent.  A logistic curve,
 fitted to margins of rows that the model did not see, turns margins into scores from 0 to 1.
 
-The model is fitted in one task on ``SAMPLE_ROWS`` labelled rows at most, those with the smallest hash of
-their id; all documents are scored.  Only labels and texts are learned from.
+The model is learned from every labelled row that is not held out.  The rows are spread over blocks of some
+``BLOCK_ROWS`` by a hash of their id; each block counts, and fits weights and curve, and the model is the mean of
+those of the blocks, by their rows.  With ``BLOCK_ROWS`` rows or fewer there is one block.  All documents are scored.
+Only labels and texts are learned from.
 
 Cases: a null text counts as empty; an empty text has no n-grams and gets the score of the constant term.
 A document that is labelled both ways, or with another value than 0 and 1, is not learned from.  Without
@@ -24,13 +26,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeglass.llm.common import stage
 
-# The bound of the sample that the classifier is fitted on.
-SAMPLE_ROWS = 12_000
+# Rows that are fitted together, in one task.
+BLOCK_ROWS = 12_000
+# Models of blocks that are held at a time.
+_MODELS = 16
 SIZES = (2, 3, 4)
 HASHED = 1 << 18
 # Further columns: a word comes twice in a row, three times, and so on.
@@ -167,35 +172,66 @@ def scores_of(texts: list[bytes | None], model: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
-def sample(labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
     """(doc_id, label) of the labelled rows to learn from; rows of the held-out remainder are left out."""
     clear = labels.filter(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("doc_id"))
     once = clear.agg(F.min(label_col).alias("label"), F.max(label_col).alias("_high"))
-    once = once.filter(F.col("label").isin(0, 1) & (F.col("label") == F.col("_high"))).drop("_high")
-    return once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    once = once.filter(F.col("label").isin(0, 1) & (F.col("label") == F.col("_high")))
+    return once.select("doc_id", F.col("label").cast("int").alias("label"))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """The fitted model.  The sample's ids are broadcast, so that texts are not shuffled for the join."""
-    chosen = F.broadcast(stage(sample(labels, rows), "quality-sample"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(chosen, "doc_id")
+def _mean(models: list[np.ndarray]) -> np.ndarray:
+    """The mean of models, each led by its number of rows, by these."""
+    rows = sum(model[0] for model in models)
+    return np.concatenate([[rows], sum(model[1:] * (model[0] / rows) for model in models)])
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = NGrams()
-        for batch in batches:
-            found = pa.array([grams.of(text).tobytes() for text in batch.column(1).to_pylist()], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(2), found], names=["doc_id", "label", "grams"])
 
-    def fitted(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("doc_id", kind="stable")
-        model = fit([np.frombuffer(x, np.uint32) for x in group["grams"]], group["label"].to_numpy())
-        return pd.DataFrame({"model": [model.astype("<f8").tobytes()]})
+def train(docs: DataFrame, labels: DataFrame, rows: int = BLOCK_ROWS, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    """The fitted model, of a block of about so many rows in each task.  The driver gets one model."""
+    known = stage(learnable(labels, id_col), "quality-labels")
+    blocks = max(1, -(-known.count() // rows))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.lit(None).cast("int").alias("label"))
+    texts = texts.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    # Texts and labels meet in partitions by id, so that texts are shuffled once, and each partition is a block.
+    met = texts.withColumn("own", F.lit(True)).unionByName(known.withColumns({"text": F.lit(None).cast("binary"), "own": F.lit(False)}))
+    met = met.repartition(blocks, "doc_id").withColumn("label", F.max("label").over(Window.partitionBy("doc_id")))
+    placed = met.filter("own and label is not null").sortWithinPartitions("doc_id", "text").select("text", "label")
 
-    grams = texts.select("doc_id", "text", F.col("label").cast("int").alias("label")).mapInArrow(
-        features, "doc_id bigint, label int, grams binary"
-    )
-    models = grams.groupBy(F.lit(0).alias("all")).applyInPandas(fitted, "model binary").collect()
-    return np.frombuffer(models[0]["model"], "<f8") if models else fit([], np.zeros(0, int))
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, models, found, own = NGrams(), [], [], []
+
+        def block() -> None:
+            model = fit(found, np.array(own))
+            models[:] = [_mean([*models, np.concatenate([[len(found)], model])])]
+            found.clear()
+            own.clear()
+
+        for batch in batches:
+            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found.append(grams.of(text))
+                own.append(label)
+                # Copies of one id share a partition; very many are several blocks.
+                if len(found) == 4 * rows:
+                    block()
+        if found:
+            block()
+        context = TaskContext.get()
+        number = context.partitionId() if context else 0
+        for model in models:
+            yield pa.record_batch([pa.array([number], pa.int64()), pa.array([model.astype("<f8").tobytes()])], names=["block", "model"])
+
+    def averaged(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("block", kind="stable")
+        model = _mean([np.frombuffer(x, "<f8") for x in group["model"]])
+        return pd.DataFrame({"block": [group["block"].iloc[0] // _MODELS], "model": [model.tobytes()]})
+
+    schema = "block bigint, model binary"
+    models = placed.mapInArrow(fitted, schema)
+    while blocks > 1:
+        models = models.groupBy(F.floor(F.col("block") / _MODELS)).applyInPandas(averaged, schema)
+        blocks = -(-blocks // _MODELS)
+    made = models.groupBy(F.lit(0).alias("all")).applyInPandas(averaged, schema).collect()
+    return np.frombuffer(made[0]["model"], "<f8")[1:] if made else fit([], np.zeros(0, int))
 
 
 def score(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
