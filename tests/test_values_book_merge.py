@@ -133,6 +133,17 @@ def test_trades_replaced_by_id(trades):
     assert (got[1].price, got[1].volume, got[1].timestamp) == (D(3), None, late)
 
 
+def test_merge_of_trades_is_spread_by_rows(trades, monkeypatch):
+    monkeypatch.setattr(upsert, "TASK_ROWS", 20)
+    day = datetime(2024, 1, 1)
+    stored = trades([(i, "A", "U", 1, 1, 1, 5, day) for i in range(0, 200, 2)])
+    source = trades([(i, "A", "U", p, 1, 1, 6, day) for i in range(150) for p in (2, 3)])
+    merged = upsert.upsert_trades(stored, source)
+    assert merged.rdd.getNumPartitions() >= 300 // 20
+    got = {r.trade_id: int(r.price) for r in merged.collect()}
+    assert got == {i: 3 for i in range(150)} | {i: 1 for i in range(150, 200, 2)}
+
+
 def test_insert_ignore(spark, table):
     stored = table("fee_withdrawals", [{"transfer_id": 1, "asset_symbol": "S", "amount": D(1)}])
     source = spark.createDataFrame(

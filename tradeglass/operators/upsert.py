@@ -6,6 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Rows of either side that one task merges, about.
+TASK_ROWS = 50_000
+
 # A rule gets the stored and the incoming value and returns the one kept for an existing row.
 Rule = Callable[[Column, Column], Column]
 
@@ -92,8 +95,15 @@ MARKET_RULES: dict[str, Rule] = {"price": keep_new}
 
 
 def upsert_trades(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Every column replaced by trade id; of several source rows of one id the last by timestamp counts."""
-    return merge_rows(target, unique_trades(source.select(*target.columns)), ["trade_id"], {})
+    """Every column replaced by trade id; of several source rows of one id the last by timestamp counts.
+
+    Both sides are spread by the number of their rows: a shuffle packs trades so well that partitions of a common
+    size in bytes are many times that in a task."""
+    rows = source.select(*target.columns)
+    parts = -(-max(target.count(), rows.count()) // TASK_ROWS)
+    if parts > 1:
+        target, rows = target.repartition(parts, "trade_id"), rows.repartition(parts, "trade_id")
+    return merge_rows(target, unique_trades(rows), ["trade_id"], {})
 
 
 def upsert_assets(target: DataFrame, source: DataFrame) -> DataFrame:
