@@ -52,6 +52,20 @@ def check(rows, pieces, tokenizer, window=2048):
         assert at <= window and at & (at - 1) == 0
 
 
+def test_terms_of_documents_are_made_once(llm, documents, monkeypatch):
+    """The ranges are placed by rows that are written, not by the terms of all rows made once more."""
+    staged = []
+    monkeypatch.setattr(packing, "stage", lambda df, name, own=packing.stage: staged.append(df.columns) or own(df, name))
+    pack(documents([(i, f"word{i % 7} other words {i}") for i in range(40)]), PATH).count()
+    assert ["doc_id", "ids", "term"] in staged
+    rng = np.random.default_rng(0)
+    docs = [rng.integers(0, 1 << 16, n).astype("<u2") for n in (1, 300, 2, 5_000)] + [np.full(9, 65_535, "<u2")]
+    token, owner, n = packing._distinct(docs)
+    order = np.argsort(owner, kind="stable")
+    for a, b in zip(packing._terms_by_document(docs), (token[order], owner[order], n[order]), strict=True):
+        assert np.array_equal(a, b)
+
+
 def test_words_encode_like_the_tokenizer(tokenizer):
     random.seed(3)
     bpe = WordBPE(open(PATH).read())

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeglass.llm import word_bpe
-from tradeglass.llm.common import stage
+from tradeglass.llm.common import stage, unstage
 
 WINDOW = 2048
 END_ID = 1
@@ -77,11 +77,20 @@ def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return token[first].astype(np.int64), owner[first], np.diff(np.append(first, len(token)))
 
 
+def _terms_by_document(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same as ``_distinct``, by document and then token: sorted as one number."""
+    if not docs:
+        return (np.zeros(0, np.int64),) * 3
+    pair = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(16), [len(ids) for ids in docs]) | np.concatenate(docs)
+    pair.sort()
+    first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+    own = pair[first].astype(np.int64)
+    return own & 0xFFFF, own >> 16, np.diff(np.append(first, len(pair)))
+
+
 def _heaviest(docs: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     """Per document the term that weighs most, the smaller id of equals."""
-    token, owner, n = _distinct(docs)
-    order = np.argsort(owner, kind="stable")
-    token, owner, n = token[order], owner[order], n[order]
+    token, owner, n = _terms_by_document(docs)
     weight = _weight(token, n, idf)
     starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
     best = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, starts), np.diff(np.append(starts, len(owner)))))
@@ -98,7 +107,7 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_VOCABULARY, np.int64)
         for batch in batches:
-            token, _, _ = _distinct([_ids(data) for data in batch.column(0).to_pylist()])
+            token, _, _ = _terms_by_document([_ids(data) for data in batch.column(0).to_pylist()])
             counts += np.bincount(token, minlength=_VOCABULARY)
         token = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(token), pa.array(counts[token])], names=["token", "n"])
@@ -280,10 +289,9 @@ def pack(
     set_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partitions = max(set_, -(-(total or 0) // PARTITION_IDS))
     order = ["term", F.xxhash64("doc_id"), "doc_id"]
-    sorted_ = (
-        tokens.mapInArrow(marked, f"doc_id {own}, ids binary, term bigint")
-        .repartitionByRange(partitions, *order)
-        .sortWithinPartitions(*order, "ids")
-    )
+    # Ranges are placed by a pass over the rows, so terms are written and not made twice.
+    ordered = stage(tokens.mapInArrow(marked, f"doc_id {own}, ids binary, term bigint"), "packing-terms")
+    unstage(tokens)
+    sorted_ = ordered.repartitionByRange(partitions, *order).sortWithinPartitions(*order, "ids")
     # Written once, as sequence ids hold for one run.
     return stage(sorted_.select("doc_id", "ids").mapInArrow(packed, schema), "packing-pieces")
