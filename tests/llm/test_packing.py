@@ -7,7 +7,7 @@ import public_tokenizers as public
 import pytest
 from tokenizers import Tokenizer
 
-from tradeglass.llm import packing
+from tradeglass.llm import packing, word_bpe
 from tradeglass.llm.packing import Index, inverse_frequency, pack
 from tradeglass.llm.queries import QUERIES
 from tradeglass.llm.word_bpe import WordBPE
@@ -75,6 +75,17 @@ def test_words_encode_like_the_tokenizer(tokenizer):
         assert np.frombuffer(bpe.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_worker_keeps_one_bounded_table(tokenizer, monkeypatch):
+    """Words and the parts of words share a table: what a worker keeps does not grow with the words it meets."""
+    monkeypatch.setattr(word_bpe, "CACHED", 50)
+    bpe = WordBPE(open(PATH, encoding="utf-8").read())
+    words = [f"{kind}{chr(97 + i % 26)}{chr(97 + i // 26)}{mark}" for i in range(300) for kind in ("ka", "Vé") for mark in ("", ",", "'s")]
+    text = " ".join(words + words)
+    assert np.frombuffer(bpe.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    tables = [table for table in vars(bpe).values() if hasattr(table, "older")]
+    assert sum(len(table) + len(table.older) for table in tables) <= 2 * 50 + 8
+
+
 def test_awkward_rows(awkward, tokenizer):
     check(AWKWARD, pack(awkward, PATH).collect(), tokenizer)
 

@@ -3,7 +3,8 @@
 The tokenizer lower-cases, cuts text at white space and merges each word by itself, so the ids of a text are
 those of its words.  Most words come again and again: each Python worker keeps the ids of words met last, in
 a table of bounded size.  Words of printable ASCII and Latin-1 letters are cut and merged here by the
-tokenizer's model; any other word goes through the whole tokenizer.
+tokenizer's model; any other word goes through the whole tokenizer.  A part of a cut word is a word of its own,
+with the same ids, so one table serves both.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import regex
 from tokenizers import Tokenizer
 
 # Words whose ids a worker keeps, and as many again that it met before those.
-CACHED = 1 << 19
+CACHED = 1 << 18
 # Fixed value: how the tokenizer cuts a lower-cased word.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -64,7 +65,6 @@ class WordBPE:
         self.model = self.tokenizer.model
         self.letters = _letters()
         self._words = _Made(self._word)
-        self._parts = _Made(self._part)
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in _CONTROL):
@@ -77,15 +77,18 @@ class WordBPE:
     def _word(self, word: str) -> bytes:
         if not word.isascii() and not _PLAIN.fullmatch(word):
             return self._whole(word)
-        known = self._parts
+        known = self._words
         low = word.lower()
         # Mostly letters, and perhaps a mark at the end: then nothing has to be searched for.
         letters = low if low.isalpha() else low[:-1]
         if letters.isalpha():
             mark = low[len(letters) :]
             if not mark.isalnum():
-                return known[letters] + known[mark] if mark else known[letters]
-        return b"".join([known[part] for part in _PARTS.findall(low)])
+                if mark:
+                    return known[letters] + known[mark]
+                return known[letters] if letters != word else self._part(word)
+        parts = _PARTS.findall(low)
+        return b"".join([known[part] if part != word else self._part(part) for part in parts])
 
     def _part(self, part: str) -> bytes:
         spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
